@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, url_filter
+from . import mixing, ngram_join, url_filter
 from .shared import table
 
 #: The rules of op4 (fixed values of its contract).
@@ -67,5 +67,10 @@ x AS (
 SELECT doc_id, size, source_size, target, (rounds * size + greatest(0, least(size, rest - before_)))::BIGINT AS taken FROM x
 """
 
-QUERIES = {"op4_url_filter": op4_url_filter, "op5_mixing": op5_mixing}
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngram_join.ngram_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return joined.result.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {"op7_ngram_join": op7_ngram_join, "op4_url_filter": op4_url_filter, "op5_mixing": op5_mixing}
 SQL = {"op4_url_filter": OP4_SQL, "op5_mixing": OP5_SQL}
