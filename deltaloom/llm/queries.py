@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, ngram_join, url_filter
+from . import line_dedup, mixing, ngram_join, url_filter
 from .shared import table
 
 #: The rules of op4 (fixed values of its contract).
@@ -72,5 +73,11 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.result.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op7_ngram_join": op7_ngram_join, "op4_url_filter": op4_url_filter, "op5_mixing": op5_mixing}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", F.col("_lines").cast("long").alias("n_lines"), F.col("_removed").cast("long").alias("n_removed"),
+                       F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+QUERIES = {"op10_line_dedup": op10_line_dedup, "op7_ngram_join": op7_ngram_join, "op4_url_filter": op4_url_filter, "op5_mixing": op5_mixing}
 SQL = {"op4_url_filter": OP4_SQL, "op5_mixing": OP5_SQL}
