@@ -124,7 +124,12 @@ def spans(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> tuple[np.n
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = LOWER) -> np.ndarray:
     """Hash of data[start:end] for ascending, disjoint ranges."""
-    out = np.empty(len(starts), np.uint64)
+    return hash_prefixes(data, starts, ends, (), fold)[0]
+
+
+def hash_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: tuple[int, ...], fold: np.ndarray = LOWER) -> list[np.ndarray]:
+    """Hashes of data[start:end], then of each range's first bytes for every length."""
+    out = [np.empty(len(starts), np.uint64) for _ in range(1 + len(lengths))]
     values = _BYTE[fold]
     i = 0
     while i < len(starts):
@@ -136,9 +141,12 @@ def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np
         total[0] = 0
         np.cumsum(values[piece] * up[: len(piece)], out=total[1:])
         s, e = starts[i:j] - base, ends[i:j] - base
-        out[i:j] = (total[e] - total[s]) * down[s]
+        low, scale = total[s], down[s]
+        out[0][i:j] = (total[e] - low) * scale
+        for x, n in zip(out[1:], lengths):
+            x[i:j] = (total[np.minimum(e, s + n)] - low) * scale
         i = j
-    return mix(out)
+    return [mix(x) for x in out]
 
 
 def words(chunk: Chunk, keep: np.ndarray = NOT_SPACE, fold: np.ndarray = LOWER) -> Words:

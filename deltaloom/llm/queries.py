@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, ngram_join, url_filter
+from . import decontaminate, line_dedup, mixing, ngram_join, url_filter
 from .shared import table
 
 #: The rules of op4 (fixed values of its contract).
@@ -79,5 +79,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op10_line_dedup": op10_line_dedup, "op7_ngram_join": op7_ngram_join, "op4_url_filter": op4_url_filter, "op5_mixing": op5_mixing}
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return leaks.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op10_line_dedup": op10_line_dedup, "op7_ngram_join": op7_ngram_join, "op4_url_filter": op4_url_filter, "op5_mixing": op5_mixing}
 SQL = {"op4_url_filter": OP4_SQL, "op5_mixing": OP5_SQL}
