@@ -11,11 +11,11 @@ from pyspark.sql import SparkSession
 _done: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession) -> SparkSession:
     """Send the package's sources with the session, once; executors need no installation."""
     sc = spark.sparkContext
     if sc.applicationId in _done:
-        return
+        return spark
     root = Path(__file__).parent
     target = Path(tempfile.mkdtemp(prefix="deltaloom-")) / "deltaloom_sources.zip"
     with zipfile.ZipFile(target, "w") as z:
@@ -23,3 +23,4 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(str(target))
     _done.add(sc.applicationId)
+    return spark
