@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .shared import ship
 
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 4
@@ -191,7 +192,7 @@ def _indexes(items: DataFrame, id_col: str, text_col: str, k: int, slice_items:
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
                k: int = 5, threshold: float = 0.6, overlap: float = 0.8, half_overlap: float = 0.5, slice_items: int = 20_000) -> DataFrame:
     """(id, item, score, overlap, question, answer, first_word) of every document and test item that it holds."""
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type, item_type = src.schema["id"].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     schema = f"id {id_type}, item {item_type}, score double, overlap double, question double, answer double, first_word int"
@@ -220,6 +221,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_text: str = "text",
                k: int = 5, threshold: float = 0.6, overlap: float = 0.8, half_overlap: float = 0.5, slice_items: int = 20_000) -> DataFrame:
     """The rows of docs that hold no test item; one narrow pass for each slice of items, no join."""
+    ship(docs.sparkSession)
     for _, index in _indexes(items.withColumn("_i", F.lit(0)), "_i", item_text, k, slice_items):
         held = docs.sparkSession.sparkContext.broadcast(index)
         column = docs.columns.index(text_col)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from . import packing as P
 from .components import components
-from .shared import cut, partitions
+from .shared import cut, partitions, ship
 
 DISTANCE = 3
 BLOCKS = 5
@@ -173,7 +173,7 @@ def normal_form(line: Column) -> Column:
 
 def find_groups(src: DataFrame, min_words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     """src: id, rid, text. Lines (id, rid, line, h, s), and for each key h that is not alone the occurrence to keep."""
-    spark = src.sparkSession
+    spark = ship(src.sparkSession)
     id_type = src.schema["id"].dataType.simpleString()
     lines = cut(src.select("id", "rid", "text").mapInArrow(_lines(min_words), f"id {id_type}, rid long, line int, h long, s long"))
     nodes = cut(lines.groupBy("h", "s").agg(F.min(F.struct("id", "rid", "line")).alias("first"), F.count("*").alias("n")))

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from . import packing as P
 from .components import components
-from .shared import cut, partitions
+from .shared import cut, partitions, ship
 
 BLOCK_VALUES = 1 << 21
 VALUES_PER_PART = 4_000_000
@@ -294,7 +294,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     `most_hot` bounds the broadcast (8 bytes each); were there more, the most frequent are treated as hot. What counts
     as hot changes the order of shingles and so the cost, never the result.
     """
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     first = cut(src.mapInArrow(_members(k, hot), f"id {id_type}, n long, cls long, value binary, times binary"))

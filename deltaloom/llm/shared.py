@@ -8,12 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..ship import ship
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, or a local one where none is configured (tests, local mode)."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
+    ship(spark)
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="deltaloom-"))
@@ -36,6 +39,7 @@ def partitions(spark: SparkSession, least: int = 1) -> int:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

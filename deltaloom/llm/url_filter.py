@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import ship
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RESULT = ("host", "path", "rule", "verdict")
 
@@ -93,7 +95,7 @@ class Trie:
 
 def with_trie(df: DataFrame, url: str, rules: list[Rule], default: str) -> DataFrame:
     """One Arrow pass; the trie travels as a broadcast variable."""
-    held = df.sparkSession.sparkContext.broadcast(Trie(rules))
+    held = ship(df.sparkSession).sparkContext.broadcast(Trie(rules))
 
     @F.udf(T.StructType([T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())]), useArrow=True)
     def judge(host, path):
