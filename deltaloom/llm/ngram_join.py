@@ -280,10 +280,13 @@ def link(sets: DataFrame, num: int, den: int) -> DataFrame:
         now.groupBy("h").agg(F.min_by("label", "y").alias("main"), F.min("label").alias("_a"), F.max("label").alias("_b"))
         .where("_a != _b").select("h", "main")
     )
-    open_rows = cut(now.join(mixed, "h"))
-    aside = open_rows.where("label != main").select("h", F.col("y").alias("x"), F.col("label").alias("xl"))
+    prefixes = sets.where(prefix > 0).select(F.col("cls").alias("_c"), F.slice("sh", F.lit(1), prefix).alias("pre"))
+    open_rows = cut(now.join(mixed, "h").join(prefixes, F.col("y.cls") == F.col("_c")).drop("_c"))
+    aside = open_rows.where("label != main").select("h", F.col("y").alias("x"), F.col("label").alias("xl"), F.col("pre").alias("xpre"))
+    # of the prefix shingles that a pair shares, only the first brings it up
     across = open_rows.join(aside, "h").where(
-        (F.col("label") != F.col("xl")) & ((F.col("label") == F.col("main")) | (F.col("x.cls") < F.col("y.cls"))))
+        (F.col("label") != F.col("xl")) & ((F.col("label") == F.col("main")) | (F.col("x.cls") < F.col("y.cls")))
+        & _may_reach(num, den, "x", "y") & (F.get(F.array_intersect("pre", "xpre"), F.lit(0)) == F.col("h")))
     rest = _pairs(across, num, den).join(tried, ["a", "b"], "left_anti")
     return star.unionByName(cut(verify(rest, sets, num, den)))
 
@@ -321,7 +324,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linked = mins.join(labels, F.col("cls") == F.col("node"))
     least = linked.groupBy("label").agg(F.min("first").alias("least"))
     of_class = linked.join(least, "label").select(F.col("node").alias("_n"), "least")
-    ids = mins.join(of_class, F.col("cls") == F.col("_n"), "left").select(F.col("cls").alias("_c"), F.coalesce("least", "first").alias("component_id"))
+    ids = cut(mins.join(of_class, F.col("cls") == F.col("_n"), "left").select(F.col("cls").alias("_c"), F.coalesce("least", "first").alias("component_id")))
     full = members.where("n > 0").join(ids, F.col("cls") == F.col("_c")).select("id", F.col("n").alias("n_shingles"), "component_id")
     bare = members.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     return Joined(members, links, full.unionByName(bare))
