@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, ngram_join, url_filter
+from . import decontaminate, line_dedup, mixing, ngram_join, toxicity, url_filter
 from .shared import table
 
 #: The rules of op4 (fixed values of its contract).
@@ -84,5 +84,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op10_line_dedup": op10_line_dedup, "op7_ngram_join": op7_ngram_join, "op4_url_filter": op4_url_filter, "op5_mixing": op5_mixing}
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"),
+        F.when(F.col("_score") >= 0.7, 1).otherwise(0).alias("predicted"), F.size("_passages").alias("n_passages"))
+
+
+QUERIES = {"op6_toxicity": op6_toxicity, "op1_decontaminate": op1_decontaminate, "op10_line_dedup": op10_line_dedup, "op7_ngram_join": op7_ngram_join, "op4_url_filter": op4_url_filter, "op5_mixing": op5_mixing}
 SQL = {"op4_url_filter": OP4_SQL, "op5_mixing": OP5_SQL}
