@@ -8,8 +8,11 @@ than `min_words` words are too common to mean anything and always stay.
    are one node from here on, pre-aggregated before the shuffle, with their first occurrence.
 2. SimHashes at most 3 bits apart agree in 2 of 5 blocks at least: each goes, packed, to the 10 partitions of its
    block pairs, and meets there whatever agrees in those 25 bits. A group of more than 64 is cut again by the same
-   rule on its other bits. A pair is reported only for the first block pair it agrees in, so it is verified once.
+   rule on its other bits. A pair counts only for the first block pair it agrees in, so it is met once. Of the pairs
+   that meet in a partition, a spanning forest goes on: thousands of near copies need not be paired with each other.
 3. Candidates are verified by the edit distance of their normal forms: similarity 1 - distance/longer at least 0.9.
+   Where a pair of the forest fails, its whole group is met again, and every pair across different components is
+   verified, so that no link between them is lost.
 4. Verified pairs join nodes to connected groups; of each group the occurrence with the least (id, row, line) stays.
 
 Null or empty texts have no lines to remove and stay as they are. Null ids sort first. Repeated rows (equal id and
@@ -143,26 +146,88 @@ def near(v: np.ndarray, mask: np.uint64, free: list[np.uint64]) -> Iterator[tupl
                 yield from near(rows[0], inner, free[:i] + free[i + step :])
 
 
+def _canonical(v: np.ndarray, t: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of the distinct values v whose first agreeing blocks are those of table t."""
+    i, j = TABLES[t]
+    mask = MASKS[i] | MASKS[j]
+    free = [np.uint64(1 << k) for k in range(64) if not int(mask) >> k & 1]
+    for a, b in near(v, mask, free):
+        first = np.ones(len(a), bool)
+        for k in range(j):
+            if k != i:
+                first &= ((a ^ b) & MASKS[k]) != 0
+        if first.any():
+            yield a[first], b[first]
+
+
+class _Forest:
+    """Keeps of the edges that come by those that join something."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def _top(self, x: int) -> int:
+        up = self.up
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    def joins(self, a: int, b: int) -> bool:
+        a, b = self._top(a), self._top(b)
+        self.up[a] = b
+        return a != b
+
+
+def _batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    x = np.array(pairs, np.uint64).view(np.int64).reshape(-1, 2)
+    return pa.record_batch([pa.array(x.min(axis=1)), pa.array(x.max(axis=1))], names=["sa", "sb"])
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the near pairs that meet in this partition."""
     got = list(batches)
     if not got:
         return
     table, _, value, _ = P.unpack(got)
     del got
-    for t, (i, j) in enumerate(TABLES):
-        v = np.unique(value[table == t])
-        mask = MASKS[i] | MASKS[j]
-        free = [np.uint64(1 << k) for k in range(64) if not int(mask) >> k & 1]
-        for a, b in near(v, mask, free):
-            x = a ^ b
-            first = np.ones(len(x), bool)  # the first blocks that agree are this table's
-            for k in range(j):
-                if k != i:
-                    first &= (x & MASKS[k]) != 0
-            a, b = a[first], b[first]
-            a, b = np.minimum(a.view(np.int64), b.view(np.int64)), np.maximum(a.view(np.int64), b.view(np.int64))
-            if len(a):
-                yield pa.record_batch([pa.array(a), pa.array(b)], names=["sa", "sb"])
+    forest = _Forest()
+    for t in range(len(TABLES)):
+        pairs = [(x, y) for a, b in _canonical(np.unique(value[table == t]), t) for x, y in zip(a.tolist(), b.tolist()) if forest.joins(x, y)]
+        if pairs:
+            yield _batch(pairs)
+
+
+MANY_LABELS = -1
+
+
+def _scatter_labelled(parts: int):
+    """As _scatter, for rows (s, label): each value is its own owner, which carries its label, and the table's number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, label = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            part = [P.part_of(K.mix((x & (MASKS[i] | MASKS[j])) ^ np.uint64(t)), parts) for t, (i, j) in enumerate(TABLES)]
+            n = len(TABLES) * len(x)
+            yield from P.pack(np.concatenate(part), np.arange(n), np.tile(label, len(TABLES)),
+                              np.repeat(np.arange(len(TABLES), dtype=np.int32), len(x)), np.tile(x, len(TABLES)))
+
+    return run
+
+
+def _meet_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All near pairs of different labels that meet in this partition."""
+    got = list(batches)
+    if not got:
+        return
+    label, table, value, _ = P.unpack(got)
+    for t in range(len(TABLES)):
+        v, at = np.unique(value[table == t], return_index=True)
+        of = label[table == t][at]
+        for a, b in _canonical(v, t):
+            x, y = of[np.searchsorted(v, a)], of[np.searchsorted(v, b)]
+            on = (x != y) | (x == MANY_LABELS)
+            if on.any():
+                yield _batch(np.column_stack([a[on], b[on]]))
 
 
 def normal_form(line: Column) -> Column:
@@ -171,6 +236,25 @@ def normal_form(line: Column) -> Column:
     return F.trim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _verify(src: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """a, b, near: whether the normal forms of two keys are similar enough."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    wanted = nodes.join(asked, "h").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "h")).alias("_w"))
+    texts = cut(
+        src.select("rid", "text").join(wanted, "rid").select(F.split("text", "\n").alias("_l"), F.explode("_w").alias("w"))
+        .select("w.h", normal_form(F.element_at("_l", F.col("w.line") + 1)).alias("t")).dropDuplicates(["h"])
+    )
+    both = pairs.join(texts.select(F.col("h").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("h").alias("b"), F.col("t").alias("tb")), "b")
+    most = F.floor(F.greatest(F.length("ta"), F.length("tb")) * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
+    # the distance's cost grows with its bound: most pairs are settled by the small ones
+    steps = " OR ".join(f"levenshtein(ta, tb, {k}) >= 0" for k in ("least(_k, 16)", "least(_k, 128)", "least(_k, 1024)", "_k"))
+    return both.withColumn("_k", most).select("a", "b", ((F.abs(F.length("ta") - F.length("tb")) <= F.col("_k")) & F.expr(steps)).alias("near"))
+
+
 def find_groups(src: DataFrame, min_words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     """src: id, rid, text. Lines (id, rid, line, h, s), and for each key h that is not alone the occurrence to keep."""
     spark = ship(src.sparkSession)
@@ -178,28 +262,30 @@ def find_groups(src: DataFrame, min_words: int, similarity: float) -> tuple[Data
     lines = cut(src.select("id", "rid", "text").mapInArrow(_lines(min_words), f"id {id_type}, rid long, line int, h long, s long"))
     nodes = cut(lines.groupBy("h", "s").agg(F.min(F.struct("id", "rid", "line")).alias("first"), F.count("*").alias("n")))
     parts = partitions(spark)
-    sims = nodes.groupBy("s").agg(F.count("*").alias("keys"))
-    sims = cut(sims)
-    pairs = sims.select("s").mapInArrow(_scatter(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_meet, "sa long, sb long")
-    pairs = pairs.distinct().unionByName(sims.where("keys > 1").select(F.col("s").alias("sa"), F.col("s").alias("sb")))
-    left, right = nodes.select(F.col("s").alias("sa"), F.col("h").alias("a")), nodes.select(F.col("s").alias("sb"), F.col("h").alias("b"))
-    candidates = cut(
-        pairs.join(left, "sa").join(right, "sb").where(F.col("a") != F.col("b"))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
-    asked = candidates.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    wanted = nodes.join(asked, "h").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "h")).alias("_w"))
-    texts = cut(
-        src.select("rid", "text").join(wanted, "rid").select(F.split("text", "\n").alias("_l"), F.explode("_w").alias("w"))
-        .select("w.h", normal_form(F.element_at("_l", F.col("w.line") + 1)).alias("t")).dropDuplicates(["h"])
-    )
-    both = candidates.join(texts.select(F.col("h").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("h").alias("b"), F.col("t").alias("tb")), "b")
-    most = F.floor(F.greatest(F.length("ta"), F.length("tb")) * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    apart = F.abs(F.length("ta") - F.length("tb"))
-    links = (
-        both.withColumn("_k", most).where(apart <= F.col("_k"))
-        .where(F.expr("levenshtein(ta, tb, _k)") >= 0).select("a", "b")
-    )
+    sims = cut(nodes.groupBy("s").agg(F.min("h").alias("h"), F.count("*").alias("keys")))
+    forest = sims.select("s").mapInArrow(_scatter(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_meet, "sa long, sb long").distinct()
+    left, right = sims.select(F.col("s").alias("sa"), F.col("h").alias("a")), sims.select(F.col("s").alias("sb"), F.col("h").alias("b"))
+    several = nodes.join(sims.where("keys > 1").select("s", F.col("h").alias("a")), "s").where(F.col("h") != F.col("a")).select("a", F.col("h").alias("b"))
+    tried = cut(_ordered(forest.join(left, "sa").join(right, "sb").select("a", "b").unionByName(several)))
+    checked = cut(_verify(src, nodes, tried, similarity))
+    links = checked.where("near").select("a", "b")
+    failed = checked.where("not near").select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    if not failed.isEmpty():
+        # only where a pair of the forest failed can another pair be needed: there, all across different components
+        group, label = components(tried), components(links)
+        touched = group.join(failed, F.col("node") == F.col("h")).select(F.col("label").alias("g")).distinct()
+        inside = (
+            group.join(touched, F.col("label") == F.col("g")).select(F.col("node").alias("h"))
+            .join(nodes.select("h", "s"), "h").join(label.withColumnRenamed("node", "_n"), F.col("h") == F.col("_n"), "left")
+            .select("h", "s", F.coalesce("label", "h").alias("label"))
+        )
+        inside = cut(inside)
+        by_sim = inside.groupBy("s").agg(F.when(F.min("label") == F.max("label"), F.min("label")).otherwise(F.lit(MANY_LABELS)).alias("label"))
+        near_pairs = by_sim.select("s", "label").mapInArrow(_scatter_labelled(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_meet_across, "sa long, sb long")
+        near_pairs = near_pairs.distinct().unionByName(by_sim.where(F.col("label") == MANY_LABELS).select(F.col("s").alias("sa"), F.col("s").alias("sb")))
+        x, y = (inside.select(F.col("s").alias(f"s{c}"), F.col("h").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
+        more = _ordered(near_pairs.join(x, "sa").join(y, "sb").where("la != lb").select("a", "b")).join(tried, ["a", "b"], "left_anti")
+        links = links.unionByName(_verify(src, nodes, cut(more), similarity).where("near").select("a", "b"))
     labels = components(links)
     grouped = nodes.join(labels, F.col("h") == F.col("node"), "left").select("h", "first", "n", F.coalesce("label", "h").alias("label"))
     fuzzy = grouped.join(labels.select(F.col("label").alias("_l")).distinct(), F.col("label") == F.col("_l"), "left_semi")
