@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .shared import cut, words_of
 
 KEY_HEX = 15
+SALTS = 64
 
 
 def random_key(doc_id: Column, seed: str = "") -> Column:
@@ -68,38 +69,42 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: tuple[int, i
         rows_per_range: int = 2000, seed: str = "", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """`keep` columns with size, source_size, target and taken; one row per input row."""
     kept = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
-    sized = cut(docs.select(*kept, F.col("doc_id").alias("_id"), F.col("source").alias("source"), words_of(F.col("text")).alias("size"),
+    sized = cut(docs.select(*kept, F.col("doc_id").alias("_id"), F.col("source").alias("_src"), words_of(F.col("text")).alias("size"),
                             random_key(F.col("doc_id"), seed).alias("_key")))
     ranges = F.greatest(F.lit(1), F.ceil(F.lit(sized.count() / rows_per_range))).cast("long")
     width = F.ceil(F.lit(16**KEY_HEX).cast("double") / ranges).cast("long")
     sized = sized.withColumn("_range", F.floor(F.col("_key") / width).cast("long"))
 
-    per_range = cut(sized.groupBy("source", "_range").agg(F.sum("size").alias("_words")))
-    goal = targets(per_range.groupBy("source").agg(F.sum("_words").alias("source_size")), weights, share, epochs)
+    per_range = cut(sized.groupBy("_src", "_range").agg(F.sum("size").alias("_words")))
+    goal = targets(per_range.groupBy(F.col("_src").alias("source")).agg(F.sum("_words").alias("source_size")), weights, share, epochs)
     goal = cut(
         goal.withColumn("_budget", F.floor("target").cast("long"))
         .withColumn("_rounds", F.when(F.col("source_size") > 0, F.floor(F.col("_budget") / F.col("source_size"))).otherwise(0).cast("long"))
         .withColumn("_rest", F.col("_budget") - F.col("_rounds") * F.col("source_size"))
     )
     g = goal.withColumnRenamed("source", "_s")
-    sums = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = Window.partitionBy("_src").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     cuts = (
         per_range.withColumn("_before", F.coalesce(F.sum("_words").over(sums), F.lit(0)))
-        .join(g, F.col("source").eqNullSafe(F.col("_s")))
+        .join(g, F.col("_src").eqNullSafe(F.col("_s")))
         .where((F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_words")))
         .select("_s", F.col("_range").alias("_cut"), F.col("_before"))
     )
-    plan = goal.join(cuts, F.col("source").eqNullSafe(F.col("_s")), "left").select(
-        F.col("source").alias("_s"), "source_size", "target", "_rounds", "_rest", "_cut", "_before")
-    rows = sized.join(plan, F.col("source").eqNullSafe(F.col("_s")))
+    plan = cut(goal.join(cuts, F.col("source").eqNullSafe(F.col("_s")), "left").select(
+        F.col("source").alias("_s"), "source_size", "target", "_rounds", "_rest", "_cut", "_before"))
+    # a hot source's rows meet their plan in SALTS tasks; those of the cut ranges by source and range
+    salted = plan.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = sized.withColumn("_salt", F.pmod("_range", F.lit(SALTS))).join(
+        salted.withColumnRenamed("_salt", "_s2"), F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_salt") == F.col("_s2")))
+    at_cut = sized.join(plan.where(F.col("_cut").isNotNull()), F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_cut")))
     out = [F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)]
     # no cut range: the rest is 0 or, by rounding, the whole source
     outside = rows.where(F.col("_cut").isNull() | (F.col("_range") != F.col("_cut"))).select(
         *out, "size", "source_size", "target",
         (F.col("_rounds") * F.col("size") + F.when(F.col("_range") < F.col("_cut"), F.col("size")).otherwise(0)).alias("taken"))
-    order = Window.partitionBy("source").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("_src").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     inside = (
-        rows.where(F.col("_range") == F.col("_cut"))
+        at_cut
         .withColumn("_at", F.col("_before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
         .select(*out, "size", "source_size", "target",
                 (F.col("_rounds") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_at")))).alias("taken"))
