@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, ngram_join, toxicity, url_filter
+from . import chat, decontaminate, line_dedup, mixing, ngram_join, ogg, token_files, toxicity, url_filter, warc
 from .shared import table
 
 #: The rules of op4 (fixed values of its contract).
@@ -92,5 +92,68 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("_score") >= 0.7, 1).otherwise(0).alias("predicted"), F.size("_passages").alias("n_passages"))
 
 
-QUERIES = {"op6_toxicity": op6_toxicity, "op1_decontaminate": op1_decontaminate, "op10_line_dedup": op10_line_dedup, "op7_ngram_join": op7_ngram_join, "op4_url_filter": op4_url_filter, "op5_mixing": op5_mixing}
-SQL = {"op4_url_filter": OP4_SQL, "op5_mixing": OP5_SQL}
+def op2_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    media = ogg.store(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return ogg.media_features(media)
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+q AS (SELECT page_id, octet_length(encode(t))::BIGINT AS n, sha1(t) AS d FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS last_ FROM q)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM last_ AND last_ IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM last_ THEN last_ END AS refers_to
+FROM g
+"""
+
+#: The conversation that the contract of op8 adds.
+EXTRA_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(EXTRA_TURNS, turns.schema)
+    return chat.read_back(chat.expand(turns.unionByName(extra)))
+
+
+OP8_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(role) + 8 + length(regexp_replace(regexp_replace(text, '(\\*)(<\|[^|]*\|>|</?s>|\[/?INST\])', '\1\1\\\2', 'g'), '(\\+)\z', '\1\1')) AS n,
+         row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS m
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+s AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY k) AS upto FROM e)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       coalesce(sum(upto) FILTER (role = 'assistant' OR k = m), 0)::BIGINT AS formatted_chars,
+       (count(*) FILTER (role = 'assistant' OR k = m))::BIGINT AS n_examples
+FROM s GROUP BY conv_id
+"""
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_files.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return counts.select(F.col("id").alias("doc_id"), "n_tokens")
+
+
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_ogg": op2_ogg,
+    "op3_warc": op3_warc,
+    "op4_url_filter": op4_url_filter,
+    "op5_mixing": op5_mixing,
+    "op6_toxicity": op6_toxicity,
+    "op7_ngram_join": op7_ngram_join,
+    "op8_chat": op8_chat,
+    "op9_token_counts": op9_token_counts,
+    "op10_line_dedup": op10_line_dedup,
+}
+SQL = {"op3_warc": OP3_SQL, "op4_url_filter": OP4_SQL, "op5_mixing": OP5_SQL, "op8_chat": OP8_SQL}
