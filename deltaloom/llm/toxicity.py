@@ -40,7 +40,7 @@ TABLE = 1 << BITS
 PREFIXES = (4, 6)
 FEATURES = 1 + len(PREFIXES)
 SLICES = 96
-RARE = 1e-12
+LIMIT = 20.0
 
 
 class Model(NamedTuple):
@@ -205,7 +205,8 @@ def evidence(n: np.ndarray, found: list[list[tuple[int, int, float]]], rate: flo
     best = np.array([max((s for _, _, s in x), default=0.0) for x in found])
     limit = -np.log(expected)
     many = np.array([sum(float(surprise(np.array(s), np.array(m), rate, log_k)) > limit for _, _, s in x) for x, m in zip(found, n)])
-    return np.column_stack([np.clip(surprise(best, n, rate, log_k), -20, 20), np.log1p(many)])
+    least = np.where(best > 0, surprise(best, n, rate, log_k), -LIMIT)  # no segment at all: nothing to be surprised by
+    return np.column_stack([np.clip(least, -LIMIT, LIMIT), np.log1p(many)])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "toxic",
