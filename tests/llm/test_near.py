@@ -55,14 +55,15 @@ def test_join_odd_tables(spark):
     assert got == sorted([(None, 2, 3), (3, 2, 3), (3, 2, 3), (None, 0, None), (9, 0, 9)], key=str)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_links", [7, 60, 1000])
+def test_components(spark, task_links):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 60, (45, 2))] + [(100 + i, 101 + i) for i in range(40)] + [(500, 500)]
     df = spark.createDataFrame(edges + [(b, a) for a, b in edges[:5]], "a long, b long")
     want = components(600, edges)
-    got = {r.node: r.label for r in spark_components(df).collect()}
+    got = {r.node: r.label for r in spark_components(df, task_links=task_links).collect()}
     assert got == {x: want[x] for a, b in edges if a != b for x in (a, b)}
-    assert spark_components(df.limit(0)).count() == 0
+    assert spark_components(df.limit(0), task_links=task_links).count() == 0
 
 
 def norm(line):
