@@ -4,7 +4,7 @@ A line is what stands between newlines. Its normal form is its words (ASCII lett
 ASCII; other ASCII characters separate), A-Z lower-cased, digits written 0, one space between words. Lines of fewer
 than `min_words` words are too common to mean anything and always stay.
 
-1. Each line gets a key (64-bit hash of its words in order) and a 64-bit SimHash of its words. Lines of equal keys
+1. Each line gets a key (64-bit hash of its words in order) and a 64-bit SimHash of its distinct words. Lines of equal keys
    are one node from here on, pre-aggregated before the shuffle, with their first occurrence.
 2. SimHashes at most 3 bits apart agree in 2 of 5 blocks at least: each goes, packed, to the 10 partitions of its
    block pairs, and meets there whatever agrees in those 25 bits. A group of more than 64 is cut again by the same
@@ -49,11 +49,21 @@ MASKS = [_bits(a, b) for a, b in zip(_EDGES, _EDGES[1:])]
 TABLES = list(combinations(range(BLOCKS), BLOCKS - DISTANCE))
 
 
-def simhash(word_hash: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """One per line: bit i is set if more than half of the line's words have it set. at: each line's first word."""
-    bits = np.unpackbits(word_hash.view(np.uint8).reshape(-1, 8), axis=1)
+_LOW40 = np.uint64((1 << 40) - 1)
+
+
+def simhash(word_hash: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """One per line: bit i is set if more than half of the line's distinct words have it set. count: words per line.
+
+    Counting words once keeps the commonest of them from deciding every bit.
+    """
+    line = np.repeat(np.arange(len(count), dtype=np.uint64), count)
+    key = np.sort(line << np.uint64(40) | word_hash >> np.uint64(24))
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+    at = np.searchsorted(key, np.arange(len(count), dtype=np.uint64) << np.uint64(40))
+    bits = np.unpackbits(K.mix(key & _LOW40).view(np.uint8).reshape(-1, 8), axis=1)
     ones = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
-    return np.packbits(2 * ones > count[:, None], axis=1).view(np.uint64).ravel()
+    return np.packbits(2 * ones > np.diff(np.append(at, len(key)))[:, None], axis=1).view(np.uint64).ravel()
 
 
 def _line_keys(word_hash: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -84,7 +94,7 @@ def lines_of(c: K.Chunk, min_words: int) -> tuple[np.ndarray, np.ndarray, np.nda
     for a, b in zip(cutoff, cutoff[1:]):
         part = h[at[a] : at[b - 1] + count[b - 1]]
         key[a:b] = _line_keys(part, at[a:b] - at[a], count[a:b])
-        sim[a:b] = simhash(part, at[a:b] - at[a], count[a:b])
+        sim[a:b] = simhash(part, count[a:b])
     return row, number, key, sim
 
 
