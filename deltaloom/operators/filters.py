@@ -54,3 +54,20 @@ def merge_tasks(first: DataFrame, *others: DataFrame, key: Sequence[str]) -> Dat
     values = [c for c in first.columns if c not in key]
     best = every.groupBy(*key).agg(F.min_by(F.struct(*values), "_rank").alias("_v"))
     return best.select(*key, *[F.col(f"_v.{c}").alias(c) for c in values])
+
+
+def heartbeats(offsets: DataFrame, task: Sequence[str], now_ms: int, interval_ms: int, last_beat_ms: str = "last_beat_ms") -> DataFrame:
+    """A record per task whose last beat is an interval ago or more, or that has none."""
+    due = F.col(last_beat_ms).isNull() | (F.lit(now_ms) - F.col(last_beat_ms) >= interval_ms)
+    return offsets.where(due).select(*task, F.lit(now_ms).cast("long").alias("ts_ms"))
+
+
+def current_generation(log: DataFrame, offsets: DataFrame, generation: str = "generation_start", window_start_ms: str = "window_start_ms") -> DataFrame:
+    """Records of the generations that may be read: one opens when every task of all older ones has passed its start.
+
+    offsets: generation and window_start_ms of each task. Generations are few, so their table is a bounded side.
+    """
+    starts = offsets.groupBy(F.col(generation).alias("_g")).agg(F.min(F.coalesce(window_start_ms, F.lit(-1))).alias("_least"))
+    pairs = starts.alias("a").join(starts.alias("b"), F.col("b._g") < F.col("a._g"), "left")
+    is_open = pairs.groupBy(F.col("a._g").alias("_g")).agg(F.bool_and(F.coalesce(F.col("b._least") > F.col("a._g"), F.lit(True))).alias("_open"))
+    return log.join(is_open.where("_open").select("_g"), F.col(generation) == F.col("_g"), "left_semi")

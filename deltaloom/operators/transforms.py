@@ -43,3 +43,9 @@ def latest_state(events: DataFrame, key: tuple[str, ...], order: tuple[str, ...]
     """Consumer: the last event of each key; rows whose last event is a delete are gone."""
     last = events.groupBy(*key).agg(F.max_by(F.struct("op", "after"), F.struct(*order)).alias("_e"))
     return last.where(F.col("_e.op") != "d").select(*key, F.col("_e.after").alias("after"))
+
+
+def make_optional(df: DataFrame) -> DataFrame:
+    """The same rows with every scalar column nullable; complex ones keep what they declare."""
+    complex_ = (T.ArrayType, T.MapType, T.StructType)
+    return df.select(*[F.col(f.name) if isinstance(f.dataType, complex_) else F.nullif(F.col(f.name), F.lit(None)).alias(f.name) for f in df.schema.fields])
