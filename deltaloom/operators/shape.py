@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.wire import as_text
 from ..model import Op, TableSpec
-from ..options import CaptureOptions, Format, Image, Place
+from ..options import CaptureOptions, Image, Place
 from .filters import modified
 
 #: Event codes of the operations (fixed values).

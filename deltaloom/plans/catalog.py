@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import tasks, timeuuid, wire
 from ..functions.instants import instant
-from ..model import Op
 from ..operators import correlate, filters, shape, transforms
 from ..options import CaptureOptions, Format, Image, Place
 from ..sources import validate, windows
