@@ -6,13 +6,13 @@ than `min_words` words are too common to mean anything and always stay.
 
 1. Each line gets a key (64-bit hash of its words in order) and a 64-bit SimHash of its distinct words. Lines of equal keys
    are one node from here on, pre-aggregated before the shuffle, with their first occurrence.
-2. SimHashes at most 3 bits apart agree in 2 of 5 blocks at least: each goes, packed, to the 10 partitions of its
-   block pairs, and meets there whatever agrees in those 25 bits. A group of more than 64 is cut again by the same
-   rule on its other bits. A pair counts only for the first block pair it agrees in, so it is met once. Of the pairs
+2. SimHashes at most 4 bits apart agree in 2 of 6 blocks at least: each goes, packed, to the 15 partitions of its
+   block pairs, and meets there whatever agrees in those 21 bits. A group of thousands is cut again by the same rule
+   on its other bits; one that stays large is compared with its centre first, then only what is left with all. Of the pairs
    that meet in a partition, a spanning forest goes on: thousands of near copies need not be paired with each other.
 3. Candidates are verified by the edit distance of their normal forms: similarity 1 - distance/longer at least 0.9.
    Where a pair of the forest fails, its whole group is met again, and every pair across different components is
-   verified, so that no link between them is lost.
+   verified, once, so that no link between them is lost.
 4. Verified pairs join nodes to connected groups; of each group the occurrence with the least (id, row, line) stays.
 
 Null or empty texts have no lines to remove and stay as they are. Null ids sort first. Repeated rows (equal id and
@@ -35,9 +35,9 @@ from . import packing as P
 from .components import components
 from .shared import cut, partitions, ship
 
-DISTANCE = 3
-BLOCKS = 5
-FEW = 64
+DISTANCE = 4
+BLOCKS = 6
+FEW, MANY, DEPTH = 64, 4096, 2
 
 
 def _bits(a: int, b: int) -> np.uint64:
@@ -114,8 +114,8 @@ def _scatter(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = batch.column(0).to_numpy().view(np.uint64)
-            for a in range(0, len(s), 1 << 17):
-                x = s[a : a + (1 << 17)]
+            for a in range(0, len(s), 1 << 16):
+                x = s[a : a + (1 << 16)]
                 part = [P.part_of(K.mix((x & (MASKS[i] | MASKS[j])) ^ np.uint64(t)), parts) for t, (i, j) in enumerate(TABLES)]
                 yield from P.pack(np.concatenate(part), np.repeat(np.arange(len(TABLES)), len(x)), np.arange(len(TABLES)),
                                   np.zeros(len(TABLES), np.int32), np.tile(x, len(TABLES)))
@@ -126,7 +126,7 @@ def _scatter(parts: int):
 def _runs(v: np.ndarray, mask: np.uint64) -> Iterator[np.ndarray]:
     """Groups of two and more that agree under the mask: small ones of like size stacked as rows, large ones alone."""
     key = v & mask
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     v, key = v[order], key[order]
     at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     n = np.diff(np.append(at, len(v)))
@@ -136,38 +136,68 @@ def _runs(v: np.ndarray, mask: np.uint64) -> Iterator[np.ndarray]:
         yield v[at[i] : at[i] + n[i]][None, :]
 
 
-def near(v: np.ndarray, mask: np.uint64, free: list[np.uint64]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _close(a: np.ndarray, b) -> np.ndarray:
+    return np.bitwise_count(a ^ b) <= DISTANCE
+
+
+def _large(v: np.ndarray, label) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A large group: what its centre is near to hangs together by that; all else is compared with everything.
+
+    With labels, what has the commonest label hangs together already.
+    """
+    if label is None:
+        some = v[np.linspace(0, len(v) - 1, 16).astype(int)]
+        centre = some[np.argmax([_close(v, x).sum() for x in some])]
+        hit = _close(v, centre)
+        rest = v[~hit]
+        near_centre = v[hit & (v != centre)]
+        yield near_centre, np.full(len(near_centre), centre)
+    else:
+        of = label(v)
+        kinds, n = np.unique(of[of != MANY_LABELS], return_counts=True)
+        rest = v[of != kinds[np.argmax(n)]] if len(kinds) else v
+    for x in rest:
+        hit = v[_close(v, x) & (v != x)]
+        yield hit, np.full(len(hit), x)
+
+
+def near(v: np.ndarray, mask: np.uint64, free: list[np.uint64], label=None, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of distinct values that agree under the mask and are at most DISTANCE bits apart; some come repeatedly.
 
-    free: single-bit masks outside the mask, by which large groups are cut again.
+    Of large groups only those pairs that connect them. free: single-bit masks outside the mask, to cut by.
     """
     for rows in _runs(v, mask):
         n = rows.shape[1]
-        if n <= FEW or len(free) <= DISTANCE:
+        if n <= MANY:
             for d in range(1, n):
                 a, b = rows[:, :-d].ravel(), rows[:, d:].ravel()
-                on = np.bitwise_count(a ^ b) <= DISTANCE
+                on = _close(a, b)
                 if on.any():
                     yield a[on], b[on]
-        else:
+        elif depth < DEPTH and len(free) > DISTANCE:
             step = -(-len(free) // (DISTANCE + 1))
             for i in range(0, len(free), step):
                 inner = np.bitwise_or.reduce(np.array(free[i : i + step], np.uint64))
-                yield from near(rows[0], inner, free[:i] + free[i + step :])
+                yield from near(rows[0], inner, free[:i] + free[i + step :], label, depth + 1)
+        else:
+            yield from _large(rows[0], label)
 
 
-def _canonical(v: np.ndarray, t: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of the distinct values v whose first agreeing blocks are those of table t."""
+def _met(v: np.ndarray, t: int, label=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Near pairs of the distinct values v that agree in the blocks of table t."""
     i, j = TABLES[t]
     mask = MASKS[i] | MASKS[j]
-    free = [np.uint64(1 << k) for k in range(64) if not int(mask) >> k & 1]
-    for a, b in near(v, mask, free):
-        first = np.ones(len(a), bool)
-        for k in range(j):
-            if k != i:
-                first &= ((a ^ b) & MASKS[k]) != 0
-        if first.any():
-            yield a[first], b[first]
+    yield from near(v, mask, [np.uint64(1 << k) for k in range(64) if not int(mask) >> k & 1], label)
+
+
+def _first_met(a: np.ndarray, b: np.ndarray, t: int) -> np.ndarray:
+    """Whether table t has the first blocks that a pair agrees in."""
+    i, j = TABLES[t]
+    first = np.ones(len(a), bool)
+    for k in range(j):
+        if k != i:
+            first &= ((a ^ b) & MASKS[k]) != 0
+    return first
 
 
 class _Forest:
@@ -194,7 +224,7 @@ def _batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A spanning forest of the near pairs that meet in this partition."""
+    """A spanning forest of the near pairs that meet in this partition, over all its tables."""
     got = list(batches)
     if not got:
         return
@@ -202,7 +232,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     del got
     forest = _Forest()
     for t in range(len(TABLES)):
-        pairs = [(x, y) for a, b in _canonical(np.unique(value[table == t]), t) for x, y in zip(a.tolist(), b.tolist()) if forest.joins(x, y)]
+        pairs = [(x, y) for a, b in _met(np.unique(value[table == t]), t) for x, y in zip(a.tolist(), b.tolist()) if forest.joins(x, y)]
         if pairs:
             yield _batch(pairs)
 
@@ -233,7 +263,9 @@ def _meet_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in range(len(TABLES)):
         v, at = np.unique(value[table == t], return_index=True)
         of = label[table == t][at]
-        for a, b in _canonical(v, t):
+        for a, b in _met(v, t, lambda x, v=v, of=of: of[np.searchsorted(v, x)]):
+            first = _first_met(a, b, t)
+            a, b = a[first], b[first]
             x, y = of[np.searchsorted(v, a)], of[np.searchsorted(v, b)]
             on = (x != y) | (x == MANY_LABELS)
             if on.any():

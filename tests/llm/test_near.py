@@ -11,7 +11,7 @@ from deltaloom.llm import line_dedup as L
 from deltaloom.llm.components import components as spark_components
 from deltaloom.llm.ngram_join import ngram_join
 
-from .fixtures import TO_LOWER, components, edited, near_pairs, sentence, shingles
+from .fixtures import TO_LOWER, components, edited, near_pairs, sentence
 
 
 def corpus():
@@ -139,15 +139,30 @@ def test_lines_odd_tables(spark):
     assert got == sorted([(1, "", 1), (1, "", 1), (None, line, 0), (2, "", 2)], key=str)
 
 
-@pytest.mark.parametrize("few", [2, 64])
-def test_near_values(monkeypatch, few):
+@pytest.mark.parametrize("few,many", [(64, 4096), (3, 9), (2, 2)])
+@pytest.mark.parametrize("labelled", [False, True])
+def test_near_values(monkeypatch, few, many, labelled):
     monkeypatch.setattr(L, "FEW", few)
+    monkeypatch.setattr(L, "MANY", many)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 30, np.uint64)
-    flips = [b ^ np.uint64(1 << int(i)) ^ np.uint64(1 << int(j)) for b in base[:10] for i, j in rng.integers(0, 64, (20, 2))]
+    flips = [b ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 3).astype(np.uint64)) for b in base[:10] for _ in range(20)]
     v = np.unique(np.concatenate([base, np.array(flips, np.uint64)]))
-    want = {(int(a), int(b)) for i, a in enumerate(v) for b in v[i + 1 :] if int(a ^ b).bit_count() <= 3}
-    got = []
+    pairs = [(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if int(v[i] ^ v[j]).bit_count() <= L.DISTANCE]
+    assert len(pairs) > 300
+    of = rng.integers(0, 3, len(v)) if labelled else np.arange(len(v))
+
+    def label(x):
+        return of[np.searchsorted(v, x)]
+
+    got = set()
     for t in range(len(L.TABLES)):
-        got += {tuple(sorted((int(x), int(y)))) for a, b in L._canonical(v, t) for x, y in zip(a, b)}
-    assert sorted(got) == sorted(want)  # each pair once, none missed
+        for a, b in L._met(v, t, label if labelled else None):
+            got |= {tuple(sorted(p)) for p in zip(np.searchsorted(v, a).tolist(), np.searchsorted(v, b).tolist())}
+    assert got <= set(pairs)
+    if many > 100:
+        assert got == set(pairs)
+    if labelled:  # every pair of different labels
+        assert {p for p in pairs if of[p[0]] != of[p[1]]} <= got
+    else:
+        assert components(len(v), got) == components(len(v), pairs)
