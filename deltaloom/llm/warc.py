@@ -59,7 +59,7 @@ def plan_revisits(pages: DataFrame, revisit_from: int) -> DataFrame:
     return joined.select("id", "url", "payload", "digest", F.when(~F.col("id").eqNullSafe(F.col("_last")), F.col("_last")).alias("refers_to"))
 
 
-def write_archives(planned: DataFrame, folder: str, archive_bytes: int = 64 << 20, level: int = 1) -> DataFrame:
+def write_archives(planned: DataFrame, folder: str, archive_bytes: int = 64 << 20, level: int = 6) -> DataFrame:
     """One gzip stream per archive of about archive_bytes of records; returns (archive, records)."""
     ship(planned.sparkSession)
 
