@@ -43,6 +43,7 @@ from .shared import cut, partitions, ship
 BLOCK_VALUES = 1 << 21
 VALUES_PER_PART = 4_000_000
 HOT_WEIGHT = 1 << 30
+SALTS = 32
 
 
 class Joined(NamedTuple):
@@ -323,7 +324,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mins = members.where("n > 0").groupBy("cls").agg(F.min("id").alias("first"))
     linked = mins.join(labels, F.col("cls") == F.col("node"))
     least = linked.groupBy("label").agg(F.min("first").alias("least"))
-    of_class = linked.join(least, "label").select(F.col("node").alias("_n"), "least")
+    salted = least.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # a large component's classes meet its id in SALTS tasks
+    of_class = linked.withColumn("_salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int")).join(salted, ["label", "_salt"]).select(F.col("node").alias("_n"), "least")
     ids = cut(mins.join(of_class, F.col("cls") == F.col("_n"), "left").select(F.col("cls").alias("_c"), F.coalesce("least", "first").alias("component_id")))
     full = members.where("n > 0").join(ids, F.col("cls") == F.col("_c")).select("id", F.col("n").alias("n_shingles"), "component_id")
     bare = members.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
