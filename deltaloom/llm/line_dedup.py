@@ -278,6 +278,48 @@ def normal_form(line: Column) -> Column:
     return F.trim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
 
 
+def _ahead(a: str, i: int, b: str, j: int) -> int:
+    """Length of the common beginning of a[i:] and b[j:], by comparing slices of growing, then shrinking size."""
+    n, step, most = 0, 8, min(len(a) - i, len(b) - j)
+    while n < most and step:
+        if n + step <= most and a[i + n : i + n + step] == b[j + n : j + n + step]:
+            n += step
+            step *= 2
+        else:
+            step //= 2
+    return n
+
+
+def distance_within(a: str, b: str, limit: int) -> int:
+    """Edit distance, or -1 beyond the limit; the work grows with the distance, hardly with the texts' length.
+
+    For each distance the furthest point on every diagonal is kept, and run on over equal characters.
+    """
+    n, m = len(a), len(b)
+    if abs(n - m) > limit:
+        return -1
+    far = {0: _ahead(a, 0, b, 0)}
+    for d in range(limit + 1):
+        if d:
+            last, far = far, {}
+            for k in range(-d, d + 1):
+                i = max(last.get(k - 1, -2), last.get(k, -2) + 1, last.get(k + 1, -2) + 1)
+                i = min(i, n, m - k)
+                if i >= 0 and i + k >= 0:
+                    far[k] = i + _ahead(a, i, b, i + k)
+        if far.get(m - n, -1) >= n:
+            return d
+    return -1
+
+
+#: Long lines are compared by distance_within up to this distance; the built-in's work grows with the square of length.
+LONG, QUICK = 1500, 200
+
+
+def _distance(a, b):
+    return None if a is None or b is None else distance_within(a, b, QUICK)
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -292,9 +334,12 @@ def _verify(src: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: floa
     )
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("h").alias("b"), F.col("t").alias("tb")), "b")
     most = F.floor(F.greatest(F.length("ta"), F.length("tb")) * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    # the distance's cost grows with its bound: most pairs are settled by the small ones
-    steps = " OR ".join(f"levenshtein(ta, tb, {k}) >= 0" for k in ("least(_k, 16)", "least(_k, 128)", "least(_k, 1024)", "_k"))
-    return both.withColumn("_k", most).select("a", "b", ((F.abs(F.length("ta") - F.length("tb")) <= F.col("_k")) & F.expr(steps)).alias("near"))
+    both = both.withColumn("_k", most).withColumn("_long", F.greatest(F.length("ta"), F.length("tb")) >= LONG)
+    may = F.abs(F.length("ta") - F.length("tb")) <= F.col("_k")
+    short = both.where(~F.col("_long")).select("a", "b", (may & F.expr("levenshtein(ta, tb, _k) >= 0")).alias("near"))
+    d = both.where("_long").withColumn("_may", may).withColumn("_d", F.udf(_distance, "int")(F.when(F.col("_may"), F.col("ta")), F.col("tb")))
+    long = d.select("a", "b", (F.col("_may") & F.when(F.col("_d") >= 0, F.col("_d") <= F.col("_k")).otherwise(F.expr(f"_k > {QUICK} AND levenshtein(ta, tb, _k) >= 0"))).alias("near"))
+    return short.unionByName(long)
 
 
 def find_groups(src: DataFrame, min_words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
@@ -353,6 +398,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n"))
     count = F.when(text.isNull() | (text == ""), 0).otherwise(F.size(split))
     return (
-        docs.withColumn("_rid", rid).join(gone.withColumnRenamed("rid", "_rid"), "_rid", "left")
+        docs.withColumn("_rid", rid).join(gone.withColumnRenamed("rid", "_rid").hint("shuffle_hash"), "_rid", "left")
         .select(*[kept.alias(c) if c == text_col else F.col(c) for c in docs.columns], count.alias("_lines"), F.coalesce(F.size("_gone"), F.lit(0)).alias("_removed"))
     )

@@ -79,6 +79,16 @@ def distance(a, b):
     return row[-1]
 
 
+def test_distance_within():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        a = "".join(rng.choice(list("ab c"), rng.integers(0, 25)))
+        b = "".join(rng.choice(list("ab c"), rng.integers(0, 25))) if rng.random() < 0.3 else "".join(c for c in a if rng.random() < 0.9) + "x" * int(rng.integers(0, 3))
+        d = distance(a, b)
+        for limit in (0, 3, 50):
+            assert L.distance_within(a, b, limit) == (d if d <= limit else -1), (a, b)
+
+
 def simhashes(forms, min_words):
     return np.concatenate([L.lines_of(c, min_words)[3] for c in K.chunks(pa.array(forms))]) if forms else np.empty(0, np.uint64)
 
