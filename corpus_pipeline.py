@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat go, but one of each group; so does a document of which no words are left."""
-    done = line_dedup.dedup_lines(docs)
+    done = line_dedup.dedup_lines(docs, grams=True)
     left = (F.col("_removed") == 0) | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
     kept = done.where(left)
     if "n_chars" in docs.columns:

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from . import line_grams as G
 from . import packing as P
 from .components import components
 from .shared import cut, partitions, ship
@@ -110,6 +111,22 @@ def _lines(min_words: int):
     return run
 
 
+def _gram_lines(min_words: int):
+    """As _lines, with keys of the normal forms' bytes and no SimHash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in K.chunks(batch.column(2)):
+                row, number, words, text, start, end = G.normal_lines(c)
+                on = G.enough(words, min_words)
+                row, number, h = row[on], number[on], K.hash_ranges(text, start, end)[on]
+                take = pa.array(row + c.first)
+                yield pa.record_batch([batch.column(0).take(take), batch.column(1).take(take), pa.array(number.astype(np.int32)),
+                                       pa.array(h.view(np.int64)), pa.array(np.zeros(len(h), np.int64))], names=["id", "rid", "line", "h", "s"])
+
+    return run
+
+
 def _scatter(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -342,12 +359,9 @@ def _verify(src: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: floa
     return short.unionByName(long)
 
 
-def find_groups(src: DataFrame, min_words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """src: id, rid, text. Lines (id, rid, line, h, s), and for each key h that is not alone the occurrence to keep."""
+def _word_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Verified pairs a, b of those whose word SimHashes are near."""
     spark = ship(src.sparkSession)
-    id_type = src.schema["id"].dataType.simpleString()
-    lines = cut(src.select("id", "rid", "text").mapInArrow(_lines(min_words), f"id {id_type}, rid long, line int, h long, s long"))
-    nodes = cut(lines.groupBy("h", "s").agg(F.min(F.struct("id", "rid", "line")).alias("first"), F.count("*").alias("n")))
     parts = partitions(spark)
     sims = cut(nodes.groupBy("s").agg(F.min("h").alias("h"), F.count("*").alias("keys")))
     forest = sims.select("s").mapInArrow(_scatter(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_meet, "sa long, sb long").distinct()
@@ -373,6 +387,36 @@ def find_groups(src: DataFrame, min_words: int, similarity: float) -> tuple[Data
         x, y = (inside.select(F.col("s").alias(f"s{c}"), F.col("h").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
         more = _ordered(near_pairs.join(x, "sa").join(y, "sb").where("la != lb").select("a", "b")).join(tried, ["a", "b"], "left_anti")
         links = links.unionByName(_verify(src, nodes, cut(more), similarity).where("near").select("a", "b"))
+    return links
+
+
+def _gram_links(src: DataFrame, nodes: DataFrame, min_words: int, similarity: float) -> DataFrame:
+    """Verified pairs a, b of those that meet by their grams."""
+    parts = partitions(spark := src.sparkSession)
+    ship(spark)
+    runs = cut(
+        src.select("id", "rid", "text").mapInArrow(G.scatter(parts, min_words), G.SCATTERED).repartitionById(parts, F.col("part"))
+        .mapInArrow(G.meet, G.RUNS).dropDuplicates(["run"])
+    )
+    tried = cut(runs.mapInArrow(G.stars(similarity), "a long, b long").distinct())
+    links = cut(_verify(src, nodes, tried, similarity).where("near").select("a", "b"))
+    members = runs.where(F.size("h") > 2).select("run", F.explode(F.arrays_zip("size", "h")).alias("m")).select("run", "m.size", "m.h")
+    members = cut(members.join(components(links), F.col("h") == F.col("node"), "left").select("run", "size", "h", F.coalesce("label", "h").alias("label")))
+    apart = members.groupBy("run").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a != _b").select("run")
+    more = (
+        members.join(apart, "run").groupBy("run").agg(F.collect_list(F.struct("size", "h", "label")).alias("m")).select("m")
+        .mapInArrow(G.across(similarity), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
+    )
+    return links.unionByName(_verify(src, nodes, cut(more), similarity).where("near").select("a", "b"))
+
+
+def find_groups(src: DataFrame, min_words: int, similarity: float, grams: bool = False) -> tuple[DataFrame, DataFrame]:
+    """src: id, rid, text. Lines (id, rid, line, h, s), and for each key h that is not alone the occurrence to keep."""
+    ship(src.sparkSession)
+    id_type = src.schema["id"].dataType.simpleString()
+    lines = cut(src.select("id", "rid", "text").mapInArrow(_gram_lines(min_words) if grams else _lines(min_words), f"id {id_type}, rid long, line int, h long, s long"))
+    nodes = cut(lines.groupBy("h", "s").agg(F.min(F.struct("id", "rid", "line")).alias("first"), F.count("*").alias("n")))
+    links = cut(_gram_links(src, nodes, min_words, similarity) if grams else _word_links(src, nodes, similarity))
     labels = components(links)
     grouped = nodes.join(labels, F.col("h") == F.col("node"), "left").select("h", "first", "n", F.coalesce("label", "h").alias("label"))
     fuzzy = grouped.join(labels.select(F.col("label").alias("_l")).distinct(), F.col("label") == F.col("_l"), "left_semi")
@@ -384,11 +428,14 @@ def find_groups(src: DataFrame, min_words: int, similarity: float) -> tuple[Data
     return lines, keep
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, similarity: float = 0.9) -> DataFrame:
-    """The rows of docs with the texts that remain, and _lines and _removed: how many lines a text had and lost."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, similarity: float = 0.9, grams: bool = False) -> DataFrame:
+    """The rows of docs with the texts that remain, and _lines and _removed: how many lines a text had and lost.
+
+    grams: candidates by character grams (`line_grams`), which find nearly all similar lines, in place of word SimHashes.
+    """
     rid = F.xxhash64(F.col(id_col), F.col(text_col))
     src = docs.select(F.col(id_col).alias("id"), rid.alias("rid"), F.col(text_col).alias("text"))
-    lines, keep = find_groups(src, min_words, similarity)
+    lines, keep = find_groups(src, min_words, similarity, grams)
     gone = (
         lines.join(keep, "h").where(F.struct("id", "rid", "line") != F.col("keep"))
         .groupBy("rid").agg(F.collect_set("line").alias("_gone"))

@@ -74,7 +74,7 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), grams=True)
     return done.select("doc_id", F.col("_lines").cast("long").alias("n_lines"), F.col("_removed").cast("long").alias("n_removed"),
                        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
