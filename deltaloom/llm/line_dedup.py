@@ -15,6 +15,9 @@ than `min_words` words are too common to mean anything and always stay.
    verified, once, so that no link between them is lost.
 4. Verified pairs join nodes to connected groups; of each group the occurrence with the least (id, row, line) stays.
 
+With `grams`, candidates come from `line_grams` in place of 1 to 3's SimHashes, and lines of any number of words take part:
+short ones by equal normal forms only.
+
 Null or empty texts have no lines to remove and stay as they are. Null ids sort first. Repeated rows (equal id and
 text) count as one row: what one keeps, the others keep. Ties are broken by id, then the row's hash, then the line.
 Empty tables give empty results. Other columns pass through.
@@ -111,20 +114,15 @@ def _lines(min_words: int):
     return run
 
 
-def _gram_lines(min_words: int):
-    """As _lines, with keys of the normal forms' bytes and no SimHash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for c in K.chunks(batch.column(2)):
-                row, number, words, text, start, end = G.normal_lines(c)
-                on = G.enough(words, min_words)
-                row, number, h = row[on], number[on], K.hash_ranges(text, start, end)[on]
-                take = pa.array(row + c.first)
-                yield pa.record_batch([batch.column(0).take(take), batch.column(1).take(take), pa.array(number.astype(np.int32)),
-                                       pa.array(h.view(np.int64)), pa.array(np.zeros(len(h), np.int64))], names=["id", "rid", "line", "h", "s"])
-
-    return run
+def _gram_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As _lines, of all lines that have words, with keys of the normal forms' bytes and no SimHash."""
+    for batch in batches:
+        for c in K.chunks(batch.column(2)):
+            row, number, words, text, start, end = G.normal_lines(c)
+            h = K.hash_ranges(text, start, end)
+            take = pa.array(row + c.first)
+            yield pa.record_batch([batch.column(0).take(take), batch.column(1).take(take), pa.array(number.astype(np.int32)),
+                                   pa.array(h.view(np.int64)), pa.array(np.zeros(len(h), np.int64))], names=["id", "rid", "line", "h", "s"])
 
 
 def _scatter(parts: int):
@@ -390,6 +388,11 @@ def _word_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataFram
     return links
 
 
+def _collect(spark) -> None:
+    """Shuffle files of steps that are materialised go when the driver's JVM collects what refers to them."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def _gram_links(src: DataFrame, nodes: DataFrame, min_words: int, similarity: float) -> DataFrame:
     """Verified pairs a, b of those that meet by their grams."""
     parts = partitions(spark := src.sparkSession)
@@ -398,8 +401,10 @@ def _gram_links(src: DataFrame, nodes: DataFrame, min_words: int, similarity: fl
         src.select("id", "rid", "text").mapInArrow(G.scatter(parts, min_words), G.SCATTERED).repartitionById(parts, F.col("part"))
         .mapInArrow(G.meet, G.RUNS).dropDuplicates(["run"])
     )
+    _collect(spark)
     tried = cut(runs.mapInArrow(G.stars(similarity), "a long, b long").distinct())
     links = cut(_verify(src, nodes, tried, similarity).where("near").select("a", "b"))
+    _collect(spark)
     members = runs.where(F.size("h") > 2).select("run", F.explode(F.arrays_zip("size", "h")).alias("m")).select("run", "m.size", "m.h")
     members = cut(members.join(components(links), F.col("h") == F.col("node"), "left").select("run", "size", "h", F.coalesce("label", "h").alias("label")))
     apart = members.groupBy("run").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a != _b").select("run")
@@ -407,16 +412,18 @@ def _gram_links(src: DataFrame, nodes: DataFrame, min_words: int, similarity: fl
         members.join(apart, "run").groupBy("run").agg(F.collect_list(F.struct("size", "h", "label")).alias("m")).select("m")
         .mapInArrow(G.across(similarity), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
     )
-    return links.unionByName(_verify(src, nodes, cut(more), similarity).where("near").select("a", "b"))
+    links = cut(links.unionByName(_verify(src, nodes, cut(more), similarity).where("near").select("a", "b")))
+    _collect(spark)
+    return links
 
 
 def find_groups(src: DataFrame, min_words: int, similarity: float, grams: bool = False) -> tuple[DataFrame, DataFrame]:
     """src: id, rid, text. Lines (id, rid, line, h, s), and for each key h that is not alone the occurrence to keep."""
     ship(src.sparkSession)
     id_type = src.schema["id"].dataType.simpleString()
-    lines = cut(src.select("id", "rid", "text").mapInArrow(_gram_lines(min_words) if grams else _lines(min_words), f"id {id_type}, rid long, line int, h long, s long"))
+    lines = cut(src.select("id", "rid", "text").mapInArrow(_gram_lines if grams else _lines(min_words), f"id {id_type}, rid long, line int, h long, s long"))
     nodes = cut(lines.groupBy("h", "s").agg(F.min(F.struct("id", "rid", "line")).alias("first"), F.count("*").alias("n")))
-    links = cut(_gram_links(src, nodes, min_words, similarity) if grams else _word_links(src, nodes, similarity))
+    links = _gram_links(src, nodes, min_words, similarity) if grams else _word_links(src, nodes, similarity)
     labels = components(links)
     grouped = nodes.join(labels, F.col("h") == F.col("node"), "left").select("h", "first", "n", F.coalesce("label", "h").alias("label"))
     fuzzy = grouped.join(labels.select(F.col("label").alias("_l")).distinct(), F.col("label") == F.col("_l"), "left_semi")
@@ -432,6 +439,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of docs with the texts that remain, and _lines and _removed: how many lines a text had and lost.
 
     grams: candidates by character grams (`line_grams`), which find nearly all similar lines, in place of word SimHashes.
+    Then lines of fewer than min_words words take part too: repeats of their normal form go, and from 20 characters on
+    they are compared with others as well, as in scripts without spaces.
     """
     rid = F.xxhash64(F.col(id_col), F.col(text_col))
     src = docs.select(F.col(id_col).alias("id"), rid.alias("rid"), F.col(text_col).alias("text"))

@@ -19,6 +19,7 @@ from . import kernels as K
 from . import packing as P
 
 GRAM, ROWS, BANDS = 5, 4, 24
+MIN_CHARS = 20
 KEY_BYTES = 5
 #: Lengths travel as a byte, in steps of 5 %; see `steps`.
 STEP = np.log(1.05)
@@ -79,8 +80,9 @@ def bands(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
-def enough(words: np.ndarray, min_words: int) -> np.ndarray:
-    return words >= min_words
+def enough(words: np.ndarray, chars: np.ndarray, min_words: int) -> np.ndarray:
+    """Whether lines are long enough to be similar to others: by words, or by characters where words are not spaced."""
+    return (words >= min_words) | (chars >= MIN_CHARS)
 
 
 def scatter(parts: int, min_words: int):
@@ -91,7 +93,8 @@ def scatter(parts: int, min_words: int):
         for batch in batches:
             for c in K.chunks(batch.column(2)):
                 _, _, words, text, start, end = normal_lines(c)
-                on = enough(words, min_words) & (end - start >= GRAM)
+                chars = characters(text, start, end)
+                on = enough(words, chars, min_words) & (end - start >= GRAM)
                 h = K.hash_ranges(text, start, end)
                 for i in np.flatnonzero(on):
                     on[i] = (x := int(h[i])) not in seen
@@ -99,7 +102,7 @@ def scatter(parts: int, min_words: int):
                 if not on.any():
                     continue
                 start, end, h = start[on], end[on], h[on]
-                size = length_step(characters(text, start, end))
+                size = length_step(chars[on])
                 key = bands(text, start, end).ravel()
                 part = P.part_of(key, parts)
                 order = np.argsort(part, kind="stable")

@@ -78,3 +78,10 @@ def test_query_uses_grams(spark, tmp_path):
     assert len(want) == 10
     got = queries.QUERIES["op10_line_dedup"](spark, str(tmp_path)).toPandas()
     assert got["n_removed"].sum() == 10
+
+
+def test_short_lines(spark):
+    han = "".join(chr(0x4E00 + i * 37 % 2000) for i in range(60))
+    docs = ["and ornd\nAll rights reserved\n...", "and ornd!\nsomething else", "All  rights reserved.\n...", han + "\nab", han[:30] + "X" + han[31:], han, "ab\nand ornt"]
+    got = gone_of(spark, docs, grams=True)
+    assert [got[i].text for i in range(len(docs))] == [docs[0], "something else", "...", docs[3], "", "", "and ornt"]
