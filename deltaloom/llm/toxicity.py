@@ -14,6 +14,9 @@
 4. A logistic curve over the best segment's surprise (-log expectation) and the passages' share turns this into a
    probability; it is fitted to training documents too.
 
+`prior`, `sureness` and `drift`, where not given, are those of GRID with the least logistic loss when each of FOLDS parts of
+the training labels is scored by counts of the others; with fewer than MIN_TOXIC toxic labels, the first of GRID.
+
 At most `most_labels` labelled documents (chosen by a hash of the id) train the model, and at most `most_calibration`
 of them fit the curves: documented bounds of a broadcast. Rows for which crc32(id as text) mod 3 is 1 never train.
 
@@ -29,6 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +45,9 @@ PREFIXES = (4, 6)
 FEATURES = 1 + len(PREFIXES)
 SLICES = 96
 LIMIT = 20.0
+#: prior, sureness, drift
+GRID = [(p, s, d) for p, s in ((10_000.0, 1.64), (1000.0, 1.0), (1000.0, 0.5), (300.0, 1.0), (300.0, 0.5)) for d in (2.0, 2.5)]
+FOLDS, MIN_TOXIC = 3, 30
 
 
 class Model(NamedTuple):
@@ -64,30 +71,30 @@ def features(c: K.Chunk) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def _count(labels):
-    """Packed partial counts of a task: slice, background, toxic, clean."""
+    """Packed partial counts of a task: slice, background, then toxic and clean of each fold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((3, FEATURES * TABLE), np.int64)
+        total = np.zeros((1 + 2 * FOLDS, FEATURES * TABLE), np.int64)
         any_rows = False
         for batch in batches:
             any_rows = True
-            toxic = _labels_of(batch.column(0), labels.value)
+            kind = _labels_of(batch.column(0), labels.value)  # fold * 2, plus 1 for clean
             for c in K.chunks(batch.column(1)):
                 index, bound = features(c)
                 row = np.repeat(np.arange(c.first, c.first + len(bound) - 1), np.diff(bound))
-                known = np.flatnonzero(toxic[row] >= 0)
+                known = np.flatnonzero(kind[row] >= 0)
                 for x in index:
                     total[0] += np.bincount(x, minlength=total.shape[1])
                     if len(known):  # a labelled text counts once for each of its features
                         pair = np.unique(row[known] * total.shape[1] + x[known])
-                        x, label = pair % total.shape[1], toxic[pair // total.shape[1]]
-                        total[1] += np.bincount(x[label == 1], minlength=total.shape[1])
-                        total[2] += np.bincount(x[label == 0], minlength=total.shape[1])
+                        x, of = pair % total.shape[1], kind[pair // total.shape[1]]
+                        for k in np.unique(of):
+                            total[1 + k] += np.bincount(x[of == k], minlength=total.shape[1])
         if any_rows:
             for i, part in enumerate(np.array_split(np.arange(total.shape[1]), SLICES)):
                 a, b = part[0], part[-1] + 1
-                kind = np.int32 if total[:, a:b].max(initial=0) < 2**31 else np.int64
-                yield pa.record_batch([pa.array([i], pa.int32()), pa.array([np.dtype(kind).itemsize], pa.int32()), pa.array([total[:, a:b].astype(kind).tobytes()], pa.binary())], names=["slice", "width", "counts"])
+                width = np.int32 if total[:, a:b].max(initial=0) < 2**31 else np.int64
+                yield pa.record_batch([pa.array([i], pa.int32()), pa.array([np.dtype(width).itemsize], pa.int32()), pa.array([total[:, a:b].astype(width).tobytes()], pa.binary())], names=["slice", "width", "counts"])
 
     return run
 
@@ -209,8 +216,52 @@ def evidence(n: np.ndarray, found: list[list[tuple[int, int, float]]], rate: flo
     return np.column_stack([np.clip(least, -LIMIT, LIMIT), np.log1p(many)])
 
 
+def _pooled(counts: np.ndarray, leave: int | None = None) -> np.ndarray:
+    """Background, toxic, clean: of all folds, or of all but one."""
+    on = [i for i in range(FOLDS) if i != leave]
+    return np.stack([counts[0], sum(counts[1 + 2 * i] for i in on), sum(counts[2 + 2 * i] for i in on)])
+
+
+def _scanned(src: DataFrame, known: tuple[np.ndarray, ...], weights: list[list[np.ndarray]], settings: list[tuple[int, float]]):
+    """t, n and s of each known document under each setting g: (index into weights, drift). weights: by the document's fold."""
+    held = src.sparkSession.sparkContext.broadcast((known, weights))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (k, t, fold), weights = held.value
+        for batch in batches:
+            toxic, part = _labels_of(batch.column(0), (k, t)), _labels_of(batch.column(0), (k, fold))
+            for p in range(FOLDS):
+                on = (toxic >= 0) & (part == p)
+                y = toxic[on]
+                for c in K.chunks(batch.column(1).filter(pa.array(on))):
+                    for g, (w, drift) in enumerate(settings):
+                        n, found = scan(c, weights[w][p], drift)
+                        yield pa.record_batch([pa.array(np.full(len(n), g, np.int32)), pa.array(y[c.first : c.first + len(n)].astype(np.int32)), pa.array(n.astype(np.int64)),
+                                               pa.array([[s for _, _, s in found.get(i, [])] for i in range(len(n))], pa.list_(pa.float64()))], names=["g", "t", "n", "s"])
+
+    return src.mapInArrow(run, "g int, t int, n long, s array<double>").toArrow()
+
+
+def _calibrate(sample, expected: float) -> tuple[tuple[float, float, np.ndarray], float]:
+    """Rate, log K and curve fitted to a sample, and the logistic loss there."""
+    sample = sample.sort_values(["t", "n"], kind="stable")
+    y, n = sample["t"].to_numpy(), sample["n"].to_numpy()
+    found = [[(0, 0, float(v)) for v in x] for x in sample["s"]]
+    best = np.array([max((s for _, _, s in x), default=0.0) for x in found])
+    rate, log_k = fit_extremes(np.sort(best[y == 0]), n[y == 0][np.argsort(best[y == 0], kind="stable")])
+    x = evidence(n, found, rate, log_k, expected)
+    curve = fit_curve(x, y)
+    z = np.clip(curve[0] + x @ curve[1:], -14, 14)
+    return (rate, log_k, curve), float(np.mean(np.logaddexp(0, z) - y * z))
+
+
+def _losses(src: DataFrame, known: tuple[np.ndarray, ...], weights: list[list[np.ndarray]], settings: list[tuple[int, float]], expected: float) -> list[float]:
+    sample = _scanned(src, known, weights, settings)
+    return [_calibrate(sample.filter(pc.equal(sample["g"], g)).to_pandas(), expected)[1] for g in range(len(settings))] if len(sample) else [0.0]
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "toxic",
-          most_labels: int = 1_000_000, most_calibration: int = 100_000, prior: float = 10_000.0, sureness: float = 1.64, drift: float = 2.0, expected: float = 0.01) -> Model:
+          most_labels: int = 1_000_000, most_calibration: int = 100_000, prior: float | None = None, sureness: float | None = None, drift: float | None = None, expected: float = 0.01) -> Model:
     spark = ship(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     usable = (
@@ -222,8 +273,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         usable = usable.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * most_labels / many))
     got = usable.toPandas().sort_values("id")
     keys, toxic = got["id"].to_numpy(np.int64), got["t"].to_numpy(np.int64)
-    held = spark.sparkContext.broadcast((keys, toxic))
-    counts = np.zeros((3, FEATURES * TABLE), np.int64)
+    fold = (K.mix(keys.view(np.uint64) ^ np.uint64(0x5DEECE66D)) % np.uint64(FOLDS)).astype(np.int64)
+    held = spark.sparkContext.broadcast((keys, 2 * fold + 1 - toxic))
+    counts = np.zeros((1 + 2 * FOLDS, FEATURES * TABLE), np.int64)
     rows = (
         src.mapInArrow(_count(held), "slice int, width int, counts binary")
         .repartition(min(SLICES, partitions(spark)), "slice").mapInArrow(_add, "slice int, width int, counts binary")
@@ -231,36 +283,25 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     at = np.array_split(np.arange(counts.shape[1]), SLICES)
     for r in rows.toLocalIterator():
         part = at[r["slice"]]
-        counts[:, part] += np.frombuffer(r["counts"], np.int64).reshape(3, -1)
+        counts[:, part] += np.frombuffer(r["counts"], np.int64).reshape(len(counts), -1)
+    grid = list(dict.fromkeys(tuple(x if given is None else given for given, x in zip((prior, sureness, drift), g)) for g in GRID))
     if not len(keys) or not toxic.any():
-        return Model(np.full(counts.shape[1], -drift, np.float32), 1.0, 0.0, np.array([-30.0, 0.0, 0.0]), drift, expected)
-    weight = log_odds(counts, prior, sureness)
+        return Model(np.full(counts.shape[1], -grid[0][2], np.float32), 1.0, 0.0, np.array([-30.0, 0.0, 0.0]), grid[0][2], expected)
 
     # calibration documents: a bounded, hash-chosen part of the training labels
     pick = K.mix(keys.view(np.uint64)) < np.uint64(min((1 << 64) - 1, int((1 << 64) * most_calibration / max(1, len(keys)))))
-    held2 = spark.sparkContext.broadcast((keys[pick], toxic[pick], weight))
-
-    def best_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k, t, weight = held2.value
-        for batch in batches:
-            toxic = _labels_of(batch.column(0), (k, t))
-            on = pa.array(toxic >= 0)
-            toxic, text = toxic[toxic >= 0], batch.column(1).filter(on)
-            for c in K.chunks(text):
-                n, found = scan(c, weight, drift)
-                yield pa.record_batch([pa.array(toxic[c.first : c.first + len(n)].astype(np.int32)), pa.array(n.astype(np.int64)),
-                                       pa.array([[s for _, _, s in found.get(i, [])] for i in range(len(n))], pa.list_(pa.float64()))], names=["t", "n", "s"])
-
-    sample = src.mapInArrow(best_of, "t int, n long, s array<double>").toPandas()
+    known = keys[pick], toxic[pick], fold[pick]
+    if len(grid) > 1 and toxic.sum() >= MIN_TOXIC:
+        kinds = list(dict.fromkeys(g[:2] for g in grid))
+        weights = [[log_odds(_pooled(counts, leave), *k) for leave in range(FOLDS)] for k in kinds]
+        losses = _losses(src, known, weights, [(kinds.index(g[:2]), g[2]) for g in grid], expected)
+        grid = [grid[int(np.argmin(np.round(losses, 6)))]]
+    prior, sureness, drift = grid[0]
+    weight = log_odds(_pooled(counts), prior, sureness)
+    sample = _scanned(src, known, [[weight] * FOLDS], [(0, drift)]).to_pandas()
     if not len(sample):
         return Model(weight, 1.0, 0.0, np.array([-30.0, 0.0, 0.0]), drift, expected)
-    sample = sample.sort_values(["t", "n"], kind="stable")
-    y, n = sample["t"].to_numpy(), sample["n"].to_numpy()
-    found = [[(0, 0, float(v)) for v in x] for x in sample["s"]]
-    best = np.array([max((s for _, _, s in x), default=0.0) for x in found])
-    rate, log_k = fit_extremes(np.sort(best[y == 0]), n[y == 0][np.argsort(best[y == 0], kind="stable")])
-    curve = fit_curve(evidence(n, found, rate, log_k, expected), y)
-    return Model(weight, rate, log_k, curve, drift, expected)
+    return Model(weight, *_calibrate(sample, expected)[0], drift, expected)
 
 
 PASSAGES = "array<struct<first_token:int,tokens:int,score:double>>"
