@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deltaloom.llm import decontaminate, line_dedup, mixing, ngram_join, toxicity
-from deltaloom.llm.shared import run_dir, table
+from deltaloom.llm.shared import fresh, run_dir, table
 
 TOXIC = 0.7
 
@@ -17,17 +17,16 @@ TOXIC = 0.7
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below TOXIC stay; the model is trained on this stage's own input and the labels."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("_score") < TOXIC).select(*docs.columns)
+    return toxicity.score(docs, model).where(F.col(fresh(docs.columns, "_score")) < TOXIC).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat go, but one of each group; so does a document of which no words are left."""
-    done = line_dedup.dedup_lines(docs, grams=True)
-    left = (F.col("_removed") == 0) | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
-    kept = done.where(left)
+    done, removed = line_dedup.dedup_lines(docs), fresh(docs.columns, "_removed")
+    kept = done.where((F.col(removed) == 0) | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        kept = kept.withColumn("n_chars", F.when(F.col("_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        kept = kept.withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return kept.select(*docs.columns)
 
 

@@ -1,398 +1,146 @@
 """Fuzzy line deduplication: SimHash of normalised lines, pigeonhole blocks, verified edit similarity.
 
 A line is what stands between newlines. Its normal form is its words (ASCII letters, digits and everything beyond
-ASCII; other ASCII characters separate), A-Z lower-cased, digits written 0, one space between words. Lines of fewer
-than `min_words` words are too common to mean anything and always stay.
-
-1. Each line gets a key (64-bit hash of its words in order) and a 64-bit SimHash of its distinct words. Lines of equal keys
-   are one node from here on, pre-aggregated before the shuffle, with their first occurrence.
-2. SimHashes at most 4 bits apart agree in 2 of 6 blocks at least: each goes, packed, to the 15 partitions of its
-   block pairs, and meets there whatever agrees in those 21 bits. A group of thousands is cut again by the same rule
-   on its other bits; one that stays large is compared with its centre first, then only what is left with all. Of the pairs
-   that meet in a partition, a spanning forest goes on: thousands of near copies need not be paired with each other.
-3. Candidates are verified by the edit distance of their normal forms: similarity 1 - distance/longer at least 0.9.
+ASCII; other ASCII characters separate), A-Z lower-cased, digits written 0, one space between words. Lines without words
+always stay.
+
+1. Each line gets a key, the 64-bit hash of its normal form. Lines of equal keys are one node from here on,
+   pre-aggregated before the shuffle, with their first occurrence. Lines of `min_words` words or MIN_CHARS characters (as in
+   scripts without spaces) also get a SimHash; shorter ones are compared by their keys only.
+2. SimHashes that agree in three of eleven blocks meet, and are candidates if at most 12 bits differ (`line_simhash`). Of
+   those that meet, a spanning forest goes on: thousands of near copies need not be paired with each other.
+3. Candidates are verified by the edit distance of their normal forms (`edits`): similarity 1 - distance/longer at least 0.9.
    Where a pair of the forest fails, its whole group is met again, and every pair across different components is
-   verified, once, so that no link between them is lost.
+   verified, once, so that no link between candidates is lost.
 4. Verified pairs join nodes to connected groups; of each group the occurrence with the least (id, row, line) stays.
 
-With `grams`, candidates come from `line_grams` in place of 1 to 3's SimHashes, and lines of any number of words take part:
-short ones by equal normal forms only.
+With `grams`, candidates come from `line_grams` in place of 2: more sensitive to edits all over a line, at many times the cost.
 
 Null or empty texts have no lines to remove and stay as they are. Null ids sort first. Repeated rows (equal id and
 text) count as one row: what one keeps, the others keep. Ties are broken by id, then the row's hash, then the line.
-Empty tables give empty results. Other columns pass through.
+Empty tables give empty results. Other columns pass through, whatever their names; see `fresh` for the appended ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import edits as E
 from . import kernels as K
 from . import line_grams as G
+from . import line_simhash as S
 from . import packing as P
 from .components import components
-from .shared import cut, partitions, ship
+from .shared import cut, free_shuffles, fresh, join_few, partitions, ship
 
-DISTANCE = 4
-BLOCKS = 6
-FEW, MANY, DEPTH = 64, 4096, 2
+VALUES_PER_PART = 4_000_000
 
 
-def _bits(a: int, b: int) -> np.uint64:
-    return np.uint64(((1 << b) - 1) ^ ((1 << a) - 1))
+def _lines(min_words: int, hashed: bool):
+    """Rows (id, rid, text) to their lines that have words, with keys, and SimHashes of those long enough."""
 
-
-_EDGES = [round(64 * i / BLOCKS) for i in range(BLOCKS + 1)]
-MASKS = [_bits(a, b) for a, b in zip(_EDGES, _EDGES[1:])]
-TABLES = list(combinations(range(BLOCKS), BLOCKS - DISTANCE))
-
-
-_LOW40 = np.uint64((1 << 40) - 1)
-
-
-def simhash(word_hash: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """One per line: bit i is set if more than half of the line's distinct words have it set. count: words per line.
-
-    Counting words once keeps the commonest of them from deciding every bit.
-    """
-    line = np.repeat(np.arange(len(count), dtype=np.uint64), count)
-    key = np.sort(line << np.uint64(40) | word_hash >> np.uint64(24))
-    key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-    at = np.searchsorted(key, np.arange(len(count), dtype=np.uint64) << np.uint64(40))
-    bits = np.unpackbits(K.mix(key & _LOW40).view(np.uint8).reshape(-1, 8), axis=1)
-    ones = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
-    return np.packbits(2 * ones > np.diff(np.append(at, len(key)))[:, None], axis=1).view(np.uint64).ravel()
-
-
-def _line_keys(word_hash: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
-    place = K._powers(0xC2B2AE3D27D4EB4F, int(count.max()) + 1)
-    return K.mix(np.add.reduceat(word_hash * place[np.arange(len(word_hash)) - np.repeat(at, count) + 1], at) + count.astype(np.uint64))
-
-
-NOT_NEWLINE = K.byte_table(lambda b: b != 10)
-
-
-def lines_of(c: K.Chunk, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """row, line number, key and SimHash of each line of at least min_words words."""
-    start, end = K.spans(c.data, c.offsets, NOT_NEWLINE)
-    w = K.words(c, K.WORD_CHAR, K.LOWER_DIGITLESS)
-    at, to = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
-    on = to - at >= min_words
-    start, at, count = start[on], at[on], (to - at)[on]
-    if not len(start):
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2
-    row = np.searchsorted(c.offsets, start, "right") - 1
-    newlines = np.flatnonzero(c.data == 10)
-    number = np.searchsorted(newlines, start) - np.searchsorted(newlines, c.offsets[row])
-    used = np.repeat(at - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-    h, at = w.hash[used], np.concatenate([[0], np.cumsum(count)[:-1]])
-    key, sim = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
-    cutoff = np.searchsorted(at, np.arange(0, len(h), 1 << 17))
-    cutoff = np.unique(np.append(cutoff, len(at)))
-    for a, b in zip(cutoff, cutoff[1:]):
-        part = h[at[a] : at[b - 1] + count[b - 1]]
-        key[a:b] = _line_keys(part, at[a:b] - at[a], count[a:b])
-        sim[a:b] = simhash(part, count[a:b])
-    return row, number, key, sim
-
-
-def _lines(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in K.chunks(batch.column(2)):
-                row, number, key, sim = lines_of(c, min_words)
+                row, number, words, text, start, end = G.normal_lines(c)
+                h = K.hash_ranges(text, start, end)
+                on = G.enough(words, G.characters(text, start, end), min_words) & (end - start >= S.GRAM) & hashed
+                s, x = np.zeros(len(h), np.uint64), np.zeros(len(h), np.int32)
+                if on.any():
+                    s[on], x[on] = S.simhashes(text, start[on], end[on])
                 take = pa.array(row + c.first)
                 yield pa.record_batch([batch.column(0).take(take), batch.column(1).take(take), pa.array(number.astype(np.int32)),
-                                       pa.array(key.view(np.int64)), pa.array(sim.view(np.int64))], names=["id", "rid", "line", "h", "s"])
-
-    return run
-
-
-def _gram_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """As _lines, of all lines that have words, with keys of the normal forms' bytes and no SimHash."""
-    for batch in batches:
-        for c in K.chunks(batch.column(2)):
-            row, number, words, text, start, end = G.normal_lines(c)
-            h = K.hash_ranges(text, start, end)
-            take = pa.array(row + c.first)
-            yield pa.record_batch([batch.column(0).take(take), batch.column(1).take(take), pa.array(number.astype(np.int32)),
-                                   pa.array(h.view(np.int64)), pa.array(np.zeros(len(h), np.int64))], names=["id", "rid", "line", "h", "s"])
-
-
-def _scatter(parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s = batch.column(0).to_numpy().view(np.uint64)
-            for a in range(0, len(s), 1 << 16):
-                x = s[a : a + (1 << 16)]
-                part = [P.part_of(K.mix((x & (MASKS[i] | MASKS[j])) ^ np.uint64(t)), parts) for t, (i, j) in enumerate(TABLES)]
-                yield from P.pack(np.concatenate(part), np.repeat(np.arange(len(TABLES)), len(x)), np.arange(len(TABLES)),
-                                  np.zeros(len(TABLES), np.int32), np.tile(x, len(TABLES)))
+                                       pa.array(h.view(np.int64)), pa.array(s.view(np.int64), mask=~on), pa.array(x, mask=~on)],
+                                      names=["id", "rid", "line", "h", "s", "x"])
 
     return run
 
 
-def _runs(v: np.ndarray, mask: np.uint64) -> Iterator[np.ndarray]:
-    """Groups of two and more that agree under the mask: small ones of like size stacked as rows, large ones alone."""
-    key = v & mask
-    order = np.argsort(key)
-    v, key = v[order], key[order]
-    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    n = np.diff(np.append(at, len(v)))
-    for size in np.unique(n[(n > 1) & (n <= FEW)]):
-        yield v[at[n == size][:, None] + np.arange(size)]
-    for i in np.flatnonzero(n > FEW):
-        yield v[at[i] : at[i] + n[i]][None, :]
-
-
-def _close(a: np.ndarray, b) -> np.ndarray:
-    return np.bitwise_count(a ^ b) <= DISTANCE
-
-
-def _large(v: np.ndarray, label) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """A large group: what its centre is near to hangs together by that; all else is compared with everything.
-
-    With labels, what has the commonest label hangs together already.
-    """
-    if label is None:
-        some = v[np.linspace(0, len(v) - 1, 16).astype(int)]
-        centre = some[np.argmax([_close(v, x).sum() for x in some])]
-        hit = _close(v, centre)
-        rest = v[~hit]
-        near_centre = v[hit & (v != centre)]
-        yield near_centre, np.full(len(near_centre), centre)
-    else:
-        of = label(v)
-        kinds, n = np.unique(of[of != MANY_LABELS], return_counts=True)
-        rest = v[of != kinds[np.argmax(n)]] if len(kinds) else v
-    for x in rest:
-        hit = v[_close(v, x) & (v != x)]
-        yield hit, np.full(len(hit), x)
-
-
-def near(v: np.ndarray, mask: np.uint64, free: list[np.uint64], label=None, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of distinct values that agree under the mask and are at most DISTANCE bits apart; some come repeatedly.
-
-    Of large groups only those pairs that connect them. free: single-bit masks outside the mask, to cut by.
-    """
-    for rows in _runs(v, mask):
-        n = rows.shape[1]
-        if n <= MANY:
-            for d in range(1, n):
-                a, b = rows[:, :-d].ravel(), rows[:, d:].ravel()
-                on = _close(a, b)
-                if on.any():
-                    yield a[on], b[on]
-        elif depth < DEPTH and len(free) > DISTANCE:
-            step = -(-len(free) // (DISTANCE + 1))
-            for i in range(0, len(free), step):
-                inner = np.bitwise_or.reduce(np.array(free[i : i + step], np.uint64))
-                yield from near(rows[0], inner, free[:i] + free[i + step :], label, depth + 1)
-        else:
-            yield from _large(rows[0], label)
-
-
-def _met(v: np.ndarray, t: int, label=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Near pairs of the distinct values v that agree in the blocks of table t."""
-    i, j = TABLES[t]
-    mask = MASKS[i] | MASKS[j]
-    yield from near(v, mask, [np.uint64(1 << k) for k in range(64) if not int(mask) >> k & 1], label)
-
-
-def _first_met(a: np.ndarray, b: np.ndarray, t: int) -> np.ndarray:
-    """Whether table t has the first blocks that a pair agrees in."""
-    i, j = TABLES[t]
-    first = np.ones(len(a), bool)
-    for k in range(j):
-        if k != i:
-            first &= ((a ^ b) & MASKS[k]) != 0
-    return first
-
-
-class _Forest:
-    """Keeps of the edges that come by those that join something."""
-
-    def __init__(self) -> None:
-        self.up: dict[int, int] = {}
-
-    def _top(self, x: int) -> int:
-        up = self.up
-        while (y := up.get(x, x)) != x:
-            up[x] = x = up.get(y, y)
-        return x
-
-    def joins(self, a: int, b: int) -> bool:
-        a, b = self._top(a), self._top(b)
-        self.up[a] = b
-        return a != b
-
-
-def _batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    x = np.array(pairs, np.uint64).view(np.int64).reshape(-1, 2)
-    return pa.record_batch([pa.array(x.min(axis=1)), pa.array(x.max(axis=1))], names=["sa", "sb"])
-
-
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A spanning forest of the near pairs that meet in this partition, over all its tables."""
-    got = list(batches)
-    if not got:
-        return
-    table, _, value, _ = P.unpack(got)
-    del got
-    forest = _Forest()
-    for t in range(len(TABLES)):
-        pairs = [(x, y) for a, b in _met(np.unique(value[table == t]), t) for x, y in zip(a.tolist(), b.tolist()) if forest.joins(x, y)]
-        if pairs:
-            yield _batch(pairs)
-
-
-MANY_LABELS = -1
-
-
-def _scatter_labelled(parts: int):
-    """As _scatter, for rows (s, label): each value is its own owner, which carries its label, and the table's number."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, label = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
-            part = [P.part_of(K.mix((x & (MASKS[i] | MASKS[j])) ^ np.uint64(t)), parts) for t, (i, j) in enumerate(TABLES)]
-            n = len(TABLES) * len(x)
-            yield from P.pack(np.concatenate(part), np.arange(n), np.tile(label, len(TABLES)),
-                              np.repeat(np.arange(len(TABLES), dtype=np.int32), len(x)), np.tile(x, len(TABLES)))
-
-    return run
-
-
-def _meet_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All near pairs of different labels that meet in this partition."""
-    got = list(batches)
-    if not got:
-        return
-    label, table, value, _ = P.unpack(got)
-    for t in range(len(TABLES)):
-        v, at = np.unique(value[table == t], return_index=True)
-        of = label[table == t][at]
-        for a, b in _met(v, t, lambda x, v=v, of=of: of[np.searchsorted(v, x)]):
-            first = _first_met(a, b, t)
-            a, b = a[first], b[first]
-            x, y = of[np.searchsorted(v, a)], of[np.searchsorted(v, b)]
-            on = (x != y) | (x == MANY_LABELS)
-            if on.any():
-                yield _batch(np.column_stack([a[on], b[on]]))
-
-
 def normal_form(line: Column) -> Column:
-    """The text whose words `lines_of` hashes."""
+    """The text whose bytes `line_grams.normal_lines` gives."""
     low = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000")
     return F.trim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
 
 
-def _ahead(a: str, i: int, b: str, j: int) -> int:
-    """Length of the common beginning of a[i:] and b[j:], by comparing slices of growing, then shrinking size."""
-    n, step, most = 0, 8, min(len(a) - i, len(b) - j)
-    while n < most and step:
-        if n + step <= most and a[i + n : i + n + step] == b[j + n : j + n + step]:
-            n += step
-            step *= 2
-        else:
-            step //= 2
-    return n
-
-
-def distance_within(a: str, b: str, limit: int) -> int:
-    """Edit distance, or -1 beyond the limit; the work grows with the distance, hardly with the texts' length.
-
-    For each distance the furthest point on every diagonal is kept, and run on over equal characters.
-    """
-    n, m = len(a), len(b)
-    if abs(n - m) > limit:
-        return -1
-    far = {0: _ahead(a, 0, b, 0)}
-    for d in range(limit + 1):
-        if d:
-            last, far = far, {}
-            for k in range(-d, d + 1):
-                i = max(last.get(k - 1, -2), last.get(k, -2) + 1, last.get(k + 1, -2) + 1)
-                i = min(i, n, m - k)
-                if i >= 0 and i + k >= 0:
-                    far[k] = i + _ahead(a, i, b, i + k)
-        if far.get(m - n, -1) >= n:
-            return d
-    return -1
-
+def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, [(line, h)]) to the normal forms of those lines."""
+    for batch in batches:
+        wanted = batch.column(1)
+        for c in K.chunks(batch.column(0)):
+            row, number, _, text, start, end = G.normal_lines(c)
+            here = wanted.slice(c.first, len(c.offsets) - 1)
+            line, h = (here.flatten().field(i).to_numpy() for i in (0, 1))
+            owner = np.repeat(np.arange(len(here)), here.value_lengths().to_numpy())
+            at = np.searchsorted(row.astype(np.int64) << 32 | number, owner << 32 | line)
+            texts = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(np.append(start, end[-1:]).astype(np.int64)), pa.py_buffer(text)) if len(start) else pa.array([], pa.large_string())
+            yield pa.record_batch([pa.array(h), texts.take(pa.array(at)).cast(pa.string())], names=["h", "t"])
 
-#: Long lines are compared by distance_within up to this distance; the built-in's work grows with the square of length.
-LONG, QUICK = 1500, 200
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-def _distance(a, b):
-    return None if a is None or b is None else distance_within(a, b, QUICK)
 
+def _check(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(E.distances(b.column(2), b.column(3), similarity) >= 0)], names=["a", "b", "near"])
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return run
 
 
 def _verify(src: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """a, b, near: whether the normal forms of two keys are similar enough."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    wanted = nodes.join(asked, "h").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "h")).alias("_w"))
-    texts = cut(
-        src.select("rid", "text").join(wanted, "rid").select(F.split("text", "\n").alias("_l"), F.explode("_w").alias("w"))
-        .select("w.h", normal_form(F.element_at("_l", F.col("w.line") + 1)).alias("t")).dropDuplicates(["h"])
-    )
+    wanted = nodes.join(asked, "h").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_set(F.struct(F.col("first.line").alias("line"), "h")).alias("_w"))
+    # repeated rows share a rid: any of them gives the line
+    texts = cut(src.select("rid", "text").join(wanted, "rid").select("text", "_w").mapInArrow(_wanted_lines, "h long, t string").dropDuplicates(["h"]))
+    free_shuffles(src.sparkSession)
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("h").alias("b"), F.col("t").alias("tb")), "b")
-    most = F.floor(F.greatest(F.length("ta"), F.length("tb")) * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    both = both.withColumn("_k", most).withColumn("_long", F.greatest(F.length("ta"), F.length("tb")) >= LONG)
-    may = F.abs(F.length("ta") - F.length("tb")) <= F.col("_k")
-    short = both.where(~F.col("_long")).select("a", "b", (may & F.expr("levenshtein(ta, tb, _k) >= 0")).alias("near"))
-    d = both.where("_long").withColumn("_may", may).withColumn("_d", F.udf(_distance, "int")(F.when(F.col("_may"), F.col("ta")), F.col("tb")))
-    long = d.select("a", "b", (F.col("_may") & F.when(F.col("_d") >= 0, F.col("_d") <= F.col("_k")).otherwise(F.expr(f"_k > {QUICK} AND levenshtein(ta, tb, _k) >= 0"))).alias("near"))
-    return short.unionByName(long)
+    return both.select("a", "b", "ta", "tb").mapInArrow(_check(similarity), "a long, b long, near boolean")
 
 
-def _word_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Verified pairs a, b of those whose word SimHashes are near."""
+def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Verified pairs a, b of those whose SimHashes are near."""
     spark = ship(src.sparkSession)
-    parts = partitions(spark)
-    sims = cut(nodes.groupBy("s").agg(F.min("h").alias("h"), F.count("*").alias("keys")))
-    forest = sims.select("s").mapInArrow(_scatter(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_meet, "sa long, sb long").distinct()
-    left, right = sims.select(F.col("s").alias("sa"), F.col("h").alias("a")), sims.select(F.col("s").alias("sb"), F.col("h").alias("b"))
-    several = nodes.join(sims.where("keys > 1").select("s", F.col("h").alias("a")), "s").where(F.col("h") != F.col("a")).select("a", F.col("h").alias("b"))
-    tried = cut(_ordered(forest.join(left, "sa").join(right, "sb").select("a", "b").unionByName(several)))
+    steps = S.length_steps(similarity)
+    hashed = nodes.where("s is not null").select("h", "s", "x")
+    sims = cut(hashed.groupBy("s", "x").agg(F.min("h").alias("h"), F.count("*").alias("keys")))
+    parts = partitions(spark, -(-sims.count() * len(S.ROUTES) // VALUES_PER_PART))
+    free_shuffles(spark)
+    forest = cut(sims.select("s", "x").mapInArrow(S.scatter(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(S.meet(steps), S.PAIRS).distinct())
+    free_shuffles(spark)
+    left, right = (sims.select(F.col("s").alias(f"s{c}"), F.col("x").alias(f"x{c}"), F.col("h").alias(c)) for c in "ab")
+    several = hashed.join(sims.where("keys > 1").select("s", "x", F.col("h").alias("a")), ["s", "x"]).where(F.col("h") != F.col("a")).select("a", F.col("h").alias("b"))
+    tried = cut(_ordered(forest.join(left, ["sa", "xa"]).join(right, ["sb", "xb"]).select("a", "b").unionByName(several)))
     checked = cut(_verify(src, nodes, tried, similarity))
     links = checked.where("near").select("a", "b")
-    failed = checked.where("not near").select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    failed = checked.where("not near").select(F.col("a").alias("h")).distinct()
     if not failed.isEmpty():
         # only where a pair of the forest failed can another pair be needed: there, all across different components
-        group, label = components(tried), components(links)
+        group, label = cut(components(tried)), components(links)
         touched = group.join(failed, F.col("node") == F.col("h")).select(F.col("label").alias("g")).distinct()
-        inside = (
-            group.join(touched, F.col("label") == F.col("g")).select(F.col("node").alias("h"))
-            .join(nodes.select("h", "s"), "h").join(label.withColumnRenamed("node", "_n"), F.col("h") == F.col("_n"), "left")
-            .select("h", "s", F.coalesce("label", "h").alias("label"))
+        large = group.groupBy(F.col("label").alias("g")).agg(F.count("*").alias("c")).where("c > 2").join(touched, "g")  # in two there was but one pair
+        inside = cut(
+            join_few(group, large, "label", "g", group.count()).select(F.col("node").alias("h"))
+            .join(hashed, "h").join(label.withColumnRenamed("node", "_n"), F.col("h") == F.col("_n"), "left")
+            .select("h", "s", "x", F.coalesce("label", "h").alias("label"))
         )
-        inside = cut(inside)
-        by_sim = inside.groupBy("s").agg(F.when(F.min("label") == F.max("label"), F.min("label")).otherwise(F.lit(MANY_LABELS)).alias("label"))
-        near_pairs = by_sim.select("s", "label").mapInArrow(_scatter_labelled(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_meet_across, "sa long, sb long")
-        near_pairs = near_pairs.distinct().unionByName(by_sim.where(F.col("label") == MANY_LABELS).select(F.col("s").alias("sa"), F.col("s").alias("sb")))
-        x, y = (inside.select(F.col("s").alias(f"s{c}"), F.col("h").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
-        more = _ordered(near_pairs.join(x, "sa").join(y, "sb").where("la != lb").select("a", "b")).join(tried, ["a", "b"], "left_anti")
-        links = links.unionByName(_verify(src, nodes, cut(more), similarity).where("near").select("a", "b"))
+        by_sim = inside.groupBy("s", "x").agg(F.when(F.min("label") == F.max("label"), F.min("label")).otherwise(F.lit(S.MANY_LABELS)).alias("label"))
+        near_pairs = by_sim.select("s", "x", "label").mapInArrow(S.scatter(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(S.meet_across(steps), S.PAIRS)
+        same = by_sim.where(F.col("label") == S.MANY_LABELS).select(F.col("s").alias("sa"), F.col("x").alias("xa"), F.col("s").alias("sb"), F.col("x").alias("xb"))
+        a, b = (inside.select(F.col("s").alias(f"s{c}"), F.col("x").alias(f"x{c}"), F.col("h").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
+        more = near_pairs.distinct().unionByName(same).join(a, ["sa", "xa"]).join(b, ["sb", "xb"]).where("la != lb").select("a", "b")
+        more = cut(_ordered(more).join(tried, ["a", "b"], "left_anti"))
+        free_shuffles(spark)
+        links = cut(links.unionByName(_verify(src, nodes, more, similarity).where("near").select("a", "b")))
     return links
 
 
-def _collect(spark) -> None:
-    """Shuffle files of steps that are materialised go when the driver's JVM collects what refers to them."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def _gram_links(src: DataFrame, nodes: DataFrame, min_words: int, similarity: float) -> DataFrame:
     """Verified pairs a, b of those that meet by their grams."""
     parts = partitions(spark := src.sparkSession)
@@ -401,10 +149,10 @@ def _gram_links(src: DataFrame, nodes: DataFrame, min_words: int, similarity: fl
         src.select("id", "rid", "text").mapInArrow(G.scatter(parts, min_words), G.SCATTERED).repartitionById(parts, F.col("part"))
         .mapInArrow(G.meet, G.RUNS).dropDuplicates(["run"])
     )
-    _collect(spark)
+    free_shuffles(spark)
     tried = cut(runs.mapInArrow(G.stars(similarity), "a long, b long").distinct())
     links = cut(_verify(src, nodes, tried, similarity).where("near").select("a", "b"))
-    _collect(spark)
+    free_shuffles(spark)
     members = runs.where(F.size("h") > 2).select("run", F.explode(F.arrays_zip("size", "h")).alias("m")).select("run", "m.size", "m.h")
     members = cut(members.join(components(links), F.col("h") == F.col("node"), "left").select("run", "size", "h", F.coalesce("label", "h").alias("label")))
     apart = members.groupBy("run").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a != _b").select("run")
@@ -413,47 +161,57 @@ def _gram_links(src: DataFrame, nodes: DataFrame, min_words: int, similarity: fl
         .mapInArrow(G.across(similarity), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
     )
     links = cut(links.unionByName(_verify(src, nodes, cut(more), similarity).where("near").select("a", "b")))
-    _collect(spark)
+    free_shuffles(spark)
     return links
 
 
-def find_groups(src: DataFrame, min_words: int, similarity: float, grams: bool = False) -> tuple[DataFrame, DataFrame]:
-    """src: id, rid, text. Lines (id, rid, line, h, s), and for each key h that is not alone the occurrence to keep."""
+def find_groups(src: DataFrame, min_words: int, similarity: float, grams: bool = False) -> tuple[DataFrame, DataFrame, int]:
+    """src: id, rid, text. Lines (id, rid, line, h, s, x); for each key h that is not alone the occurrence to keep and its count n; how many lines."""
     ship(src.sparkSession)
     id_type = src.schema["id"].dataType.simpleString()
-    lines = cut(src.select("id", "rid", "text").mapInArrow(_gram_lines if grams else _lines(min_words), f"id {id_type}, rid long, line int, h long, s long"))
-    nodes = cut(lines.groupBy("h", "s").agg(F.min(F.struct("id", "rid", "line")).alias("first"), F.count("*").alias("n")))
-    links = _gram_links(src, nodes, min_words, similarity) if grams else _word_links(src, nodes, similarity)
-    labels = components(links)
-    grouped = nodes.join(labels, F.col("h") == F.col("node"), "left").select("h", "first", "n", F.coalesce("label", "h").alias("label"))
-    fuzzy = grouped.join(labels.select(F.col("label").alias("_l")).distinct(), F.col("label") == F.col("_l"), "left_semi")
-    least = fuzzy.groupBy("label").agg(F.min("first").alias("keep"))
-    keep = (
-        fuzzy.select("h", "label").join(least, "label").select("h", "keep")
-        .unionByName(grouped.where("n > 1").join(least.select(F.col("label").alias("_l")), F.col("label") == F.col("_l"), "left_anti").select("h", F.col("first").alias("keep")))
-    )
-    return lines, keep
+    lines = cut(src.select("id", "rid", "text").mapInArrow(_lines(min_words, not grams), f"id {id_type}, rid long, line int, h long, s long, x int"))
+    nodes = cut(lines.groupBy("h", "s", "x").agg(F.min(F.struct("id", "rid", "line")).alias("first"), F.count("*").alias("n")))
+    links = _gram_links(src, nodes, min_words, similarity) if grams else _simhash_links(src, nodes, similarity)
+    labels = cut(components(links))
+    fuzzy = cut(nodes.join(labels, F.col("h") == F.col("node")).select("h", "first", "n", "label"))
+    least = cut(fuzzy.groupBy("label").agg(F.min("first").alias("keep"), F.count("*").alias("c")).select(F.col("label").alias("_l"), "keep", "c"))
+    alone = nodes.where("n > 1").join(labels, F.col("h") == F.col("node"), "left_anti").select("h", F.col("first").alias("keep"), "n")
+    keep = join_few(fuzzy, least, "label", "_l", fuzzy.count()).select("h", "keep", "n").unionByName(alone)
+    return lines, keep, lines.count()
+
+
+def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    """The texts without the lines of those numbers; null where there are none."""
+    out = []
+    for t, g in zip(texts, gone):
+        if t.is_valid and g.is_valid:
+            off = set(g.as_py())
+            out.append("\n".join([x for i, x in enumerate(t.as_py().split("\n")) if i not in off]))
+        else:
+            out.append(None)
+    return pa.array(out, pa.string())
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, similarity: float = 0.9, grams: bool = False) -> DataFrame:
     """The rows of docs with the texts that remain, and _lines and _removed: how many lines a text had and lost.
 
-    grams: candidates by character grams (`line_grams`), which find nearly all similar lines, in place of word SimHashes.
-    Then lines of fewer than min_words words take part too: repeats of their normal form go, and from 20 characters on
-    they are compared with others as well, as in scripts without spaces.
+    The appended columns have more underscores in front where docs has columns of their names.
     """
-    rid = F.xxhash64(F.col(id_col), F.col(text_col))
-    src = docs.select(F.col(id_col).alias("id"), rid.alias("rid"), F.col(text_col).alias("text"))
-    lines, keep = find_groups(src, min_words, similarity, grams)
-    gone = (
-        lines.join(keep, "h").where(F.struct("id", "rid", "line") != F.col("keep"))
-        .groupBy("rid").agg(F.collect_set("line").alias("_gone"))
-    )
-    split = F.split(text := F.col(text_col), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("_gone"))
-    kept = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n"))
-    count = F.when(text.isNull() | (text == ""), 0).otherwise(F.size(split))
-    return (
-        docs.withColumn("_rid", rid).join(gone.withColumnRenamed("rid", "_rid").hint("shuffle_hash"), "_rid", "left")
-        .select(*[kept.alias(c) if c == text_col else F.col(c) for c in docs.columns], count.alias("_lines"), F.coalesce(F.size("_gone"), F.lit(0)).alias("_removed"))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at_id, at_text = docs.columns.index(id_col), docs.columns.index(text_col)
+    text = F.col(f"c{at_text}")
+    plain = plain.withColumn("rid", F.xxhash64(F.col(f"c{at_id}"), text))
+    src = plain.select(F.col(f"c{at_id}").alias("id"), "rid", text.alias("text"))
+    lines, keep, total = find_groups(src, min_words, similarity, grams)
+    of_line = keep.select(F.col("h").alias("_h"), "keep", F.col("n").alias("c"))
+    gone = cut(
+        join_few(lines.select("id", "rid", "line", "h"), cut(of_line), "h", "_h", total).where(F.struct("id", "rid", "line") != F.col("keep"))
+        .groupBy(F.col("rid").alias("_g")).agg(F.collect_set("line").alias("gone"))
     )
+    free_shuffles(docs.sparkSession)
+    joined = plain.join(gone.hint("shuffle_hash"), F.col("rid") == F.col("_g"), "left")
+    left = F.arrow_udf(_without, "string")(F.when(F.col("gone").isNotNull(), text), F.col("gone"))
+    count = F.when(text.isNull() | (text == ""), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
+    done = joined.select(*[F.when(F.col("gone").isNull(), text).otherwise(left) if i == at_text else F.col(f"c{i}") for i in range(len(docs.columns))],
+                         count.alias("_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("_removed"))
+    return done.toDF(*docs.columns, fresh(docs.columns, "_lines"), fresh(docs.columns, "_removed"))

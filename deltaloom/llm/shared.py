@@ -43,6 +43,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of steps that are materialised go when the driver's JVM collects what refers to them."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """The name, with more underscores in front while there is a column of that name."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name
+
+
+#: No more keys than this can have so large a share of all rows each.
+FEW_KEYS = 10_000
+
+
+def join_few(rows: DataFrame, keyed: DataFrame, key: str, other: str, total: int, count: str = "c") -> DataFrame:
+    """Rows joined with the one row of their key in `keyed`, without gathering the rows of a hot key in one task.
+
+    keyed: one row for each key `other`, with the count of its rows. Keys of more than 1/FEW_KEYS of all `total` rows, and
+    1000, are FEW_KEYS at most and so a bounded broadcast; the rest meet by a shuffle. Both sides are read twice.
+    """
+    limit = max(1000, -(-total // FEW_KEYS))
+    few = F.broadcast(keyed.where(F.col(count) > limit).drop(count))
+    many = keyed.where(F.col(count) <= limit).drop(count).hint("merge")
+    hot = few.select(other)
+    return rows.join(few, F.col(key) == F.col(other)).unionByName(rows.join(F.broadcast(hot), F.col(key) == F.col(other), "left_anti").join(many, F.col(key) == F.col(other)))
+
+
 def words_of(text) -> F.Column:
     """Number of runs of bytes that are not ASCII white space; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import partitions, ship
+from .shared import fresh, partitions, ship
 
 BITS = 18
 TABLE = 1 << BITS
@@ -308,7 +308,7 @@ PASSAGES = "array<struct<first_token:int,tokens:int,score:double>>"
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with _score and _passages, the significant segments of each text."""
+    """docs with _score and _passages, the significant segments of each text; more underscores where docs has such columns."""
     held = ship(docs.sparkSession).sparkContext.broadcast(model)
     column = docs.columns.index(text_col)
     kind = pa.list_(pa.struct([("first_token", pa.int32()), ("tokens", pa.int32()), ("score", pa.float64())]))
@@ -329,4 +329,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     fields = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
-    return plain.mapInArrow(run, f"{fields}, _score double, _passages {PASSAGES}").toDF(*docs.columns, "_score", "_passages")
+    return plain.mapInArrow(run, f"{fields}, _score double, _passages {PASSAGES}").toDF(*docs.columns, fresh(docs.columns, "_score"), fresh(docs.columns, "_passages"))

@@ -1,7 +1,9 @@
 """Line dedup by character grams, against the edit distance of all pairs."""
 
 import numpy as np
+import pyarrow as pa
 
+from deltaloom.llm import edits as E
 from deltaloom.llm import line_dedup as L
 
 from .fixtures import components, edited, sentence
@@ -18,9 +20,9 @@ def all_gone(docs, min_words=5, similarity=0.9):
                 occ.setdefault(x, []).append((i, n))
     forms, links = list(occ), []
     for a, x in enumerate(forms):
-        for b in range(a + 1, len(forms)):
-            if L.distance_within(x, forms[b], int(max(len(x), len(forms[b])) * (1 - similarity) + 1e-9)) >= 0:
-                links.append((a, b))
+        later = forms[a + 1 :]
+        near = E.distances(pa.array([x] * len(later), pa.string()), pa.array(later, pa.string()), similarity) >= 0
+        links += [(a, a + 1 + int(b)) for b in np.flatnonzero(near)]
     top, groups, gone = components(len(forms), links), {}, set()
     for i, x in enumerate(forms):
         groups.setdefault(top[i], []).extend(occ[x])

@@ -6,8 +6,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from deltaloom.llm import edits as E
 from deltaloom.llm import kernels as K
 from deltaloom.llm import line_dedup as L
+from deltaloom.llm import line_grams as G
+from deltaloom.llm import line_simhash as S
 from deltaloom.llm.components import components as spark_components
 from deltaloom.llm.ngram_join import ngram_join
 
@@ -79,39 +82,98 @@ def distance(a, b):
     return row[-1]
 
 
-def test_distance_within():
-    rng = np.random.default_rng(5)
-    for _ in range(300):
-        a = "".join(rng.choice(list("ab c"), rng.integers(0, 25)))
-        b = "".join(rng.choice(list("ab c"), rng.integers(0, 25))) if rng.random() < 0.3 else "".join(c for c in a if rng.random() < 0.9) + "x" * int(rng.integers(0, 3))
-        d = distance(a, b)
-        for limit in (0, 3, 50):
-            assert L.distance_within(a, b, limit) == (d if d <= limit else -1), (a, b)
+def most_edits(a, b, similarity=0.9):
+    return int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
 
 
-def simhashes(forms, min_words):
-    return np.concatenate([L.lines_of(c, min_words)[3] for c in K.chunks(pa.array(forms))]) if forms else np.empty(0, np.uint64)
+@pytest.mark.parametrize("similarity", [0.9, 0.5, 0.0])
+def test_distances(similarity):
+    rng = np.random.default_rng(5)
+    a, b = [], []
+    for _ in range(400):
+        x = list(rng.choice(list("ab c\u00e9\u6f22\U0001F600"), rng.integers(0, 40)))
+        y = [c for c in x if rng.random() < 0.93] + ["x"] * int(rng.integers(0, 3))
+        if rng.random() < 0.2:
+            y = list(rng.choice(list("ab c"), rng.integers(0, 40)))
+        a.append("".join(x))
+        b.append("".join(y))
+    for x, y, d in zip(a, b, E.distances(pa.array(a), pa.array(b), similarity)):
+        want = distance(x, y)
+        assert d == (want if want <= most_edits(x, y, similarity) else -1), (x, y)
+    assert len(E.distances(pa.array([], pa.string()), pa.array([], pa.string()), similarity)) == 0
+
+
+def test_distances_of_long_texts():
+    rng = np.random.default_rng(6)
+    x = "".join(rng.choice(list("abcdefgh "), 60_000))
+    y = list(x)
+    for p in rng.choice(len(y), 90, replace=False):
+        y[p] = "z"
+    other = "".join(rng.choice(list("abcdefgh "), 60_000))
+    assert E.distances(pa.array([x, x, x]), pa.array(["".join(y), other, x + "!"]), 0.9).tolist() == [90, -1, 1]
+
+
+def hashed(forms):
+    """s and x of normal forms, by the rule's own statement of the distinct features and a sum for each bit."""
+    out = []
+    for t in forms:
+        c = next(K.chunks(pa.array([t])))
+        _, _, _, text, start, end = G.normal_lines(c)
+        f = set(S._runs(text).tolist()) if len(text) >= S.GRAM else set()
+        words = [w.encode()[:8] for w in t.split(" ")]
+        f |= {int(K.mix(np.array([int.from_bytes(w.ljust(8, b"\0"), "big") + 1], np.uint64))[0]) >> 64 - S.BUCKETS for w in words}
+        bits = [S._LANES[i : i + 1].view(np.uint8).ravel().astype(int) for i in sorted(f)]
+        one = 2 * np.sum(bits, axis=0) > len(bits)
+        out.append((one[:64], one[64:], int(np.log(len(t)) / S.STEP)))
+    return out
+
+
+def test_simhash_against_plain_sums():
+    forms = [sentence(i, n) for i, n in enumerate((5, 40, 300, 7))] + ["h\u00e9 " * 9 + "x", "a b c d e"]
+    c = next(K.chunks(pa.array(forms)))
+    _, _, _, text, start, end = G.normal_lines(c)
+    s, x = S.simhashes(text, start, end)
+    for i, (bits, more, step) in enumerate(hashed([norm(f) for f in forms])):
+        assert (np.unpackbits(s[i : i + 1].view(np.uint8)) == bits).all(), i
+        assert (np.unpackbits((x[i : i + 1] >> 8).astype(">i4").view(np.uint8))[8:] == more).all() and x[i] & 255 == step
+
+
+def candidates(s, x, similarity=0.9):
+    """Pairs that agree in SHARED blocks and are near, by trying all."""
+    steps = S.length_steps(similarity)
+    out = set()
+    for i in range(len(s)):
+        j = np.arange(i + 1, len(s))
+        agree = sum((((s[j] ^ s[i]) & m) == 0).astype(int) for m in S.MASKS)
+        out |= {(i, int(k)) for k in j[(agree >= S.SHARED) & S.close(s[j], s[i], x[j], x[i], steps)]}
+    return out
 
 
 def brute_lines(docs, min_words=5, similarity=0.9):
+    """Numbers of the lines that go, by document, and how many links there are."""
     occ = {}
     for i, t in enumerate(docs):
         for n, line in enumerate((t or "").split("\n")):
-            x = norm(line)
-            if x and len(x.split(" ")) >= min_words:
+            if x := norm(line):
                 occ.setdefault(x, []).append((i, n))
     forms = list(occ)
-    sims = simhashes(forms, min_words)
+    long = [i for i, f in enumerate(forms) if (len(f.split(" ")) >= min_words or len(f) >= G.MIN_CHARS) and len(f.encode()) >= S.GRAM]
+    s, x = np.empty(len(long), np.uint64), np.empty(len(long), np.int32)
+    at = 0
+    for c in K.chunks(pa.array([forms[i] for i in long], pa.string())):
+        _, _, _, text, start, end = G.normal_lines(c)
+        s[at : at + len(start)], x[at : at + len(start)] = S.simhashes(text, start, end)
+        at += len(start)
     links = []
-    for a in range(len(forms)):
-        for b in np.flatnonzero(np.bitwise_count(sims[a + 1 :] ^ sims[a]) <= L.DISTANCE) + a + 1:
-            if distance(forms[a], forms[b]) <= int(max(len(forms[a]), len(forms[b])) * (1 - similarity) + 1e-9):
-                links.append((a, int(b)))
+    for a, b in candidates(s, x, similarity):
+        a, b = long[a], long[b]
+        if distance(forms[a], forms[b]) <= most_edits(forms[a], forms[b], similarity):
+            links.append((a, b))
     gone = {}
     top = components(len(forms), links)
     groups = {}
-    for i, x in enumerate(forms):
-        groups.setdefault(top[i], []).extend(occ[x])
+    for i, f in enumerate(forms):
+        groups.setdefault(top[i], []).extend(occ[f])
     for g in groups.values():
         for d, n in g:
             if (d, n) != min(g):
@@ -149,30 +211,70 @@ def test_lines_odd_tables(spark):
     assert got == sorted([(1, "", 1), (1, "", 1), (None, line, 0), (2, "", 2)], key=str)
 
 
-@pytest.mark.parametrize("few,many", [(64, 4096), (3, 9), (2, 2)])
+@pytest.mark.parametrize("many", [256, 9, 2])
 @pytest.mark.parametrize("labelled", [False, True])
-def test_near_values(monkeypatch, few, many, labelled):
-    monkeypatch.setattr(L, "FEW", few)
-    monkeypatch.setattr(L, "MANY", many)
+def test_near_values(monkeypatch, many, labelled):
+    monkeypatch.setattr(S, "MANY", many)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 30, np.uint64)
-    flips = [b ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 3).astype(np.uint64)) for b in base[:10] for _ in range(20)]
-    v = np.unique(np.concatenate([base, np.array(flips, np.uint64)]))
-    pairs = [(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if int(v[i] ^ v[j]).bit_count() <= L.DISTANCE]
-    assert len(pairs) > 300
-    of = rng.integers(0, 3, len(v)) if labelled else np.arange(len(v))
-
-    def label(x):
-        return of[np.searchsorted(v, x)]
-
+    flips = [b ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 9).astype(np.uint64)) for b in base[:10] for _ in range(20)]
+    s = np.unique(np.concatenate([base, np.array(flips, np.uint64)]))
+    x = rng.integers(40, 45, len(s)).astype(np.int32)
+    want = candidates(s, x)
+    assert len(want) > 300
+    of = rng.integers(0, 3, len(s)) if labelled else None
     got = set()
-    for t in range(len(L.TABLES)):
-        for a, b in L._met(v, t, label if labelled else None):
-            got |= {tuple(sorted(p)) for p in zip(np.searchsorted(v, a).tolist(), np.searchsorted(v, b).tolist())}
-    assert got <= set(pairs)
-    if many > 100:
-        assert got == set(pairs)
+    for r, route in enumerate(S.ROUTES):
+        for k in S.THIRDS[r]:
+            for a, b in S.near(s, x, (*route, k), S.length_steps(0.9), of):
+                got |= {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())}
+    assert got <= want
     if labelled:  # every pair of different labels
-        assert {p for p in pairs if of[p[0]] != of[p[1]]} <= got
+        assert got == {p for p in want if of[p[0]] != of[p[1]]}
+    elif many > 100:
+        assert got == want
     else:
-        assert components(len(v), got) == components(len(v), pairs)
+        assert components(len(s), got) == components(len(s), want)
+
+
+def test_three_blocks_meet_once():
+    from itertools import combinations
+
+    seen = [tuple(sorted((*route, k))) for r, route in enumerate(S.ROUTES) for k in S.THIRDS[r]]
+    assert sorted(seen) == list(combinations(range(S.BLOCKS), S.SHARED))
+
+
+def test_recall_against_all_pairs(sf_dir):
+    """Candidates against the edit distance of all pairs of lines, whatever their SimHashes."""
+    import pyarrow.parquet as pq
+
+    forms = sorted({f for t in pq.read_table(f"{sf_dir}/documents.parquet", columns=["text"]).column(0).to_pylist() for x in (t or "").split("\n") if len(f := norm(x)) >= G.MIN_CHARS}, key=len)
+    n = np.array([len(f) for f in forms])
+    column = pa.array(forms)
+    near = []
+    for i in range(len(forms)):
+        j = np.arange(i + 1, np.searchsorted(n, n[i] / 0.9 + 1e-6, "right"))
+        if len(j):
+            d = E.distances(pa.array([forms[i]] * len(j)), column.take(pa.array(j)), 0.9)
+            near += [(i, int(k)) for k in j[d >= 0]]
+    assert len(near) > 20
+    c = next(K.chunks(column, 1 << 40))
+    _, _, _, text, start, end = G.normal_lines(c)
+    found = candidates(*S.simhashes(text, start, end))
+    assert sum(p in found for p in near) >= 0.9 * len(near), (len(near), sum(p in found for p in near))
+
+
+def test_clashing_names(spark):
+    line = sentence(3, 9)
+    names = ["doc_id", "text", "_rid", "rid", "_gone", "gone", "id", "h", "_lines", "_removed"]
+    df = spark.createDataFrame([(i, line, *range(8)) for i in (1, 2)], names)
+    got = L.dedup_lines(df)
+    assert got.columns == [*names, "__lines", "__removed"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, line, *range(8), 1, 0), (2, "", *range(8), 1, 1)]
+
+
+def test_very_long_lines(spark):
+    line = sentence(8, 30_000)
+    docs = [line, edited(line, 17), sentence(9, 30_000), line + "\n" + "x" * 300_000]
+    got = {r.doc_id: r for r in L.dedup_lines(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
+    assert [got[i]._removed for i in range(4)] == [0, 1, 0, 1] and got[3].text == "x" * 300_000
