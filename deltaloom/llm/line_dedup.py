@@ -39,6 +39,7 @@ from .components import components
 from .shared import cut, free_shuffles, fresh, join_few, partitions, ship
 
 VALUES_PER_PART = 4_000_000
+CHUNK = 1 << 19
 
 
 def _lines(min_words: int, hashed: bool):
@@ -46,10 +47,10 @@ def _lines(min_words: int, hashed: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in K.chunks(batch.column(2)):
+            for c in K.chunks(batch.column(2), CHUNK):
                 row, number, words, text, start, end = G.normal_lines(c)
                 h = K.hash_ranges(text, start, end)
-                on = G.enough(words, G.characters(text, start, end), min_words) & (end - start >= S.GRAM) & hashed
+                on = G.enough(words, G.characters(text, start, end), min_words) & hashed
                 s, x = np.zeros(len(h), np.uint64), np.zeros(len(h), np.int32)
                 if on.any():
                     s[on], x[on] = S.simhashes(text, start[on], end[on])

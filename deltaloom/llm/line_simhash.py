@@ -1,7 +1,7 @@
 """SimHashes of lines, and the join of those that are near on pigeonhole blocks.
 
-Features of a line are the distinct words and the distinct runs of GRAM bytes of its normal form: words keep unlike lines
-apart, runs hardly move when single characters change. 64 bits of the SimHash are cut into BLOCKS; two lines meet if
+Features of a line are the distinct words of its normal form, by their first 8 bytes, and of words of more than LONG_WORD
+bytes, as scripts without spaces have them, the runs of GRAM bytes too. 64 bits of the SimHash are cut into BLOCKS; two lines meet if
 they agree in SHARED of them, which those of at most BLOCKS - SHARED differing bits always do, and are candidates if then
 at most DISTANCE of the 64 bits differ. 24 further bits and the length are a second look, which keeps what agrees by chance from
 being compared: at most SECOND of the further bits may differ, and lengths that rule the similarity out never pass.
@@ -24,7 +24,7 @@ from . import kernels as K
 from . import packing as P
 from .line_grams import characters
 
-GRAM, BUCKETS = 4, 14
+GRAM, LONG_WORD, BUCKETS = 6, 16, 14
 BLOCKS, SHARED, DISTANCE, SECOND = 11, 3, 12, 8
 MANY = 256
 PIECE = 1 << 17
@@ -55,25 +55,17 @@ def _lanes() -> np.ndarray:
 _LANES = _lanes()
 
 
-def _runs(text: np.ndarray) -> np.ndarray:
-    """The bucket of the GRAM bytes at each place."""
-    n = max(0, len(text) - GRAM + 1)
-    run = text[:n].astype(np.uint32)
-    for i in range(1, GRAM):
-        run = run << np.uint32(8) | text[i : n + i]
-    for shift, factor in ((15, 0x2C1B3C6D), (12, 0x297A2D39)):
-        run = (run ^ run >> np.uint32(shift)) * np.uint32(factor)
-    return run >> np.uint32(32 - BUCKETS)
+_KEEP = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
-def _words(text: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """The bucket of the word that begins at each place, by its first 8 bytes; `stop` is its line's end."""
-    word, alive = np.zeros(len(begin), np.uint64), np.ones(len(begin), bool)
-    for i in range(8):
-        here = text[np.minimum(begin + i, len(text) - 1)]
-        alive &= (here != 32) & (begin + i < stop)
-        word = word << np.uint64(8) | np.where(alive, here, 0).astype(np.uint64)
-    return (K.mix(word + np.uint64(1)) >> np.uint64(64 - BUCKETS)).astype(np.uint32)
+def _eight(text: np.ndarray) -> np.ndarray:
+    """At each place the next 8 bytes as one number, the first lowest; zeros follow the text."""
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    return np.ndarray(len(text), "<u8", padded, strides=(1,))
+
+
+def _bucket(x: np.ndarray) -> np.ndarray:
+    return (K.mix(x) >> np.uint64(64 - BUCKETS)).astype(np.uint32)
 
 
 def _features(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -81,21 +73,25 @@ def _features(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     base = int(start[0])
     text, start, end = text[base : int(end[-1])], (start - base).astype(np.int32), (end - base).astype(np.int32)
     wide = np.uint32 if len(start) < 1 << 32 - BUCKETS else np.uint64
-    count = end - start - GRAM + 1
-    line = np.repeat(np.arange(len(start), dtype=wide), count)
-    at = np.arange(len(line), dtype=np.int32) + np.repeat(start - (np.cumsum(count, dtype=np.int32) - count), count)
-    begin = np.flatnonzero(text == 32).astype(np.int32) + 1
-    of = np.searchsorted(start, begin, "right") - 1
-    begin, of = np.concatenate([start, begin]), np.concatenate([np.arange(len(start)), of])
-    inside = begin < end[of]
+    begin = np.sort(np.concatenate([start, np.flatnonzero(text == 32).astype(np.int32) + 1]))
+    of = (np.searchsorted(start, begin, "right") - 1).astype(np.int32)
+    inside = begin < end[of]  # what lies between the lines asked for is not
     begin, of = begin[inside], of[inside]
-    key = np.concatenate([line << wide(BUCKETS) | _runs(text)[at], of.astype(wide) << wide(BUCKETS) | _words(text, begin, end[of])])
+    stop = end[of]
+    stop[:-1] = np.where(of[1:] == of[:-1], begin[1:] - 1, stop[:-1])
+    length = stop - begin
+    eight = _eight(text)
+    key = of.astype(wide) << wide(BUCKETS) | _bucket((eight[begin] & _KEEP[np.minimum(length, 8)]) + np.uint64(1))
+    if len(long := np.flatnonzero(length > LONG_WORD)):
+        runs = length[long] - GRAM + 1
+        at = np.arange(runs.sum()) + np.repeat(begin[long] - (np.cumsum(runs) - runs), runs)
+        key = np.concatenate([key, np.repeat(of[long], runs).astype(wide) << wide(BUCKETS) | _bucket(eight[at] & _KEEP[GRAM] ^ np.uint64(1 << 63))])
     key = np.sort(key)
     return key[np.concatenate([[True], key[1:] != key[:-1]])]
 
 
 def simhashes(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 64 bits of each line, and the further 24 with the length. Lines have at least GRAM bytes."""
+    """The 64 bits of each line, and the further 24 with the length; text: the lines' normal forms."""
     s, x = np.empty(len(start), np.uint64), np.empty(len(start), np.int32)
     step = np.minimum(255, np.log(np.maximum(characters(text, start, end), 1)) / STEP).astype(np.int32)
     total = np.cumsum(end - start)
@@ -189,30 +185,28 @@ def _packed(s: np.ndarray, blocks: tuple[int, ...]) -> np.ndarray:
 
 
 def near(s: np.ndarray, x: np.ndarray, blocks: tuple[int, ...], steps: int, label: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places in s that agree in the blocks and are near; of large groups only pairs that connect them."""
+    """Pairs of places in s that agree in the blocks and are near; of large groups, with repeats, only pairs that connect them."""
     key, length = _packed(s, blocks) << np.uint32(8), (x & 255).astype(np.uint32)
-    order = np.argsort(key | length)
-    key, length = key[order], length[order]
-    whole = key | length
-    to = np.searchsorted(whole, key | np.minimum(length + np.uint32(steps), 255), "right")
-    behind = to - np.arange(len(key)) - 1  # how many of its group come after each, up to the last length that may be near
-    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-    large = np.maximum.reduceat(behind, at) > MANY if len(at) else np.empty(0, bool)
-    n = np.diff(np.append(at, len(key)))
-    active = np.flatnonzero((behind > 0) & ~np.repeat(large, n))
-    d = 1
-    while len(active):
-        a, b = order[active], order[active + d]
-        on = np.bitwise_count(s[a] ^ s[b]) <= DISTANCE
-        if on.any():
-            a, b = a[on], b[on]
+    whole = np.sort((key | length).astype(np.uint64) << np.uint64(32) | np.arange(len(s), dtype=np.uint64))
+    order, whole = (whole & np.uint64(0xFFFFFFFF)).astype(np.int64), (whole >> np.uint64(32)).astype(np.uint32)
+    up_to = whole & np.uint32(0xFFFFFF00) | np.minimum((whole & np.uint32(255)) + np.uint32(steps), 255)  # the last length of its group that may be near
+    sims, active, d = s[order], np.arange(len(s)), 1
+    while d <= MANY:
+        active = active[: np.searchsorted(active, len(s) - d)]
+        active = active[whole[active + d] <= up_to[active]]
+        if not len(active):
+            return
+        on = np.flatnonzero(np.bitwise_count(sims[active] ^ sims[active + d]) <= DISTANCE)
+        if len(on):
+            a, b = order[active[on]], order[active[on] + d]
             on = close(s[a], s[b], x[a], x[b], steps) & _apart(label, a, b)
             if on.any():
                 yield a[on], b[on]
         d += 1
-        active = active[behind[active] >= d]
-    for i in np.flatnonzero(large):
-        for a, b in _large(s, x, order[at[i] : at[i] + n[i]], steps, label):
+    group = np.concatenate([[0], np.cumsum(whole[1:] >> np.uint32(8) != whole[:-1] >> np.uint32(8))])
+    for g in np.unique(group[active]):
+        lo, hi = np.searchsorted(group, [g, g + 1])
+        for a, b in _large(s, x, order[lo:hi], steps, label):
             on = (a != b) & _apart(label, a, b)
             if on.any():
                 yield a[on], b[on]
@@ -226,28 +220,20 @@ def _flat(up: np.ndarray) -> np.ndarray:
         up = top
 
 
-def _forest(up: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list[int]]:
-    """Joins pairs a, b in the flat forest `up`; which of them joined something."""
-    used = []
-    on = np.flatnonzero(up[a] != up[b])
-    top: dict[int, int] = {}
-
-    def find(v: int) -> int:
-        while (w := top.get(v, v)) != v:
-            top[v] = v = top.get(w, w)
-        return v
-
-    for k, p, q in zip(on.tolist(), up[a[on]].tolist(), up[b[on]].tolist()):
-        p, q = find(p), find(q)
-        if p != q:
-            top[max(p, q)] = min(p, q)
-            used.append(k)
-    if top:
+def _forest(up: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Joins pairs a, b in the flat forest `up`, larger roots to smaller ones; which of the pairs joined something."""
+    used, live = [], np.flatnonzero(up[a] != up[b])
+    while len(live):
+        p, q = up[a[live]], up[b[live]]
+        low, high = np.minimum(p, q), np.maximum(p, q)
+        order = np.lexsort((low, high))
+        order = order[np.concatenate([[True], high[order[1:]] != high[order[:-1]]])]
         up = up.copy()
-        keys = np.array(list(top))
-        up[keys] = [top[k] for k in keys.tolist()]
+        up[high[order]] = low[order]
+        used.append(live[order])
         up = _flat(up)
-    return up, used
+        live = live[up[a[live]] != up[b[live]]]
+    return up, np.concatenate(used) if used else live
 
 
 PAIRS = "sa long, xa int, sb long, xb int"
@@ -291,7 +277,7 @@ def meet(steps: int):
                 if pairs:
                     a, b = (np.concatenate(y) for y in zip(*pairs))
                     up, used = _forest(up, a, b)
-                    if used:
+                    if len(used):
                         yield _batch(s, x, *_canonical(s, x, a[used], b[used]))
 
     return run

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,7 +45,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Shuffle files of steps that are materialised go when the driver's JVM collects what refers to them."""
+    """Shuffle files of steps that are materialised go when Python and the driver's JVM have collected what refers to them."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 

@@ -114,14 +114,15 @@ def test_distances_of_long_texts():
 
 
 def hashed(forms):
-    """s and x of normal forms, by the rule's own statement of the distinct features and a sum for each bit."""
+    """Bits and length of normal forms, by the rule's own statement of the distinct features and a sum for each bit."""
+    def bucket(x):
+        return int(K.mix(np.array([x], np.uint64))[0]) >> 64 - S.BUCKETS
+
     out = []
     for t in forms:
-        c = next(K.chunks(pa.array([t])))
-        _, _, _, text, start, end = G.normal_lines(c)
-        f = set(S._runs(text).tolist()) if len(text) >= S.GRAM else set()
-        words = [w.encode()[:8] for w in t.split(" ")]
-        f |= {int(K.mix(np.array([int.from_bytes(w.ljust(8, b"\0"), "big") + 1], np.uint64))[0]) >> 64 - S.BUCKETS for w in words}
+        words = [w.encode() for w in t.split(" ")]
+        f = {bucket(int.from_bytes(w[:8], "little") + 1) for w in words}
+        f |= {bucket(int.from_bytes(w[i : i + S.GRAM], "little") ^ 1 << 63) for w in words if len(w) > S.LONG_WORD for i in range(len(w) - S.GRAM + 1)}
         bits = [S._LANES[i : i + 1].view(np.uint8).ravel().astype(int) for i in sorted(f)]
         one = 2 * np.sum(bits, axis=0) > len(bits)
         out.append((one[:64], one[64:], int(np.log(len(t)) / S.STEP)))
@@ -129,7 +130,7 @@ def hashed(forms):
 
 
 def test_simhash_against_plain_sums():
-    forms = [sentence(i, n) for i, n in enumerate((5, 40, 300, 7))] + ["h\u00e9 " * 9 + "x", "a b c d e"]
+    forms = [sentence(i, n) for i, n in enumerate((5, 40, 300, 7))] + ["h\u00e9 " * 9 + "x", "a b c d e", "\u6f22\u5b57\u3068\u304b\u306a" * 9 + "abc"]
     c = next(K.chunks(pa.array(forms)))
     _, _, _, text, start, end = G.normal_lines(c)
     s, x = S.simhashes(text, start, end)
@@ -157,7 +158,7 @@ def brute_lines(docs, min_words=5, similarity=0.9):
             if x := norm(line):
                 occ.setdefault(x, []).append((i, n))
     forms = list(occ)
-    long = [i for i, f in enumerate(forms) if (len(f.split(" ")) >= min_words or len(f) >= G.MIN_CHARS) and len(f.encode()) >= S.GRAM]
+    long = [i for i, f in enumerate(forms) if (len(f.split(" ")) >= min_words or len(f) >= G.MIN_CHARS)]
     s, x = np.empty(len(long), np.uint64), np.empty(len(long), np.int32)
     at = 0
     for c in K.chunks(pa.array([forms[i] for i in long], pa.string())):
