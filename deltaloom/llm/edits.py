@@ -20,10 +20,10 @@ from . import kernels as K
 
 GRAM = 6
 #: Pairs of higher limits are held against the bound first; below, the distance itself costs less.
-BOUND_FROM = 128
+BOUND_FROM = 100
 CELLS = 1 << 21
 _B = 0x9E3779B97F4A7C15
-_FAR = np.int64(-(1 << 40))
+_FAR = np.int32(-(1 << 30))
 #: Jumps over equal characters, by hashes of so many.
 JUMPS = (64, 8)
 
@@ -86,50 +86,55 @@ def _batch(a: np.ndarray, b: np.ndarray, ha: dict, hb: dict, sa: np.ndarray, n:
     """Distances of pairs, or -1 beyond their limits."""
     out = np.full(len(n), -1, np.int64)
     width = int(limit.max()) + 1
-    k = np.arange(-width, width + 1)
-    alive = np.arange(len(n))
-    far = np.full((len(n), 2 * width + 1), _FAR)
+    k = np.arange(-width, width + 1, dtype=np.int32)
+    alive, delta = np.arange(len(n)), (m - n).astype(np.int32)
+    cap = np.minimum(n[:, None], m[:, None] - k).astype(np.int32)  # a diagonal's last point
+    least = np.maximum(0, -k)  # and its first
+    far = np.full(cap.shape, _FAR, np.int32)
     far[:, width] = -1  # so that the first step starts at 0
+    room = limit.astype(np.int32)  # edits that are left
     for d in range(width):
-        lo, hi = width - d, width + d + 1
-        here = k[lo:hi]
+        # diagonals that can be reached and from which some pair can still end in time
+        lo = width + max(-d, int((delta - room).min()))
+        hi = width + min(d, int((delta + room).max())) + 1
         best = np.maximum(far[:, lo:hi], far[:, lo + 1 : hi + 1]) + 1 if d else far[:, lo:hi] + 1
         if d:
             np.maximum(best, far[:, lo - 1 : hi - 1], out=best)
-        na, ma = n[alive], m[alive]
-        cap = np.minimum(na[:, None], ma[:, None] - here)
-        np.minimum(best, cap, out=best)
-        best[best < np.maximum(0, -here)] = _FAR
-        row, col = np.nonzero((best >= 0) & (np.abs(here - (ma - na)[:, None]) <= (limit[alive] - d)[:, None]))
-        if len(row):
-            i = best[row, col]
-            x, y = sa[alive][row] + i, sb[alive][row] + i + here[col]
-            on = np.flatnonzero(a[x] == b[y])
-            gone = np.zeros(len(row), np.int64)
-            steps = 0
-            while len(on):
-                gone[on] += 1
+        np.minimum(best, cap[:, lo:hi], out=best)
+        open_ = best >= least[lo:hi]
+        best[~open_] = _FAR
+        flat = np.flatnonzero(open_)
+        row, col = np.divmod(flat, hi - lo)
+        i = best.ravel()[flat]
+        x, y = sa[row] + i, sb[row] + i + k[lo:hi][col]
+        on = np.flatnonzero(a[x] == b[y])
+        if len(on):
+            gone, at, steps = np.zeros(len(flat), np.int32), on, 0
+            while len(at):
+                gone[at] += 1
                 steps += 1
                 if steps % 4 == 0:  # what still runs is likely a long way of equal characters
                     for w in JUMPS:
-                        at = on
-                        while len(at := at[ha[w][x[at] + gone[at]] == hb[w][y[at] + gone[at]]]):
-                            gone[at] += w
-                on = on[a[x[on] + gone[on]] == b[y[on] + gone[on]]]
-            best[row, col] = i + gone
+                        j = at
+                        while len(j := j[ha[w][x[j] + gone[j]] == hb[w][y[j] + gone[j]]]):
+                            gone[j] += w
+                at = at[a[x[at] + gone[at]] == b[y[at] + gone[at]]]
+            best.ravel()[flat[on]] = i[on] + gone[on]
         far[:, lo:hi] = best
-        delta = ma - na
-        inside = np.flatnonzero(np.abs(delta) <= d)
-        done = inside[best[inside, delta[inside] + d] >= na[inside]]
+        there = np.flatnonzero((delta >= lo - width) & (delta < hi - width))
+        done = there[best[there, delta[there] + width - lo] >= n[there]]
         out[alive[done]] = d
-        left = limit[alive] > d
+        room -= 1
+        left = room >= 0
         left[done] = False
         if not left.any():
             break
         if left.sum() < 0.8 * len(left):
-            far, alive = far[left], alive[left]
-        else:  # the finished stay along until it pays to drop them
+            far, cap, alive, delta, room, sa, n, sb = (v[left] for v in (far, cap, alive, delta, room, sa, n, sb))
+        elif not left.all():  # the finished stay along until it pays to drop them
             far[~left] = _FAR
+            room[~left] = 0
+            delta[~left] = 0
     return np.where(out <= limit, out, -1)
 
 

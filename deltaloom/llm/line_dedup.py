@@ -7,7 +7,7 @@ always stay.
 1. Each line gets a key, the 64-bit hash of its normal form. Lines of equal keys are one node from here on,
    pre-aggregated before the shuffle, with their first occurrence. Lines of `min_words` words or MIN_CHARS characters (as in
    scripts without spaces) also get a SimHash; shorter ones are compared by their keys only.
-2. SimHashes that agree in three of eleven blocks meet, and are candidates if at most 12 bits differ (`line_simhash`). Of
+2. SimHashes that agree in three of eleven blocks meet, and are candidates if at most 13 bits differ (`line_simhash`). Of
    those that meet, a spanning forest goes on: thousands of near copies need not be paired with each other.
 3. Candidates are verified by the edit distance of their normal forms (`edits`): similarity 1 - distance/longer at least 0.9.
    Where a pair of the forest fails, its whole group is met again, and every pair across different components is
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import edits as E
@@ -36,9 +36,12 @@ from . import line_grams as G
 from . import line_simhash as S
 from . import packing as P
 from .components import components
-from .shared import cut, free_shuffles, fresh, join_few, partitions, ship
+from .shared import cut, free_shuffles, fresh, join_few, partitions, ship, small
 
 VALUES_PER_PART = 4_000_000
+EDGES_PER_TASK = 2_000_000
+#: Of lines apart from others, so many closest ones are tried before all are.
+CLOSEST = 2
 CHUNK = 1 << 19
 
 
@@ -62,24 +65,20 @@ def _lines(min_words: int, hashed: bool):
     return run
 
 
-def normal_form(line: Column) -> Column:
-    """The text whose bytes `line_grams.normal_lines` gives."""
-    low = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000")
-    return F.trim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
-
-
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (text, [(line, h)]) to the normal forms of those lines."""
+    """Rows (text, keys) to the normal forms of the lines that have those keys, once for each row."""
     for batch in batches:
-        wanted = batch.column(1)
-        for c in K.chunks(batch.column(0)):
-            row, number, _, text, start, end = G.normal_lines(c)
-            here = wanted.slice(c.first, len(c.offsets) - 1)
-            line, h = (here.flatten().field(i).to_numpy() for i in (0, 1))
-            owner = np.repeat(np.arange(len(here)), here.value_lengths().to_numpy())
-            at = np.searchsorted(row.astype(np.int64) << 32 | number, owner << 32 | line)
-            texts = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(np.append(start, end[-1:]).astype(np.int64)), pa.py_buffer(text)) if len(start) else pa.array([], pa.large_string())
-            yield pa.record_batch([pa.array(h), texts.take(pa.array(at)).cast(pa.string())], names=["h", "t"])
+        for c in K.chunks(batch.column(0), CHUNK):
+            row, _, _, text, start, end = G.normal_lines(c)
+            h = K.hash_ranges(text, start, end)
+            wanted = batch.column(1).slice(c.first, len(c.offsets) - 1)
+            key, owner = wanted.flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy())
+            ours = np.sort(K.mix(key) ^ owner.astype(np.uint64))
+            of_line = K.mix(h) ^ row.astype(np.uint64)
+            at = np.flatnonzero(ours[np.minimum(np.searchsorted(ours, of_line), max(0, len(ours) - 1))] == of_line) if len(ours) else np.empty(0, np.int64)
+            _, first = np.unique(of_line[at], return_index=True)
+            at = at[first]
+            yield pa.record_batch([pa.array(h[at].view(np.int64)), pa.array([text[i:j].tobytes() for i, j in zip(start[at], end[at])], pa.binary()).cast(pa.string())], names=["h", "t"])
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -94,52 +93,67 @@ def _check(similarity: float):
     return run
 
 
-def _verify(src: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """a, b, near: whether the normal forms of two keys are similar enough."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    wanted = nodes.join(asked, "h").groupBy(F.col("first.rid").alias("rid")).agg(F.collect_set(F.struct(F.col("first.line").alias("line"), "h")).alias("_w"))
+def _texts(src: DataFrame, keys: DataFrame) -> DataFrame:
+    """h, t: the normal forms of the lines with the given keys; keys: h and the rid of a row that has it."""
+    wanted = keys.groupBy(F.col("rid").alias("_r")).agg(F.collect_set("h").alias("_h"))
     # repeated rows share a rid: any of them gives the line
-    texts = cut(src.select("rid", "text").join(wanted, "rid").select("text", "_w").mapInArrow(_wanted_lines, "h long, t string").dropDuplicates(["h"]))
-    free_shuffles(src.sparkSession)
+    return cut(src.select("rid", "text").join(wanted.hint("shuffle_hash"), F.col("rid") == F.col("_r")).select("text", "_h").mapInArrow(_wanted_lines, "h long, t string").dropDuplicates(["h"]))
+
+
+def _verify(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """a, b, near: whether the normal forms of two keys are similar enough."""
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("h").alias("b"), F.col("t").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(_check(similarity), "a long, b long, near boolean")
+    return cut(both.select("a", "b", "ta", "tb").mapInArrow(_check(similarity), "a long, b long, near boolean"))
 
 
 def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """Verified pairs a, b of those whose SimHashes are near."""
     spark = ship(src.sparkSession)
     steps = S.length_steps(similarity)
-    hashed = nodes.where("s is not null").select("h", "s", "x")
-    sims = cut(hashed.groupBy("s", "x").agg(F.min("h").alias("h"), F.count("*").alias("keys")))
-    parts = partitions(spark, -(-sims.count() * len(S.ROUTES) // VALUES_PER_PART))
+    hashed = nodes.where("s IS NOT NULL")
+    parts = partitions(spark, -(-hashed.count() * len(S.ROUTES) // VALUES_PER_PART))
+    met = cut(hashed.select("s", "x").mapInArrow(S.scatter(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(S.meet(steps), S.PAIRS))
     free_shuffles(spark)
-    forest = cut(sims.select("s", "x").mapInArrow(S.scatter(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(S.meet(steps), S.PAIRS).distinct())
+    forest = cut(met.repartition(max(1, -(-met.count() // EDGES_PER_TASK)), "sa").mapInArrow(S.spanning, S.PAIRS))
+    ends = F.explode(F.array(*[F.struct(F.col(f"s{c}").alias("s"), F.col(f"x{c}").alias("x")) for c in "ab"])).alias("e")
+    ids = cut(forest.select(ends).select("e.*").distinct())
+    members = cut(hashed.join(small(ids), ["s", "x"]).select("h", "s", "x", "rid"))
+    reps = cut(members.groupBy("s", "x").agg(F.min("h").alias("rep")))
+    left, right = (reps.select(F.col("s").alias(f"s{c}"), F.col("x").alias(f"x{c}"), F.col("rep").alias(c)) for c in "ab")
+    several = members.join(reps, ["s", "x"]).where("h != rep").select(F.col("rep").alias("a"), F.col("h").alias("b"))
+    tried = cut(_ordered(forest.where("sa != sb OR xa != xb").join(left, ["sa", "xa"]).join(right, ["sb", "xb"]).select("a", "b").unionByName(several)))
+    texts = _texts(src, members)
     free_shuffles(spark)
-    left, right = (sims.select(F.col("s").alias(f"s{c}"), F.col("x").alias(f"x{c}"), F.col("h").alias(c)) for c in "ab")
-    several = hashed.join(sims.where("keys > 1").select("s", "x", F.col("h").alias("a")), ["s", "x"]).where(F.col("h") != F.col("a")).select("a", F.col("h").alias("b"))
-    tried = cut(_ordered(forest.join(left, ["sa", "xa"]).join(right, ["sb", "xb"]).select("a", "b").unionByName(several)))
-    checked = cut(_verify(src, nodes, tried, similarity))
-    links = checked.where("near").select("a", "b")
-    failed = checked.where("not near").select(F.col("a").alias("h")).distinct()
-    if not failed.isEmpty():
-        # only where a pair of the forest failed can another pair be needed: there, all across different components
-        group, label = cut(components(tried)), components(links)
-        touched = group.join(failed, F.col("node") == F.col("h")).select(F.col("label").alias("g")).distinct()
-        large = group.groupBy(F.col("label").alias("g")).agg(F.count("*").alias("c")).where("c > 2").join(touched, "g")  # in two there was but one pair
+    checked = _verify(texts, tried, similarity)
+    for closest in (CLOSEST, None):
+        # only where a pair of the forest failed can another pair be needed: there, across different components, each
+        # line's closest others, then all
+        links = checked.where("near").select("a", "b")
+        failed = checked.where("NOT near").select(F.col("a").alias("h")).distinct()
+        if failed.isEmpty():
+            break
+        group, label = cut(components(tried)), cut(components(links))
+        touched = group.join(failed, F.col("node") == F.col("h")).select(F.col("label").alias("_g")).distinct()
+        of_label = F.coalesce(F.col("l"), F.col("node"))
+        apart = (
+            group.join(label.select(F.col("node").alias("_n"), F.col("label").alias("l")), F.col("node") == F.col("_n"), "left")
+            .groupBy(F.col("label").alias("g")).agg(F.min(of_label).alias("_a"), F.max(of_label).alias("_b"), F.count("*").alias("c"))
+            .where("_a != _b AND c > 2").join(touched, F.col("g") == F.col("_g")).select("g", "c")  # in two there was but one pair
+        )
         inside = cut(
-            join_few(group, large, "label", "g", group.count()).select(F.col("node").alias("h"))
-            .join(hashed, "h").join(label.withColumnRenamed("node", "_n"), F.col("h") == F.col("_n"), "left")
-            .select("h", "s", "x", F.coalesce("label", "h").alias("label"))
+            join_few(group, cut(apart), "label", "g", group.count()).select(F.col("node").alias("h")).join(members.select("h", "s", "x"), "h")
+            .join(label.select(F.col("node").alias("_n"), "label"), F.col("h") == F.col("_n"), "left").select("h", "s", "x", F.coalesce("label", "h").alias("label"))
         )
         by_sim = inside.groupBy("s", "x").agg(F.when(F.min("label") == F.max("label"), F.min("label")).otherwise(F.lit(S.MANY_LABELS)).alias("label"))
-        near_pairs = by_sim.select("s", "x", "label").mapInArrow(S.scatter(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(S.meet_across(steps), S.PAIRS)
+        some = partitions(spark, -(-inside.count() * len(S.ROUTES) // VALUES_PER_PART))
+        near_pairs = by_sim.select("s", "x", "label").mapInArrow(S.scatter(some), P.SCHEMA).repartitionById(some, F.col("part")).mapInArrow(S.meet_across(steps, closest), S.PAIRS)
         same = by_sim.where(F.col("label") == S.MANY_LABELS).select(F.col("s").alias("sa"), F.col("x").alias("xa"), F.col("s").alias("sb"), F.col("x").alias("xb"))
         a, b = (inside.select(F.col("s").alias(f"s{c}"), F.col("x").alias(f"x{c}"), F.col("h").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
-        more = near_pairs.distinct().unionByName(same).join(a, ["sa", "xa"]).join(b, ["sb", "xb"]).where("la != lb").select("a", "b")
-        more = cut(_ordered(more).join(tried, ["a", "b"], "left_anti"))
+        more = near_pairs.drop("d").distinct().unionByName(same).join(a, ["sa", "xa"]).join(b, ["sb", "xb"]).where("la != lb").select("a", "b")
+        more = cut(_ordered(more).join(checked, ["a", "b"], "left_anti"))
+        checked = cut(checked.unionByName(_verify(texts, more, similarity)))
         free_shuffles(spark)
-        links = cut(links.unionByName(_verify(src, nodes, more, similarity).where("near").select("a", "b")))
-    return links
+    return checked.where("near").select("a", "b")
 
 
 def _gram_links(src: DataFrame, nodes: DataFrame, min_words: int, similarity: float) -> DataFrame:
@@ -152,7 +166,9 @@ def _gram_links(src: DataFrame, nodes: DataFrame, min_words: int, similarity: fl
     )
     free_shuffles(spark)
     tried = cut(runs.mapInArrow(G.stars(similarity), "a long, b long").distinct())
-    links = cut(_verify(src, nodes, tried, similarity).where("near").select("a", "b"))
+    keys = nodes.select("h", "rid")
+    texts = _texts(src, tried.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(keys, "h"))
+    links = _verify(texts, tried, similarity).where("near").select("a", "b")
     free_shuffles(spark)
     members = runs.where(F.size("h") > 2).select("run", F.explode(F.arrays_zip("size", "h")).alias("m")).select("run", "m.size", "m.h")
     members = cut(members.join(components(links), F.col("h") == F.col("node"), "left").select("run", "size", "h", F.coalesce("label", "h").alias("label")))
@@ -161,24 +177,29 @@ def _gram_links(src: DataFrame, nodes: DataFrame, min_words: int, similarity: fl
         members.join(apart, "run").groupBy("run").agg(F.collect_list(F.struct("size", "h", "label")).alias("m")).select("m")
         .mapInArrow(G.across(similarity), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
     )
-    links = cut(links.unionByName(_verify(src, nodes, cut(more), similarity).where("near").select("a", "b")))
+    more = cut(more)
+    texts = _texts(src, more.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(keys, "h"))
+    links = cut(links.unionByName(_verify(texts, more, similarity).where("near").select("a", "b")))
     free_shuffles(spark)
     return links
 
 
-def find_groups(src: DataFrame, min_words: int, similarity: float, grams: bool = False) -> tuple[DataFrame, DataFrame, int]:
-    """src: id, rid, text. Lines (id, rid, line, h, s, x); for each key h that is not alone the occurrence to keep and its count n; how many lines."""
+def find_repeats(src: DataFrame, min_words: int, similarity: float, grams: bool = False) -> DataFrame:
+    """src: id, rid, text. rid and line of the lines that go: all of their group but the first."""
     ship(src.sparkSession)
     id_type = src.schema["id"].dataType.simpleString()
     lines = cut(src.select("id", "rid", "text").mapInArrow(_lines(min_words, not grams), f"id {id_type}, rid long, line int, h long, s long, x int"))
-    nodes = cut(lines.groupBy("h", "s", "x").agg(F.min(F.struct("id", "rid", "line")).alias("first"), F.count("*").alias("n")))
+    nodes = cut(lines.groupBy("h", "s", "x").agg(F.min("rid").alias("rid"), F.count("*").alias("c")))  # fixed widths: aggregated by hash
     links = _gram_links(src, nodes, min_words, similarity) if grams else _simhash_links(src, nodes, similarity)
-    labels = cut(components(links))
-    fuzzy = cut(nodes.join(labels, F.col("h") == F.col("node")).select("h", "first", "n", "label"))
-    least = cut(fuzzy.groupBy("label").agg(F.min("first").alias("keep"), F.count("*").alias("c")).select(F.col("label").alias("_l"), "keep", "c"))
-    alone = nodes.where("n > 1").join(labels, F.col("h") == F.col("node"), "left_anti").select("h", F.col("first").alias("keep"), "n")
-    keep = join_few(fuzzy, least, "label", "_l", fuzzy.count()).select("h", "keep", "n").unionByName(alone)
-    return lines, keep, lines.count()
+    labels = cut(components(links)).select(F.col("node").alias("_n"), "label")
+    of_label = small(labels)
+    groups = cut(
+        nodes.join(of_label, F.col("h") == F.col("_n")).select(F.col("h").alias("_h"), F.col("label").alias("g"), "c")
+        .unionByName(nodes.where("c > 1").join(of_label, F.col("h") == F.col("_n"), "left_anti").select(F.col("h").alias("_h"), F.col("h").alias("g"), "c"))
+    )
+    repeats = cut(join_few(lines.select("id", "rid", "line", "h"), groups, "h", "_h", lines.count()).select("id", "rid", "line", "g"))
+    first = cut(repeats.groupBy(F.col("g").alias("_g")).agg(F.min(F.struct("id", "rid", "line")).alias("keep"), F.count("*").alias("c")))
+    return join_few(repeats, first, "g", "_g", repeats.count(), row_bytes=64).where(F.struct("id", "rid", "line") != F.col("keep")).select("rid", "line")
 
 
 def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
@@ -203,12 +224,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.col(f"c{at_text}")
     plain = plain.withColumn("rid", F.xxhash64(F.col(f"c{at_id}"), text))
     src = plain.select(F.col(f"c{at_id}").alias("id"), "rid", text.alias("text"))
-    lines, keep, total = find_groups(src, min_words, similarity, grams)
-    of_line = keep.select(F.col("h").alias("_h"), "keep", F.col("n").alias("c"))
-    gone = cut(
-        join_few(lines.select("id", "rid", "line", "h"), cut(of_line), "h", "_h", total).where(F.struct("id", "rid", "line") != F.col("keep"))
-        .groupBy(F.col("rid").alias("_g")).agg(F.collect_set("line").alias("gone"))
-    )
+    gone = cut(find_repeats(src, min_words, similarity, grams).groupBy(F.col("rid").alias("_g")).agg(F.collect_set("line").alias("gone")))
     free_shuffles(docs.sparkSession)
     joined = plain.join(gone.hint("shuffle_hash"), F.col("rid") == F.col("_g"), "left")
     left = F.arrow_udf(_without, "string")(F.when(F.col("gone").isNotNull(), text), F.col("gone"))

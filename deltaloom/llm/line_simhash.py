@@ -4,7 +4,7 @@ Features of a line are the distinct words of its normal form, by their first 8 b
 bytes, as scripts without spaces have them, the runs of GRAM bytes too. 64 bits of the SimHash are cut into BLOCKS; two lines meet if
 they agree in SHARED of them, which those of at most BLOCKS - SHARED differing bits always do, and are candidates if then
 at most DISTANCE of the 64 bits differ. 24 further bits and the length are a second look, which keeps what agrees by chance from
-being compared: at most SECOND of the further bits may differ, and lengths that rule the similarity out never pass.
+being compared: at most TOTAL of all 88 bits may differ, and lengths that rule the similarity out never pass.
 
 Of any three blocks two are in the same half of them, so a SimHash is sent to one partition for each pair of blocks of
 a half only, and all third blocks are looked through where it arrives, in order of length, so that lengths too far apart are
@@ -25,9 +25,9 @@ from . import packing as P
 from .line_grams import characters
 
 GRAM, LONG_WORD, BUCKETS = 6, 16, 14
-BLOCKS, SHARED, DISTANCE, SECOND = 11, 3, 12, 8
+BLOCKS, SHARED, DISTANCE, TOTAL = 11, 3, 13, 17
 MANY = 256
-PIECE = 1 << 17
+PIECE, PAIRS_AT_ONCE = 1 << 17, 1 << 20
 #: Lengths travel as a byte, in steps of 4 %.
 STEP = np.log(1.04)
 
@@ -116,9 +116,8 @@ def length_steps(similarity: float) -> int:
 
 def close(s: np.ndarray, t: np.ndarray, x: np.ndarray, y: np.ndarray, steps: int) -> np.ndarray:
     """Whether SimHashes s, t with further bits and lengths x, y are near."""
-    on = np.bitwise_count(s ^ t) <= DISTANCE
-    z = x ^ y
-    return on & (np.abs((x & 255) - (y & 255)) <= steps) & (np.bitwise_count(z.view(np.uint32) >> np.uint32(8)) <= SECOND)
+    d, z = np.bitwise_count(s ^ t), x ^ y
+    return (d <= DISTANCE) & (d + np.bitwise_count(z.view(np.uint32) >> np.uint32(8)) <= TOTAL) & (np.abs((x & 255) - (y & 255)) <= steps)
 
 
 def _part(s: np.ndarray, route: int, parts: int) -> np.ndarray:
@@ -184,18 +183,19 @@ def _packed(s: np.ndarray, blocks: tuple[int, ...]) -> np.ndarray:
     return out
 
 
-def near(s: np.ndarray, x: np.ndarray, blocks: tuple[int, ...], steps: int, label: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places in s that agree in the blocks and are near; of large groups, with repeats, only pairs that connect them."""
-    key, length = _packed(s, blocks) << np.uint32(8), (x & 255).astype(np.uint32)
-    whole = np.sort((key | length).astype(np.uint64) << np.uint64(32) | np.arange(len(s), dtype=np.uint64))
-    order, whole = (whole & np.uint64(0xFFFFFFFF)).astype(np.int64), (whole >> np.uint64(32)).astype(np.uint32)
+def near(s: np.ndarray, x: np.ndarray, route: int, steps: int, label: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places in s that agree in the route's blocks and a third one and are near; some come repeatedly.
+
+    Of large groups only pairs that connect them. All third blocks are gone through at once.
+    """
+    n, thirds = len(s), THIRDS[route]
+    head, length = _packed(s, ROUTES[route]), (x & 255).astype(np.uint32)
+    key = np.concatenate([(np.uint32(t << 18) | head << np.uint32(6) | _packed(s, (k,))) << np.uint32(8) | length for t, k in enumerate(thirds)])
+    whole = np.sort(key.astype(np.uint64) << np.uint64(32) | np.tile(np.arange(n, dtype=np.uint64), len(thirds)))
+    order, whole = (whole & np.uint64(0xFFFFFFFF)).astype(np.int32), (whole >> np.uint64(32)).astype(np.uint32)
     up_to = whole & np.uint32(0xFFFFFF00) | np.minimum((whole & np.uint32(255)) + np.uint32(steps), 255)  # the last length of its group that may be near
-    sims, active, d = s[order], np.arange(len(s)), 1
-    while d <= MANY:
-        active = active[: np.searchsorted(active, len(s) - d)]
-        active = active[whole[active + d] <= up_to[active]]
-        if not len(active):
-            return
+    sims, active, d = s[order], np.flatnonzero(whole[1:] <= up_to[:-1]), 1
+    while d <= MANY and len(active):
         on = np.flatnonzero(np.bitwise_count(sims[active] ^ sims[active + d]) <= DISTANCE)
         if len(on):
             a, b = order[active[on]], order[active[on] + d]
@@ -203,13 +203,31 @@ def near(s: np.ndarray, x: np.ndarray, blocks: tuple[int, ...], steps: int, labe
             if on.any():
                 yield a[on], b[on]
         d += 1
-    group = np.concatenate([[0], np.cumsum(whole[1:] >> np.uint32(8) != whole[:-1] >> np.uint32(8))])
-    for g in np.unique(group[active]):
-        lo, hi = np.searchsorted(group, [g, g + 1])
-        for a, b in _large(s, x, order[lo:hi], steps, label):
-            on = (a != b) & _apart(label, a, b)
-            if on.any():
-                yield a[on], b[on]
+        active = active[: np.searchsorted(active, len(whole) - d)]
+        active = active[whole[active + d] <= up_to[active]]
+    if len(active):
+        group = np.concatenate([[0], np.cumsum(whole[1:] >> np.uint32(8) != whole[:-1] >> np.uint32(8))])
+        for g in np.unique(group[active]):
+            lo, hi = np.searchsorted(group, [g, g + 1])
+            for a, b in _large(s, x, order[lo:hi], steps, label):
+                on = (a != b) & _apart(label, a, b)
+                if on.any():
+                    yield a[on], b[on]
+
+
+def _chunks(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of places below n in larger pieces, each piece's smaller place first and without repeats."""
+    held, size = [], 0
+    for a, b in pairs:
+        held.append(np.minimum(a, b).astype(np.int64) * n + np.maximum(a, b))
+        size += len(a)
+        if size >= PAIRS_AT_ONCE:
+            x = np.unique(np.concatenate(held))
+            yield x // n, x % n
+            held, size = [], 0
+    if held:
+        x = np.unique(np.concatenate(held))
+        yield x // n, x % n
 
 
 def _flat(up: np.ndarray) -> np.ndarray:
@@ -236,11 +254,31 @@ def _forest(up: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, n
     return up, np.concatenate(used) if used else live
 
 
-PAIRS = "sa long, xa int, sb long, xb int"
+def _by_distance(up: np.ndarray, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As _forest, nearer pairs first."""
+    used = [np.empty(0, np.int64)]
+    for k in np.unique(d):
+        on = np.flatnonzero(d == k)
+        up, here = _forest(up, a[on], b[on])
+        used.append(on[here])
+    return up, np.concatenate(used)
+
+
+PAIRS = "sa long, xa int, sb long, xb int, d int"
 
 
 def _batch(s: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(s[a].view(np.int64)), pa.array(x[a]), pa.array(s[b].view(np.int64)), pa.array(x[b])], names=["sa", "xa", "sb", "xb"])
+    """Pairs with the smaller (s, x) first; s, x are in that order."""
+    d = np.bitwise_count(s[a] ^ s[b]).astype(np.int32)
+    return pa.record_batch([pa.array(s[a].view(np.int64)), pa.array(x[a]), pa.array(s[b].view(np.int64)), pa.array(x[b]), pa.array(d)], names=["sa", "xa", "sb", "xb", "d"])
+
+
+def _distinct(s: np.ndarray, x: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """In the order of (s, x), each once; what comes out must not hang on the order of arrival. Last, how often each came."""
+    order = np.lexsort((x, s))
+    s, x = s[order], x[order]
+    at = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (x[1:] != x[:-1])]))
+    return s[at], x[at], *[m[order][at] for m in more], np.diff(np.append(at, len(s)))
 
 
 def _arrived(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -258,38 +296,65 @@ def _arrived(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarra
             yield r, label[a:b], s[a:b], x[a:b]
 
 
-def _canonical(s: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each pair with the smaller (s, x) first."""
-    turn = (s[a] > s[b]) | ((s[a] == s[b]) & (x[a] > x[b]))
-    return np.where(turn, b, a), np.where(turn, a, b)
-
-
 def meet(steps: int):
-    """A spanning forest of the near SimHashes that arrive by each route."""
+    """A spanning forest of the near SimHashes that arrive by each route; one that came twice is paired with itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, _, s, x in _arrived(batches):
-            order = np.lexsort((x, s))  # what comes out must not hang on the order of arrival
-            s, x = s[order], x[order]
+            s, x, times = _distinct(s, x)
+            if r == 0 and (times > 1).any():
+                twice = np.flatnonzero(times > 1)
+                yield _batch(s, x, twice, twice)
             up = np.arange(len(s))
-            for k in THIRDS[r]:
-                pairs = list(near(s, x, (*ROUTES[r], k), steps))
-                if pairs:
-                    a, b = (np.concatenate(y) for y in zip(*pairs))
-                    up, used = _forest(up, a, b)
-                    if len(used):
-                        yield _batch(s, x, *_canonical(s, x, a[used], b[used]))
+            for a, b in _chunks(near(s, x, r, steps), len(s)):
+                up, used = _by_distance(up, a, b, np.bitwise_count(s[a] ^ s[b]))
+                if len(used):
+                    yield _batch(s, x, a[used], b[used])
 
     return run
 
 
-def meet_across(steps: int):
-    """All near pairs of different labels that arrive by each route, some of them repeatedly."""
+def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of all pairs of a partition, nearer ones first; pairs of one with itself stay."""
+    got = pa.Table.from_batches(list(batches), schema=ARROW_PAIRS)
+    if not len(got):
+        return
+    sa, xa, sb, xb, d = (got.column(i).to_numpy() for i in range(5))
+    sa, sb = sa.view(np.uint64), sb.view(np.uint64)
+    s, x, _ = _distinct(np.concatenate([sa, sb]), np.concatenate([xa, xb]))
+    place = _places(s, x, sa, xa), _places(s, x, sb, xb)
+    _, used = _by_distance(np.arange(len(s)), *place, d)
+    used = np.concatenate([used, np.flatnonzero(place[0] == place[1])])
+    for i in range(0, len(used), 100_000):
+        yield _batch(s, x, place[0][used[i : i + 100_000]], place[1][used[i : i + 100_000]])
+
+
+ARROW_PAIRS = pa.schema([("sa", pa.int64()), ("xa", pa.int32()), ("sb", pa.int64()), ("xb", pa.int32()), ("d", pa.int32())])
+
+
+def _places(s: np.ndarray, x: np.ndarray, t: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Where each (t, y) is in the ordered, distinct (s, x)."""
+    at = np.searchsorted(s, t)
+    while (off := np.flatnonzero(x[at] != y)).size:
+        at[off] += 1
+    return at
+
+
+def meet_across(steps: int, closest: int | None = None):
+    """Near pairs of different labels that arrive by each route, some of them repeatedly: all, or each one's closest ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, label, s, x in _arrived(batches):
-            for k in THIRDS[r]:
-                for a, b in near(s, x, (*ROUTES[r], k), steps, label):
-                    yield _batch(s, x, *_canonical(s, x, a, b))
+            s, x, label, _ = _distinct(s, x, label)
+            for a, b in _chunks(near(s, x, r, steps, label), len(s)):
+                if closest:
+                    one, other = np.concatenate([a, b]), np.concatenate([b, a])
+                    d = np.bitwise_count(s[one] ^ s[other])
+                    order = np.lexsort((K.mix(s[other]), d, one))
+                    first = np.flatnonzero(np.concatenate([[True], one[order[1:]] != one[order[:-1]]]))
+                    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+                    keep = np.unique(order[rank < closest] % len(a))
+                    a, b = a[keep], b[keep]
+                yield _batch(s, x, a, b)
 
     return run

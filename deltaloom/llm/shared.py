@@ -57,16 +57,28 @@ def fresh(columns: list[str], name: str) -> str:
     return name
 
 
+#: Tables of keys up to this size are sent to all tasks rather than shuffled against.
+SMALL_BYTES = 32 << 20
+
+
+def small(df: DataFrame, row_bytes: int = 24) -> DataFrame:
+    """A materialised table of keys, to be joined with a large one: broadcast if its rows are counted to be few, else merged."""
+    return F.broadcast(df) if df.count() * row_bytes <= SMALL_BYTES else df.hint("merge")
+
+
 #: No more keys than this can have so large a share of all rows each.
 FEW_KEYS = 10_000
 
 
-def join_few(rows: DataFrame, keyed: DataFrame, key: str, other: str, total: int, count: str = "c") -> DataFrame:
+def join_few(rows: DataFrame, keyed: DataFrame, key: str, other: str, total: int, count: str = "c", row_bytes: int = 24) -> DataFrame:
     """Rows joined with the one row of their key in `keyed`, without gathering the rows of a hot key in one task.
 
-    keyed: one row for each key `other`, with the count of its rows. Keys of more than 1/FEW_KEYS of all `total` rows, and
-    1000, are FEW_KEYS at most and so a bounded broadcast; the rest meet by a shuffle. Both sides are read twice.
+    keyed: materialised, one row for each key `other`, with the count of its rows. Where it is small it is broadcast. Else keys
+    of more than 1/FEW_KEYS of all `total` rows, and 1000, which are FEW_KEYS at most, are; the rest meet by a shuffle. Both
+    sides are read twice then.
     """
+    if keyed.count() * row_bytes <= SMALL_BYTES:
+        return rows.join(F.broadcast(keyed.drop(count)), F.col(key) == F.col(other))
     limit = max(1000, -(-total // FEW_KEYS))
     few = F.broadcast(keyed.where(F.col(count) > limit).drop(count))
     many = keyed.where(F.col(count) <= limit).drop(count).hint("merge")
