@@ -21,7 +21,7 @@ from . import kernels as K
 GRAM = 6
 #: Pairs of higher limits are held against the bound first; below, the distance itself costs less.
 BOUND_FROM = 100
-CELLS = 1 << 21
+CELLS = 1 << 19
 _B = 0x9E3779B97F4A7C15
 _FAR = np.int32(-(1 << 30))
 #: Jumps over equal characters, by hashes of so many.

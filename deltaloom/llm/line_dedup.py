@@ -7,11 +7,12 @@ always stay.
 1. Each line gets a key, the 64-bit hash of its normal form. Lines of equal keys are one node from here on,
    pre-aggregated before the shuffle, with their first occurrence. Lines of `min_words` words or MIN_CHARS characters (as in
    scripts without spaces) also get a SimHash; shorter ones are compared by their keys only.
-2. SimHashes that agree in three of eleven blocks meet, and are candidates if at most 13 bits differ (`line_simhash`). Of
+2. SimHashes that agree in three of ten blocks meet, and are candidates if at most 13 bits differ (`line_simhash`). Of
    those that meet, a spanning forest goes on: thousands of near copies need not be paired with each other.
 3. Candidates are verified by the edit distance of their normal forms (`edits`): similarity 1 - distance/longer at least 0.9.
-   Where a pair of the forest fails, its whole group is met again, and every pair across different components is
-   verified, once, so that no link between candidates is lost.
+   Where a pair of the forest fails, its group is met again, and pairs across its components are verified, the closest
+   of each line first, so that a large group of loose copies mostly hangs together before all that are left are tried,
+   each once: no link between candidates of different components is lost.
 4. Verified pairs join nodes to connected groups; of each group the occurrence with the least (id, row, line) stays.
 
 With `grams`, candidates come from `line_grams` in place of 2: more sensitive to edits all over a line, at many times the cost.
@@ -38,10 +39,10 @@ from . import packing as P
 from .components import components
 from .shared import cut, free_shuffles, fresh, join_few, partitions, ship, small
 
-VALUES_PER_PART = 4_000_000
+VALUES_PER_PART, VALUES_A_ROUND = 4_000_000, 500_000
 EDGES_PER_TASK = 2_000_000
-#: Of lines apart from others, so many closest ones are tried before all are.
-CLOSEST = 2
+#: Of each line's near ones in other components so many closest are tried, then more of those still apart, then all.
+CLOSEST = (8, 64, None)
 CHUNK = 1 << 19
 
 
@@ -95,9 +96,9 @@ def _check(similarity: float):
 
 def _texts(src: DataFrame, keys: DataFrame) -> DataFrame:
     """h, t: the normal forms of the lines with the given keys; keys: h and the rid of a row that has it."""
-    wanted = keys.groupBy(F.col("rid").alias("_r")).agg(F.collect_set("h").alias("_h"))
+    wanted = cut(keys.groupBy(F.col("rid").alias("_r")).agg(F.collect_set("h").alias("_h")))
     # repeated rows share a rid: any of them gives the line
-    return cut(src.select("rid", "text").join(wanted.hint("shuffle_hash"), F.col("rid") == F.col("_r")).select("text", "_h").mapInArrow(_wanted_lines, "h long, t string").dropDuplicates(["h"]))
+    return cut(src.select("rid", "text").join(small(wanted, 80, "shuffle_hash"), F.col("rid") == F.col("_r")).select("text", "_h").mapInArrow(_wanted_lines, "h long, t string").dropDuplicates(["h"]))
 
 
 def _verify(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -125,7 +126,7 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
     texts = _texts(src, members)
     free_shuffles(spark)
     checked = _verify(texts, tried, similarity)
-    for closest in (CLOSEST, None):
+    for closest in CLOSEST:
         # only where a pair of the forest failed can another pair be needed: there, across different components, each
         # line's closest others, then all
         links = checked.where("near").select("a", "b")
@@ -141,18 +142,21 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
             .where("_a != _b AND c > 2").join(touched, F.col("g") == F.col("_g")).select("g", "c")  # in two there was but one pair
         )
         inside = cut(
-            join_few(group, cut(apart), "label", "g", group.count()).select(F.col("node").alias("h")).join(members.select("h", "s", "x"), "h")
+            join_few(group, cut(apart), "label", "g", group.count).select(F.col("node").alias("h")).join(members.select("h", "s", "x"), "h")
             .join(label.select(F.col("node").alias("_n"), "label"), F.col("h") == F.col("_n"), "left").select("h", "s", "x", F.coalesce("label", "h").alias("label"))
         )
         by_sim = inside.groupBy("s", "x").agg(F.when(F.min("label") == F.max("label"), F.min("label")).otherwise(F.lit(S.MANY_LABELS)).alias("label"))
-        some = partitions(spark, -(-inside.count() * len(S.ROUTES) // VALUES_PER_PART))
-        near_pairs = by_sim.select("s", "x", "label").mapInArrow(S.scatter(some), P.SCHEMA).repartitionById(some, F.col("part")).mapInArrow(S.meet_across(steps, closest), S.PAIRS)
+        some = max(1, -(-inside.count() * len(S.ROUTES) // VALUES_A_ROUND))
+        near_pairs = by_sim.select("s", "x", "label").mapInArrow(S.scatter(some), P.SCHEMA).repartitionById(some, F.col("part")).mapInArrow(S.meet_across(steps, closest), f"{S.PAIRS}, whole boolean")
+        near_pairs = cut(near_pairs.groupBy("sa", "xa", "sb", "xb").agg(F.bool_and("whole").alias("whole")))
         same = by_sim.where(F.col("label") == S.MANY_LABELS).select(F.col("s").alias("sa"), F.col("x").alias("xa"), F.col("s").alias("sb"), F.col("x").alias("xb"))
         a, b = (inside.select(F.col("s").alias(f"s{c}"), F.col("x").alias(f"x{c}"), F.col("h").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
-        more = near_pairs.drop("d").distinct().unionByName(same).join(a, ["sa", "xa"]).join(b, ["sb", "xb"]).where("la != lb").select("a", "b")
+        more = near_pairs.drop("whole").unionByName(same).join(a, ["sa", "xa"]).join(b, ["sb", "xb"]).where("la != lb").select("a", "b")
         more = cut(_ordered(more).join(checked, ["a", "b"], "left_anti"))
         checked = cut(checked.unionByName(_verify(texts, more, similarity)))
         free_shuffles(spark)
+        if near_pairs.where("NOT whole").isEmpty():  # those were all
+            break
     return checked.where("near").select("a", "b")
 
 
@@ -197,9 +201,9 @@ def find_repeats(src: DataFrame, min_words: int, similarity: float, grams: bool
         nodes.join(of_label, F.col("h") == F.col("_n")).select(F.col("h").alias("_h"), F.col("label").alias("g"), "c")
         .unionByName(nodes.where("c > 1").join(of_label, F.col("h") == F.col("_n"), "left_anti").select(F.col("h").alias("_h"), F.col("h").alias("g"), "c"))
     )
-    repeats = cut(join_few(lines.select("id", "rid", "line", "h"), groups, "h", "_h", lines.count()).select("id", "rid", "line", "g"))
+    repeats = cut(join_few(lines.select("id", "rid", "line", "h"), groups, "h", "_h", lines.count).select("id", "rid", "line", "g"))
     first = cut(repeats.groupBy(F.col("g").alias("_g")).agg(F.min(F.struct("id", "rid", "line")).alias("keep"), F.count("*").alias("c")))
-    return join_few(repeats, first, "g", "_g", repeats.count(), row_bytes=64).where(F.struct("id", "rid", "line") != F.col("keep")).select("rid", "line")
+    return join_few(repeats, first, "g", "_g", repeats.count, row_bytes=64).where(F.struct("id", "rid", "line") != F.col("keep")).select("rid", "line")
 
 
 def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
@@ -226,7 +230,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     src = plain.select(F.col(f"c{at_id}").alias("id"), "rid", text.alias("text"))
     gone = cut(find_repeats(src, min_words, similarity, grams).groupBy(F.col("rid").alias("_g")).agg(F.collect_set("line").alias("gone")))
     free_shuffles(docs.sparkSession)
-    joined = plain.join(gone.hint("shuffle_hash"), F.col("rid") == F.col("_g"), "left")
+    joined = plain.join(small(gone, 80, "shuffle_hash"), F.col("rid") == F.col("_g"), "left")
     left = F.arrow_udf(_without, "string")(F.when(F.col("gone").isNotNull(), text), F.col("gone"))
     count = F.when(text.isNull() | (text == ""), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
     done = joined.select(*[F.when(F.col("gone").isNull(), text).otherwise(left) if i == at_text else F.col(f"c{i}") for i in range(len(docs.columns))],

@@ -8,7 +8,7 @@ being compared: at most TOTAL of all 88 bits may differ, and lengths that rule t
 
 Of any three blocks two are in the same half of them, so a SimHash is sent to one partition for each pair of blocks of
 a half only, and all third blocks are looked through where it arrives, in order of length, so that lengths too far apart are
-never compared. What is left to compare grows with the square of the lines over 2 to the bits of SHARED blocks (17): fine
+never compared. What is left to compare grows with the square of the lines over 2 to the bits of SHARED blocks (19): fine
 up to some 10^9 distinct lines; beyond, more blocks and SHARED = 4 are the setting.
 """
 
@@ -25,7 +25,7 @@ from . import packing as P
 from .line_grams import characters
 
 GRAM, LONG_WORD, BUCKETS = 6, 16, 14
-BLOCKS, SHARED, DISTANCE, TOTAL = 11, 3, 13, 17
+BLOCKS, SHARED, DISTANCE, TOTAL = 10, 3, 13, 17
 MANY = 256
 PIECE, PAIRS_AT_ONCE = 1 << 17, 1 << 20
 #: Lengths travel as a byte, in steps of 4 %.
@@ -37,6 +37,7 @@ def _bits(a: int, b: int) -> np.uint64:
 
 
 _EDGES = [round(64 * i / BLOCKS) for i in range(BLOCKS + 1)]
+_WIDEST = max(b - a for a, b in zip(_EDGES, _EDGES[1:]))
 MASKS = [_bits(a, b) for a, b in zip(_EDGES, _EDGES[1:])]
 _HALF = BLOCKS // 2
 #: A SimHash goes by these pairs of blocks.
@@ -45,6 +46,9 @@ ROUTES = [(i, j) for i, j in combinations(range(BLOCKS), 2) if (i < _HALF) == (j
 THIRDS = [[k for k in range(BLOCKS) if k not in (i, j) and (k > j or (k < _HALF) != (i < _HALF))] for i, j in ROUTES]
 
 
+assert max(map(len, THIRDS)) <= 1 << 24 - 3 * _WIDEST  # a third's number, three blocks and a length fit in 32 bits
+
+
 def _lanes() -> np.ndarray:
     """For each bucket 88 bits of 0 or 1, a byte each, in 11 machine words: sums of up to 255 need no carry."""
     n = 1 << BUCKETS
@@ -190,7 +194,7 @@ def near(s: np.ndarray, x: np.ndarray, route: int, steps: int, label: np.ndarray
     """
     n, thirds = len(s), THIRDS[route]
     head, length = _packed(s, ROUTES[route]), (x & 255).astype(np.uint32)
-    key = np.concatenate([(np.uint32(t << 18) | head << np.uint32(6) | _packed(s, (k,))) << np.uint32(8) | length for t, k in enumerate(thirds)])
+    key = np.concatenate([(np.uint32(t << 3 * _WIDEST) | head << np.uint32(_WIDEST) | _packed(s, (k,))) << np.uint32(8) | length for t, k in enumerate(thirds)])
     whole = np.sort(key.astype(np.uint64) << np.uint64(32) | np.tile(np.arange(n, dtype=np.uint64), len(thirds)))
     order, whole = (whole & np.uint64(0xFFFFFFFF)).astype(np.int32), (whole >> np.uint64(32)).astype(np.uint32)
     up_to = whole & np.uint32(0xFFFFFF00) | np.minimum((whole & np.uint32(255)) + np.uint32(steps), 255)  # the last length of its group that may be near
@@ -341,20 +345,29 @@ def _places(s: np.ndarray, x: np.ndarray, t: np.ndarray, y: np.ndarray) -> np.nd
 
 
 def meet_across(steps: int, closest: int | None = None):
-    """Near pairs of different labels that arrive by each route, some of them repeatedly: all, or each one's closest ones."""
+    """Near pairs of different labels that arrive by each route, some of them repeatedly: all, or each one's closest ones.
+
+    `whole` tells with each pair whether both of its lines have all of theirs there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, label, s, x in _arrived(batches):
             s, x, label, _ = _distinct(s, x, label)
             for a, b in _chunks(near(s, x, r, steps, label), len(s)):
+                whole = np.ones(len(a), bool)
                 if closest:
                     one, other = np.concatenate([a, b]), np.concatenate([b, a])
                     d = np.bitwise_count(s[one] ^ s[other])
                     order = np.lexsort((K.mix(s[other]), d, one))
                     first = np.flatnonzero(np.concatenate([[True], one[order[1:]] != one[order[:-1]]]))
-                    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+                    count = np.diff(np.append(first, len(order)))
+                    rank = np.arange(len(order)) - np.repeat(first, count)
+                    all_there = np.ones(len(s), bool)
+                    all_there[one[order[first]]] = count <= closest
                     keep = np.unique(order[rank < closest] % len(a))
                     a, b = a[keep], b[keep]
-                yield _batch(s, x, a, b)
+                    whole = all_there[a] & all_there[b]
+                pairs = _batch(s, x, a, b)
+                yield pa.RecordBatch.from_arrays([*pairs.columns, pa.array(whole)], names=[*pairs.schema.names, "whole"])
 
     return run

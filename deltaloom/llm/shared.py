@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +16,13 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, or a local one where none is configured (tests, local mode)."""
+    """The cluster's shared folder; in local mode (tests) a temporary one where none is configured."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     ship(spark)
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not configured and not sc.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all machines share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="deltaloom-"))
     return configured or sc._jsc.sc().getCheckpointDir().get()
 
@@ -61,25 +64,25 @@ def fresh(columns: list[str], name: str) -> str:
 SMALL_BYTES = 32 << 20
 
 
-def small(df: DataFrame, row_bytes: int = 24) -> DataFrame:
-    """A materialised table of keys, to be joined with a large one: broadcast if its rows are counted to be few, else merged."""
-    return F.broadcast(df) if df.count() * row_bytes <= SMALL_BYTES else df.hint("merge")
+def small(df: DataFrame, row_bytes: int = 24, beyond: str = "merge") -> DataFrame:
+    """A materialised table of keys, to be joined with a large one: broadcast if its rows are counted to be few, else shuffled."""
+    return F.broadcast(df) if df.count() * row_bytes <= SMALL_BYTES else df.hint(beyond)
 
 
 #: No more keys than this can have so large a share of all rows each.
 FEW_KEYS = 10_000
 
 
-def join_few(rows: DataFrame, keyed: DataFrame, key: str, other: str, total: int, count: str = "c", row_bytes: int = 24) -> DataFrame:
+def join_few(rows: DataFrame, keyed: DataFrame, key: str, other: str, total: Callable[[], int], count: str = "c", row_bytes: int = 24) -> DataFrame:
     """Rows joined with the one row of their key in `keyed`, without gathering the rows of a hot key in one task.
 
     keyed: materialised, one row for each key `other`, with the count of its rows. Where it is small it is broadcast. Else keys
-    of more than 1/FEW_KEYS of all `total` rows, and 1000, which are FEW_KEYS at most, are; the rest meet by a shuffle. Both
+    of more than 1/FEW_KEYS of all `total()` rows, and 1000, which are FEW_KEYS at most, are; the rest meet by a shuffle. Both
     sides are read twice then.
     """
     if keyed.count() * row_bytes <= SMALL_BYTES:
         return rows.join(F.broadcast(keyed.drop(count)), F.col(key) == F.col(other))
-    limit = max(1000, -(-total // FEW_KEYS))
+    limit = max(1000, -(-total() // FEW_KEYS))
     few = F.broadcast(keyed.where(F.col(count) > limit).drop(count))
     many = keyed.where(F.col(count) <= limit).drop(count).hint("merge")
     hot = few.select(other)
