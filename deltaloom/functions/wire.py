@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,6 +65,77 @@ def collapse_udt(c: Column, kind: T.StructType) -> Column:
     return F.when(c.isNotNull() & some, F.struct(*[v.alias(n) for n, v, _ in parts]))
 
 
+@dataclass(frozen=True)
+class Kind:
+    """A source type: its name, its arguments, and a user type's field names."""
+
+    name: str
+    args: tuple[Kind, ...] = ()
+    fields: tuple[str, ...] = ()
+
+
+ARITY = {"list": 1, "set": 1, "map": 2}
+
+
+def parse_type(text: str, user_types: Mapping[str, Mapping[str, str]] | None = None) -> Kind:
+    """A type's text as it stands in a table's definition; `frozen` makes no difference to values.
+
+    user_types: the fields of user types, by type name and field name.
+    """
+    user_types = user_types or {}
+    tokens = re.findall(r"[\w.]+|[<>,]", text)
+
+    def one() -> Kind:
+        name = tokens.pop(0)
+        args = []
+        if tokens and tokens[0] == "<":
+            while tokens.pop(0) != ">":
+                args.append(one())
+        low = name.lower()
+        if low == "frozen" and len(args) == 1:
+            return args[0]
+        if name in user_types and not args:
+            return Kind("udt", tuple(parse_type(t, user_types) for t in user_types[name].values()), tuple(user_types[name]))
+        if ARITY.get(low, len(args)) != len(args) or (args and low not in ARITY and low != "tuple"):
+            raise ValueError(f"{name} with {len(args)} type arguments in {text!r}")
+        if not args and low not in SCALARS:
+            raise ValueError(f"unknown type {name!r}")
+        return Kind(low, tuple(args))
+
+    try:
+        found = one()
+    except IndexError:
+        raise ValueError(f"not a type: {text!r}") from None
+    if tokens:
+        raise ValueError(f"not a type: {text!r}")
+    return found
+
+
+def value(c: Column, kind: Kind, base: Kind | None = None, chronological: bool = False) -> Column:
+    """A column of a source type as its wire value, however nested.
+
+    Tuples come as structs field_0, field_1 ..., user types as structs of their fields. base: the column's type in its table;
+    a list there that the log keeps as map<timeuuid, value> gives its values in key order. Nested types have no other form.
+    """
+    if kind.name in ("list", "set"):
+        return F.transform(c, lambda e: value(e, kind.args[0]))
+    if kind.name == "map":
+        if base is not None and base.name == "list" and kind.args[0].name == "timeuuid":
+            return F.transform(ordered_values(c, chronological), lambda e: value(e, kind.args[1]))
+        return F.transform(entries(c), lambda e: F.struct(value(e["key"], kind.args[0]).alias("key"), value(e["value"], kind.args[1]).alias("value")))
+    if kind.name == "tuple":
+        return F.when(c.isNotNull(), tuple_struct(*[value(c[f"field_{i}"], k) for i, k in enumerate(kind.args)]))
+    if kind.name == "udt":
+        if kind.fields == ("elements",) and kind.args[0].name == "udt":
+            return value(c["elements"], kind.args[0])
+        made = [(n, k, value(c[n], k)) for n, k in zip(kind.fields, kind.args)]
+        some = F.lit(False)
+        for _, k, v in made:
+            some = some | (v.isNotNull() & (F.size(v) > 0) if k.name in ARITY else v.isNotNull())
+        return F.when(c.isNotNull() & some, F.struct(*[v.alias(n) for n, _, v in made]))
+    return scalar(c, kind.name)
+
+
 def as_text(c: Column, kind: T.DataType) -> Column:
     """A header's text of a key value."""
     if isinstance(kind, T.DateType):

@@ -11,7 +11,7 @@ and the columns that identify a change and order the records of a row; operators
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from enum import IntEnum
 
 from pyspark.sql import Column
@@ -52,6 +52,12 @@ class TableSpec:
     def full_name(self) -> str:
         return f"{self.keyspace}.{self.name}"
 
+    def with_columns(self, *columns: str) -> TableSpec:
+        return replace(self, columns=columns)
+
+    def with_key(self, pk: tuple[str, ...], ck: tuple[str, ...]) -> TableSpec:
+        return replace(self, pk=pk, ck=ck)
+
     def change_operations(self) -> list[int]:
         """Operations that become events: a partition delete is one only where a partition is a single row."""
         return [Op.ROW_UPDATE, Op.ROW_INSERT, Op.ROW_DELETE, *([] if self.ck else [Op.PARTITION_DELETE])]

@@ -75,6 +75,22 @@ def parse_tables(text: str) -> frozenset[tuple[str, str]]:
     return frozenset(out)
 
 
+#: Settings by their names in a configuration (fixed values).
+NAMES = {
+    "topic.prefix": "logical_name", "cluster.ip.addresses": "hosts", "table.names": "tables", "user": "user", "password": "password",
+    "query.time.window.size": "query_window", "confidence.window.size": "confidence_window", "minimal.wait.for.window.time": "minimal_wait",
+    "initial.lookback.ms": "lookback", "cdc.incomplete.task.timeout.ms": "incomplete_timeout", "heartbeat.interval.ms": "heartbeat",
+    "worker.retry.backoff.base": "retry_base", "worker.maximum.backoff": "retry_cap", "worker.jitter.percentage": "retry_jitter",
+    "worker.max.retries": "retry_attempts", "cdc.include.primary-key.payload-key-name": "payload_key_name", "experimental.preimages.enabled": "preimages",
+}
+IMAGE_NAMES = {"cdc.output.format", "cdc.include.before", "cdc.include.after", "cdc.include.primary-key.placement"}
+#: Worker settings of the connection, passed through (fixed values).
+WORKER_NAMES = {
+    "worker.config", "worker.shared.session.enabled", "worker.pooling.core.pool.local", "worker.pooling.max.pool.local", "worker.pooling.max.queue.size",
+    "worker.pooling.max.requests.per.connection", "worker.pooling.pool.timeout.ms",
+}
+
+
 @dataclass(frozen=True)
 class CaptureOptions:
     """All settings of a capture; durations are in milliseconds."""
@@ -103,29 +119,29 @@ class CaptureOptions:
     retry_jitter: int = 20
     retry_attempts: int = 20
     source_options: Mapping[str, str] = field(default_factory=dict)  # connection settings, passed through
+    unknown: tuple[str, ...] = ()  # settings that would have no effect
 
     @classmethod
-    def from_config(cls, config: Mapping[str, str]) -> CaptureOptions:
-        """From text settings by their dotted names; unknown ones are source options."""
-        names = {
-            "topic.prefix": "logical_name", "cluster.ip.addresses": "hosts", "table.names": "tables", "user": "user", "password": "password",
-            "query.time.window.size": "query_window", "confidence.window.size": "confidence_window", "minimal.wait.for.window.time": "minimal_wait",
-            "initial.lookback": "lookback", "cdc.incomplete.task.timeout.ms": "incomplete_timeout", "heartbeat.interval.ms": "heartbeat",
-            "worker.retry.backoff.base": "retry_base", "worker.retry.backoff.max": "retry_cap", "worker.retry.backoff.jitter": "retry_jitter",
-            "worker.retry.attempts": "retry_attempts", "cdc.include.primary-key.payload-key-name": "payload_key_name", "experimental.preimages.enabled": "preimages",
-        }
+    def from_config(cls, config: Mapping[str, str], prefix: str = "") -> CaptureOptions:
+        """From text settings by their dotted names, a vendor's `prefix` in front or not.
+
+        Connection settings are source options; a `worker.` name that nobody knows is an error, as it would change nothing.
+        """
+        config = {k.removeprefix(prefix): v for k, v in config.items()}
         kinds = {f.name: f.type for f in fields(cls)}
         made: dict = {"format": Format.parse(config.get("cdc.output.format")), "before": Image.parse(config.get("cdc.include.before")),
                       "after": Image.parse(config.get("cdc.include.after")), "places": parse_places(config.get("cdc.include.primary-key.placement")),
                       "places_text": config.get("cdc.include.primary-key.placement")}
-        rest = {}
+        rest, unknown = {}, []
         for key, text in config.items():
-            if key in names:
-                kind = kinds[names[key]]
-                made[names[key]] = int(text) if kind == "int" else str(text).strip().lower() == "true" if kind == "bool" else text
-            elif not key.startswith(("cdc.output.format", "cdc.include.")):
+            if key in NAMES:
+                kind = kinds[NAMES[key]]
+                made[NAMES[key]] = int(text) if kind == "int" else str(text).strip().lower() == "true" if kind == "bool" else text
+            elif key.startswith("worker.") and key not in WORKER_NAMES:
+                unknown.append(key)
+            elif key not in IMAGE_NAMES:
                 rest[key] = text
-        return cls(**made, source_options=rest)
+        return cls(**made, source_options=rest, unknown=tuple(unknown))
 
     def with_(self, **changes) -> CaptureOptions:
         return replace(self, **changes)
@@ -164,6 +180,7 @@ class CaptureOptions:
                 out.append("places: at least one is needed")
         if not (self.retry_attempts == -1 or self.retry_attempts >= 1):
             out.append("retry_attempts: -1 or at least 1")
+        out += [f"{name}: no such setting" for name in self.unknown]
         if self.heartbeat <= 0:
             out.append("heartbeat: must be positive")
         if (self.user is None) != (self.password is None):

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import tasks, timeuuid, wire
 from ..functions.instants import instant
 from ..operators import correlate, filters, shape, transforms
 from ..options import CaptureOptions, Format, Image, Place
-from ..sources import validate, windows
+from ..sources import sinks, validate, windows
 from .fixtures import CHANGE_ID, EVENTS, EVENTS_ONE_ROW, LOG_SQL, ORDER, ORDERS, SLOTS_SQL, TASKS, events, events_log, orders_log, with_time
 
 QUERIES: dict = {}
@@ -148,11 +148,64 @@ def cdc_modified_columns(spark, sf_dir):
     return log.where(F.col("cdc_operation").isin(1, 2)).select(*KEYS, *[filters.modified(c, log.columns).alias(f"mod_{c}") for c in EVENTS.columns])
 
 
-@query(mode_sql("full", "full"))
+#: Records in a partition's batches: all before images, then all changes, then all after images; `place` is where one stands.
+BATCH_SQL = LOG_SQL + """, b AS (SELECT *, row_number() OVER (PARTITION BY user_id, n ORDER BY seq, event_id) AS place FROM log)"""
+
+
+@query(BATCH_SQL + """ SELECT c.user_id, c.event_type, c.event_id, c.op, c.place, p.place AS pre_place, p.value AS pre_value, q.place AS post_place, q.value AS post_value
+FROM b c LEFT JOIN b p ON p.event_id = c.event_id AND p.seq = 0 LEFT JOIN b q ON q.event_id = c.event_id AND q.seq = 2 WHERE c.seq = 1""")
 def cdc_batch_alignment(spark, sf_dir):
-    """All before images of a batch, then its changes, then its after images: pairs are made by row, not by place."""
-    log = events_log(spark, sf_dir)
-    return flat(correlate.by_order(log, EVENTS, FULL, CHANGE_ID, ("n", "cdc_batch_seq_no", "event_id")), FULL)
+    """Several rows of a partition in one batch: pairs are made by row, not by partition or place."""
+    in_batch = Window.partitionBy("user_id", "n").orderBy("cdc_batch_seq_no", "event_id")
+    log = events_log(spark, sf_dir).withColumn("place", F.row_number().over(in_batch).cast("long"))
+    spec = EVENTS.with_columns("value", "place")
+    e = correlate.by_order(log, spec, FULL, CHANGE_ID, ("n", "place"))
+    return e.select(*KEYS, F.col("chg._op").alias("op"), F.col("chg.place").alias("place"), F.col("pre.place").alias("pre_place"), F.col("pre.value").alias("pre_value"),
+                    F.col("post.place").alias("post_place"), F.col("post.value").alias("post_value"))
+
+
+#: The state machine in SQL over the torn log, a step for each record of a row: k numbers its records, slots hold their numbers.
+MACHINE_SQL = LOG_SQL.replace("WITH e AS", "WITH RECURSIVE e AS", 1) + f""",
+t AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id, seq) AS k FROM log{MISSING}),
+m AS (
+  SELECT user_id, event_type, 0::BIGINT AS k, NULL::BIGINT AS pre, NULL::BIGINT AS chg, NULL::BIGINT AS post, NULL::INTEGER AS cop,
+         NULL::BIGINT AS e_pre, NULL::BIGINT AS e_chg, NULL::BIGINT AS e_post, NULL::BIGINT AS lost FROM (SELECT DISTINCT user_id, event_type FROM t)
+  UNION ALL
+  SELECT user_id, event_type, k, CASE WHEN NOT done THEN pre END, CASE WHEN NOT done THEN chg END, CASE WHEN NOT done THEN post END, CASE WHEN NOT done THEN cop END,
+         CASE WHEN done THEN pre END, CASE WHEN done THEN chg END, CASE WHEN done THEN post END, lost
+  FROM (SELECT *, coalesce((cop = 1 AND pre IS NOT NULL AND post IS NOT NULL) OR (cop = 2 AND post IS NOT NULL) OR (cop = 3 AND pre IS NOT NULL), false) AS done
+        FROM (SELECT t.user_id, t.event_type, t.k, CASE WHEN t.op = 0 THEN t.k ELSE m.pre END AS pre, CASE WHEN t.op IN (1, 2, 3) THEN t.k ELSE m.chg END AS chg,
+                     CASE WHEN t.op = 9 THEN t.k ELSE m.post END AS post, CASE WHEN t.op IN (1, 2, 3) THEN t.op ELSE m.cop END AS cop, CASE WHEN t.op IN (1, 2, 3) THEN m.chg END AS lost
+              FROM m JOIN t ON t.user_id = m.user_id AND t.event_type = m.event_type AND t.k = m.k + 1)))
+"""
+
+
+@query(MACHINE_SQL + """SELECT c.user_id, c.event_type, c.event_id, c.op, p.event_id AS pre_event, p.value AS pre_value, c.value AS value, q.event_id AS post_event, q.value AS post_value
+FROM m JOIN t c ON c.user_id = m.user_id AND c.event_type = m.event_type AND c.k = m.e_chg
+LEFT JOIN t p ON p.user_id = m.user_id AND p.event_type = m.event_type AND p.k = m.e_pre LEFT JOIN t q ON q.user_id = m.user_id AND q.event_type = m.event_type AND q.k = m.e_post""")
+def cdc_state_machine_torn(spark, sf_dir):
+    """Missing images and changes: what is left over pairs with a later change, whose images may be another event's."""
+    log = _torn(spark, sf_dir).withColumn("of", F.col("event_id"))
+    e = correlate.by_order(log, EVENTS.with_columns("value", "of"), FULL, CHANGE_ID, ORDER)
+    return e.select(*KEYS, F.col("chg._op").alias("op"), F.col("pre.of").alias("pre_event"), F.col("pre.value").alias("pre_value"), F.col("chg.value").alias("value"),
+                    F.col("post.of").alias("post_event"), F.col("post.value").alias("post_value"))
+
+
+@query(MACHINE_SQL + f""", l AS (
+  SELECT user_id, event_type, lost AS k, '{correlate.OVERWRITTEN}' AS reason FROM m WHERE lost IS NOT NULL
+  UNION ALL SELECT user_id, event_type, chg, '{correlate.NO_IMAGE}' FROM m WHERE chg IS NOT NULL AND k = (SELECT max(x.k) FROM t x WHERE x.user_id = m.user_id AND x.event_type = m.event_type))
+SELECT user_id, event_type, t.event_id, t.op, reason FROM l JOIN t USING (user_id, event_type, k)""")
+def cdc_state_machine_incomplete(spark, sf_dir):
+    """Changes that the state machine never completes, with the reason; with those that it does they are all changes."""
+    e = correlate.state_machine(_torn(spark, sf_dir), EVENTS, FULL, CHANGE_ID, ORDER).where("reason IS NOT NULL AND chg IS NOT NULL")
+    return e.select(*KEYS, F.col("chg._op").alias("op"), "reason")
+
+
+@query(LOG_SQL + "SELECT user_id, event_type, event_id, note IS NOT NULL OR del OR event_id % 11 = 0 AS mod_note, value IS NOT NULL AS mod_value FROM log WHERE op = 1")
+def cdc_removed_elements(spark, sf_dir):
+    """A change that only removes elements of a collection modifies its column."""
+    log = events_log(spark, sf_dir).where("cdc_operation = 1").withColumn("cdc_deleted_elements_note", F.when(F.col("event_id") % 11 == 0, F.array(F.col("event_id"))))
+    return log.select(*KEYS, *[filters.modified(c, log.columns).alias(f"mod_{c}") for c in EVENTS.columns])
 
 
 # -- the older format
@@ -359,6 +412,58 @@ def cdc_scalar_wire(spark, sf_dir):
                     wire.scalar(F.col("o_custkey") % 100, "tinyint").alias("tiny"))
 
 
+_DAYS = "CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS INTEGER)"
+
+
+@query(f"""SELECT o_orderkey, o_orderstatus AS ascii, o_orderpriority AS text, o_orderpriority AS varchar, o_orderkey AS bigint, o_custkey AS counter, CAST(o_custkey % 1000 AS INTEGER) AS int,
+CAST(o_custkey % 1000 AS SMALLINT) AS smallint, CAST(o_custkey % 100 AS TINYINT) AS tinyint, CAST(o_totalprice AS FLOAT) AS float, o_totalprice AS double, o_custkey % 2 = 0 AS boolean,
+base64(encode(o_orderpriority)) AS blob, {_DAYS} AS date, o_orderkey * 1000 AS time, epoch_us(o_orderdate) // 1000 AS timestamp, CAST(CAST(o_custkey AS DECIMAL(12, 2)) AS VARCHAR) AS decimal,
+CAST(o_custkey * 1000000007 AS VARCHAR) AS varint, '00000000-0000-4000-8000-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS uuid,
+'00000000-0000-1000-8000-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS timeuuid, '10.0.0.' || (o_custkey % 256) AS inet, '1d' || (o_custkey % 24) || 'h' AS duration FROM orders""")
+def cdc_scalar_types(spark, sf_dir):
+    """Every scalar type, with nulls left out of none."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    key, cust, prio = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")
+    tail = F.lpad(key.cast("string"), 12, "0")
+    source = {
+        "ascii": F.col("o_orderstatus"), "text": prio, "varchar": prio, "bigint": key, "counter": cust, "int": cust % 1000, "smallint": cust % 1000, "tinyint": cust % 100,
+        "float": F.col("o_totalprice"), "double": F.col("o_totalprice"), "boolean": cust % 2 == 0, "blob": prio.cast("binary"), "date": F.to_date(instant(o, "o_orderdate")), "time": key * 1000,
+        "timestamp": instant(o, "o_orderdate"), "decimal": cust.cast("decimal(12,2)"), "varint": (cust * 1000000007).cast("decimal(38,0)"), "uuid": F.concat(F.lit("00000000-0000-4000-8000-"), tail),
+        "timeuuid": F.concat(F.lit("00000000-0000-1000-8000-"), tail), "inet": F.concat(F.lit("10.0.0."), (cust % 256).cast("string")), "duration": F.concat(F.lit("1d"), (cust % 24).cast("string"), F.lit("h")),
+    }
+    made = {t: wire.value(c, wire.parse_type(t)) for t, c in source.items()}
+    return o.select("o_orderkey", *[(F.base64(c) if t == "blob" else c).alias(t) for t, c in made.items()])
+
+
+#: Nested types by column, and user types (fixed values of the query below).
+NESTED = {
+    "dates": "frozen<list<date>>", "times_of": "map<int, frozen<list<timestamp>>>", "by_pair": "frozen<map<frozen<tuple<int, date>>, text>>",
+    "pair": "tuple<int, frozen<set<timestamp>>>", "outer": "frozen<outer_type>", "kept": "map<timeuuid, date>",
+}
+USER_TYPES = {"inner_type": {"x": "date", "y": "varint"}, "outer_type": {"inner": "frozen<inner_type>", "l": "list<date>", "z": "int"}}
+
+
+@query(f"""WITH o AS (SELECT o_orderkey, CAST(o_custkey % 1000 AS INTEGER) AS c, o_orderpriority AS p, {_DAYS} AS d, epoch_us(o_orderdate) // 1000 AS ms FROM orders)
+SELECT o_orderkey, CAST(to_json([d, d + 1]) AS VARCHAR) AS dates, CAST(to_json([{{'key': c, 'value': [ms]}}, {{'key': -1, 'value': []::BIGINT[]}}]) AS VARCHAR) AS times_of,
+CAST(to_json([{{'key': {{'field_0': c, 'field_1': d}}, 'value': p}}]) AS VARCHAR) AS by_pair, CAST(to_json({{'field_0': CASE WHEN c % 4 > 0 THEN c END, 'field_1': CASE WHEN c % 3 > 0 THEN [ms] END}}) AS VARCHAR) AS pair,
+CASE WHEN c % 3 > 0 OR c % 4 > 0 THEN CAST(to_json({{'inner': CASE WHEN c % 3 > 0 THEN {{'x': d, 'y': CAST(c AS VARCHAR)}} END, 'l': []::INTEGER[], 'z': CASE WHEN c % 4 > 0 THEN c END}}) AS VARCHAR) END AS "outer",
+CAST(to_json([d + 1, d]) AS VARCHAR) AS kept FROM o""")
+def cdc_types_nested(spark, sf_dir):
+    """Collections, tuples and user types within each other, translated at every depth."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    c, at, day = (F.col("o_custkey") % 1000).cast("int"), instant(o, "o_orderdate"), F.to_date(instant(o, "o_orderdate"))
+    some, any_ = c % 3 > 0, c % 4 > 0
+    no_times = F.array().cast("array<timestamp>")
+    columns = {
+        "dates": F.array(day, F.date_add(day, 1)), "times_of": F.create_map(c, F.array(at), F.lit(-1), no_times), "by_pair": F.create_map(wire.tuple_struct(c, day), F.col("o_orderpriority")),
+        "pair": wire.tuple_struct(F.when(any_, c), F.when(some, F.array(at))),
+        "outer": F.struct(F.struct(F.when(some, day).alias("x"), F.when(some, c).cast("decimal(38,0)").alias("y")).alias("inner"), F.array().cast("array<date>").alias("l"), F.when(any_, c).alias("z")),
+        "kept": F.create_map(F.lit("00000002-0000-1000-8000-000000000001"), day, F.lit("00000001-0000-1000-8000-000000000001"), F.date_add(day, 1)),
+    }
+    made = {n: wire.value(columns[n], wire.parse_type(t, USER_TYPES), wire.parse_type("list<date>") if n == "kept" else None) for n, t in NESTED.items()}
+    return o.select("o_orderkey", *[F.to_json(v, {"ignoreNullFields": "false"}).alias(n) for n, v in made.items()])
+
+
 # -- reading and planning
 
 #: 2024-01-20 00:00 UTC, a fixed present for the queries below.
@@ -417,15 +522,24 @@ def cdc_task_merge(spark, sf_dir):
     return filters.merge_tasks(n.where("id < 15").withColumn("origin", F.lit("a")), n.where("id >= 10").withColumn("origin", F.lit("b")), key=["id"])
 
 
-@query("""SELECT n_name AS tbl, 'warning' AS level, 'the table was not found' AS problem FROM nation WHERE n_nationkey % 5 = 4
-UNION ALL SELECT n_name, 'error', 'cdc is not enabled' FROM nation WHERE n_nationkey % 5 = 0
-UNION ALL SELECT n_name, 'error', 'preimage is not enabled' FROM nation WHERE n_nationkey % 5 IN (1, 2)
-UNION ALL SELECT n_name, 'error', 'postimage is not enabled' FROM nation WHERE n_nationkey % 5 = 1""")
+_OPTION_CASES = """WITH c AS (SELECT m, n_name AS tbl, n_nationkey % 6 AS k FROM nation, (VALUES ('both'), ('before'), ('none')) v(m))
+SELECT m AS mode, tbl, 'warning' AS level, 'the table was not found' AS problem FROM c WHERE k = 5 AND m <> 'none'
+UNION ALL SELECT m, tbl, 'error', 'cdc is not enabled' FROM c WHERE k = 0 AND m <> 'none'
+UNION ALL SELECT m, tbl, 'error', 'preimage is not enabled' FROM c WHERE k IN (1, 2, 4) AND m <> 'none'
+UNION ALL SELECT m, tbl, 'error', 'postimage is not enabled' FROM c WHERE k = 1 AND m = 'both'"""
+
+
+@query(_OPTION_CASES)
 def cdc_table_option_errors(spark, sf_dir):
-    n = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("tbl"), (F.col("n_nationkey") % 5).alias("m"))
-    opts = F.create_map(F.lit("enabled"), F.when(F.col("m") > 0, F.lit("TRUE")).otherwise(F.lit("false")), F.lit("preimage"), F.when(F.col("m") == 3, F.lit("true")).otherwise(F.lit("false")),
-                        F.lit("postimage"), F.when(F.col("m") >= 2, F.lit("True")).otherwise(F.lit("false")))
-    return validate.table_errors(n.where("m < 4").withColumn("options", opts), n, FULL)
+    """Tables by n % 6: 0 off, 1 on without images, 2 no before image, 3 all on, 4 the text `full` for the before image, 5 missing."""
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("tbl"), (F.col("n_nationkey") % 6).alias("k"))
+    k = F.col("k")
+    opts = F.create_map(F.lit("enabled"), F.when(k > 0, F.lit("TRUE")).otherwise(F.lit("false")), F.lit("preimage"), F.when(k == 3, F.lit("true")).when(k == 4, F.lit("full")).otherwise(F.lit("false")),
+                        F.lit("postimage"), F.when(k >= 2, F.lit("True")).otherwise(F.lit("false")))
+    found = n.where("k < 5").withColumn("options", opts)
+    modes = {"both": FULL, "before": CaptureOptions(before=Image.ONLY_UPDATED), "none": CaptureOptions()}
+    out = [validate.table_errors(found, n, o).select(F.lit(m).alias("mode"), "tbl", "level", "problem") for m, o in modes.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query("SELECT n_nationkey, n_nationkey >= 11 AS gate FROM nation")
@@ -448,6 +562,72 @@ def cdc_table_selection(spark, sf_dir):
     return kept.groupBy(F.concat_ws(".", "ks", "tbl").alias("ks_tbl")).agg(F.count("*").alias("n"))
 
 
+@query(SLOTS_SQL + """SELECT event_id, op, o.user_id AS pk_user, o.half AS pk_half, o.event_type AS ck_type, o.parity AS ck_parity,
+'ck.event_type=' || o.event_type || ',ck.parity=' || o.parity || ',pk.half=' || o.half || ',pk.user_id=' || o.user_id AS headers, pre_value AS before_value
+FROM (SELECT *, CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS half, user_id % 5 AS parity FROM s WHERE op IS NOT NULL) o""")
+def cdc_composite_key(spark, sf_dir):
+    """Two partition and two clustering columns: key order, headers, and a delete with its before image."""
+    spec = EVENTS.with_key(("user_id", "half"), ("event_type", "parity"))
+    user = F.col("user_id")
+    log = events_log(spark, sf_dir).withColumns({"half": F.when(user % 2 == 0, "even").otherwise("odd"), "parity": user % 5})
+    o = FULL.with_(places=frozenset({Place.KAFKA_KEY, Place.KAFKA_HEADERS}))
+    e = shape.envelope(correlate.by_change(log, spec, o, (*CHANGE_ID, "change_ts"), ORDER), spec, o, F.unix_micros("change_ts"), F.lit(0).cast("long"), ("event_id",))
+    headers = F.transform(F.sort_array("headers"), lambda h: F.concat(h["key"], F.lit("="), h["value"].cast("string")))
+    op = F.when(F.col("value.op") == "u", 1).when(F.col("value.op") == "c", 2).otherwise(3)
+    names = dict(zip(e.schema["key"].dataType.names, ("pk_user", "pk_half", "ck_type", "ck_parity")))  # by position: partition columns come first
+    return e.select("event_id", op.alias("op"), *[F.col(f"key.{n}").alias(a) for n, a in names.items()], F.array_join(headers, ",").alias("headers"), F.col("value.before.value").alias("before_value"))
+
+
+@query(f"""SELECT user_id % {TASKS} AS task_id, {NOW_MS} AS ts_ms FROM events GROUP BY 1 HAVING user_id % {TASKS} = 0 OR {NOW_MS} - max(epoch_us(ts) // 1000) >= -{9 * DAY_MS}""")
+def cdc_heartbeats(spark, sf_dir):
+    """Tasks whose last beat, here their last event, is long enough ago, and one that never beat."""
+    last = F.when(F.col("task_id") != 0, F.max(F.unix_millis("ts")))
+    offsets = _tasks(events(spark, sf_dir)).groupBy("task_id").agg(last.alias("last_beat_ms"))
+    return filters.heartbeats(offsets, ["task_id"], NOW_MS, -9 * DAY_MS)
+
+
+@query("""WITH l AS (SELECT event_id, event_id % 3 * 100 AS generation_start FROM events), o AS (SELECT n_nationkey % 3 * 100 AS g, CASE WHEN n_nationkey % 3 = 0 THEN 150 + n_nationkey ELSE 160 END AS w FROM nation)
+SELECT event_id, generation_start FROM l WHERE NOT EXISTS (SELECT 1 FROM o WHERE g < generation_start AND w <= generation_start)""")
+def cdc_current_generation(spark, sf_dir):
+    """A generation opens when every task of all older ones has passed its start: 0 and 100 have, 200 has to wait."""
+    log = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", (F.col("event_id") % 3 * 100).alias("generation_start"))
+    k = F.col("n_nationkey")
+    offsets = spark.read.parquet(f"{sf_dir}/nation.parquet").select((k % 3 * 100).cast("long").alias("generation_start"), F.when(k % 3 == 0, 150 + k).otherwise(160).cast("long").alias("window_start_ms"))
+    return filters.current_generation(log, offsets)
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey, true AS optional FROM nation")
+def cdc_make_optional(spark, sf_dir):
+    """The same rows, every scalar column nullable."""
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name", F.coalesce("n_regionkey", F.lit(-1)).alias("n_regionkey"))
+    made = transforms.make_optional(n)
+    return made.withColumn("optional", F.lit(all(f.nullable for f in made.schema.fields)))
+
+
+@query(SLOTS_SQL + f"SELECT event_id, {_OP}, user_id AS key_user_id, CASE WHEN op IN (1, 2) THEN 1 ELSE 0 END AS has_after, 'struct' AS schema_type, CAST(CASE WHEN op = 3 THEN pre_note WHEN op = 1 THEN CASE WHEN chg_note IS NOT NULL OR del THEN pre_note ELSE post_note END END AS VARCHAR) AS before_note FROM s WHERE op IS NOT NULL")
+def cdc_json_sink(spark, sf_dir):
+    """Keys and values as JSON with their schemas."""
+    e = sinks.as_json(_events(spark, sf_dir, FULL), schemas=True, prefix="app.shop.events.")
+    def part(c, p):
+        return F.get_json_object(c, f"$.payload.{p}")
+
+    return e.select("event_id", part("value", "op").alias("op"), part("key", "user_id").cast("long").alias("key_user_id"), part("value", "after").isNotNull().cast("int").alias("has_after"),
+                    F.get_json_object("value", "$.schema.type").alias("schema_type"), part("value", "before.note").alias("before_note"))
+
+
+@query(SLOTS_SQL + """, l AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM s WHERE op IS NOT NULL)
+SELECT user_id, event_type, event_id, CASE op WHEN 1 THEN 'u' WHEN 2 THEN 'c' ELSE 'd' END AS op FROM l WHERE k = 1""")
+def cdc_upsert_sink(spark, sf_dir):
+    """The log in four batches, the second of them twice, into a table by key."""
+    from ..streaming.run import fresh_dir
+
+    e = _events(spark, sf_dir, FULL).select(*KEYS, F.col("value.source.ts_us").alias("ts_us"), F.col("value.op").alias("op"))
+    store = sinks.KeyedTable(spark, fresh_dir(spark, "upsert"), ("user_id", "event_type"), ("ts_us", "event_id"), parts=8)
+    for i in (0, 1, 1, 2, 3):
+        store.apply(e.where(F.pmod("event_id", F.lit(4)) == i), i)
+    return store.read().select("user_id", "event_type", "event_id", "op")
+
+
 @query()
 def cdc_stream_correlate(spark, sf_dir):
     """The derived log as a stream of files; rows only, as SQL has no streams."""

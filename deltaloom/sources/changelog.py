@@ -4,9 +4,10 @@
     spark.readStream.format("changelog").schema(log_schema).option("path", folder).load()
 
 Options: path (a folder of Parquet files), time (the timestamp column, default change_ts), window_ms, confidence_ms,
-start_ms, tasks, now_ms (a fixed present, for tests and replays). The offset is the end of the last window; a batch is
-never newer than now - confidence, and at most `windows_per_batch` windows long, so a restart catches up in bounded
-steps. A batch's partitions are the files whose statistics overlap it.
+start_ms, minimal_wait_ms (default 0), windows_per_batch (default 120), now_ms (a fixed present, for tests and replays).
+The offset is the end of the last window; a batch is never newer than now - confidence, and at most `windows_per_batch`
+windows long, so a restart catches up in bounded steps. With a minimal wait a window is read no sooner than that after the
+one before it. A batch's partitions are the files whose statistics overlap it.
 """
 
 from __future__ import annotations
@@ -37,18 +38,26 @@ class ChangeLogReader(DataSourceStreamReader):
         self.path, self.time = options["path"], options.get("time", "change_ts")
         self.window, self.confidence = int(options.get("window_ms", 30_000)), int(options.get("confidence_ms", 30_000))
         self.start, self.now = int(options.get("start_ms", 0)), options.get("now_ms")
-        self.most = int(options.get("windows_per_batch", 1 << 30))
-        self.reached = self.start
+        self.most, self.wait = int(options.get("windows_per_batch", 120)), int(options.get("minimal_wait_ms", 0))
+        self.reached, self.moved = self.start, None
 
     def initialOffset(self) -> dict:
         return {"end": self.start}
 
     def latestOffset(self) -> dict:
         until = (int(self.now) if self.now else int(time.time() * 1000)) - self.confidence
-        whole = max(0, until - self.reached) // self.window
-        self.reached += min(whole, self.most) * self.window
+        windows = min(max(0, until - self.reached) // self.window, self.most)
+        if self.wait:
+            now = self._clock_ms()
+            windows = min(windows, 1 if self.moved is None else int(now - self.moved) // self.wait)
+            if windows:
+                self.moved = now
+        self.reached += windows * self.window
         return {"end": self.reached}
 
+    def _clock_ms(self) -> float:
+        return time.monotonic() * 1000
+
     def _bounds(self, a: int, b: int, kind: pa.DataType):
         return tuple(pa.scalar(x * 1000, pa.timestamp("us")).cast(pa.timestamp("us", kind.tz)) for x in (a, b))
 

@@ -28,13 +28,13 @@ TRANSIENT = (SourceBusy, TimeoutError, ConnectionError)
 
 
 def is_transient(error: BaseException | None) -> bool:
-    """Whether anything in the chain of causes is a failure that may pass."""
+    """Whether anything in the chain of causes is a failure that may pass; what was merely being handled is no cause."""
     seen: set[int] = set()
     while error is not None and id(error) not in seen:
         seen.add(id(error))
         if isinstance(error, TRANSIENT) or (isinstance(error, NoHost) and any(isinstance(x, TRANSIENT) for x in error.errors)):
             return True
-        error = error.__cause__ or error.__context__
+        error = error.__cause__
     return False
 
 

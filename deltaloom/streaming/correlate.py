@@ -1,8 +1,10 @@
 """Correlation in a stream: keyed state, event-time eviction, incomplete changes as an output of their own.
 
-State of a row key is the three slots. Records that come in one batch are put in order before they are fed. A change
-that lacks an image when the watermark has passed it by the timeout comes out as incomplete, with a reason, instead of
-vanishing; late records are kept back by the watermark, as far as the confidence window reaches.
+State of a row key is the three slots; a record is kept as an Arrow message, so any type comes back as it went in. Records that
+come in one batch are put in order before they are fed. A change that is overwritten by another one of its row, or older
+than the timeout by the records' own times or by the watermark, comes out as incomplete, with a reason, instead of
+vanishing: complete and incomplete changes together are all changes, however the log is cut into batches. Late records
+are kept back by the watermark, as far as the confidence window reaches.
 """
 
 from __future__ import annotations
@@ -10,19 +12,55 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions.instants import instant
 from ..model import OPERATION, TableSpec
-from ..operators.correlate import _JSON, CHANGE, POST, PRE, Slots
+from ..operators.correlate import CHANGE, POST, PRE, Slots, record, unpacked
 from ..operators.filters import relevant
 from ..options import CaptureOptions
 from ..ship import ship
 
-STATE = "pre string, chg string, post string, op int, since long"
-OUTPUT = "pre string, chg string, post string, reason string"
+STATE = "pre binary, chg binary, post binary, op int, since long"
+OPEN = "still open"
+OUTPUT = "pre binary, chg binary, post binary, reason string"
+_KEY = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
+
+
+def _pack(at: int):
+    """Column `at` of every batch to one Arrow message a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            one = pa.RecordBatch.from_arrays([b.column(at)], names=["b"])
+            packed = pa.array([one.slice(i, 1).serialize().to_pybytes() for i in range(b.num_rows)], pa.binary())
+            yield pa.RecordBatch.from_arrays([packed if i == at else c for i, c in enumerate(b.columns)], names=b.schema.names)
+
+    return run
+
+
+def _unpack(kind: pa.DataType):
+    schema = pa.schema([("b", kind)])
+
+    def column(packed: pa.Array) -> pa.Array:
+        there = [pa.ipc.read_record_batch(x.as_buffer(), schema).column(0) for x in packed if x.is_valid]
+        values = pa.concat_arrays(there) if there else pa.array([], kind)
+        place, n = [], 0
+        for x in packed.is_valid().to_pylist():
+            place.append(n if x else None)
+            n += x
+        return values.take(pa.array(place, pa.int64()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*[column(b.column(i)) for i in range(3)], b.column(3)], names=[PRE, CHANGE, POST, "reason"])
+
+    return run
 
 
 class _Correlator(StatefulProcessor):
@@ -36,7 +74,8 @@ class _Correlator(StatefulProcessor):
     def _load(self) -> Slots:
         s = Slots(self.o)
         if self.slots.exists():
-            s.pre, s.change, s.post, s.op, s.since = self.slots.get()
+            *records, s.op, s.since = self.slots.get()
+            s.pre, s.change, s.post = (None if x is None else bytes(x) for x in records)
         return s
 
     def _save(self, s: Slots) -> None:
@@ -51,6 +90,7 @@ class _Correlator(StatefulProcessor):
         for op, record, ms in zip(every["op_"], every["r_"], every["ms_"]):
             if (hit := s.feed(int(op), record, int(ms))) is not None:
                 out.append((*hit, None))
+        out += s.lost
         self._save(s)
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
@@ -60,9 +100,9 @@ class _Correlator(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         s = self._load()
-        out = [] if s.empty else [(s.pre, s.change, s.post, "no change" if s.change is None else "an image is missing")]
+        s.give_up()
         self.slots.clear()
-        yield pd.DataFrame(out, columns=["pre", "chg", "post", "reason"], dtype=object)
+        yield pd.DataFrame(s.lost, columns=["pre", "chg", "post", "reason"], dtype=object)
 
     def close(self) -> None:
         pass
@@ -70,6 +110,8 @@ class _Correlator(StatefulProcessor):
 
 def _sortable(log: DataFrame, name: str) -> Column:
     kind = log.schema[name].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(instant(log, name)).cast("string")
     return (F.unix_micros(name) if isinstance(kind, T.TimestampType) else F.col(name)).cast("string")
 
 
@@ -79,15 +121,25 @@ def correlate_stream(log: DataFrame, spec: TableSpec, o: CaptureOptions, change_
     Needs the RocksDB state store. The columns of `order` must be timestamps, numbers that are not negative, or text of fixed length.
     """
     ship(log.sparkSession)
-    ids = [c for c in change_id if c not in spec.key]
-    body = F.struct(spec.image(log.columns).alias("r"), *ids)
-    kind = log.select(body.alias("b")).schema["b"].dataType
+    b = record(log, spec, change_id)
     ordering = F.concat_ws("|", *[F.lpad(_sortable(log, c), 20, "0") for c in order])
-    rows = relevant(log, spec, True, True).select(
-        F.to_json(F.struct(*spec.key)).alias("key_"), F.col(OPERATION).cast("int").alias("op_"), ordering.alias("order_"),
-        F.unix_millis(F.col(ts)).alias("ms_"), F.to_json(body, _JSON).alias("r_"), F.col(ts).alias("ts_"))
-    held = rows.withWatermark("ts_", f"{o.confidence_window} milliseconds").groupBy("key_").transformWithStateInPandas(
+    rows = relevant(log, spec, o.needs_pre, o.needs_post).select(
+        F.to_json(F.struct(*spec.key), _KEY).alias("key_"), F.col(OPERATION).cast("int").alias("op_"), ordering.alias("order_"),
+        F.unix_millis(F.col(ts)).alias("ms_"), b.alias("r_"), F.col(ts).alias("ts_"))
+    packed = rows.mapInArrow(_pack(4), T.StructType([T.StructField(f.name, T.BinaryType() if f.name == "r_" else f.dataType) for f in rows.schema]))
+    held = packed.withWatermark("ts_", f"{o.confidence_window} milliseconds").groupBy("key_").transformWithStateInPandas(
         statefulProcessor=_Correlator(o), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime")
-    read = held.select(*[F.from_json(s, kind, _JSON).alias(s) for s in (PRE, CHANGE, POST)], "reason")
-    some = F.coalesce(CHANGE, PRE, POST)
-    return read.select(*[some["r"][c].alias(c) for c in spec.key], *[F.col(f"{CHANGE}.{c}").alias(c) for c in ids], *[F.col(f"{s}.r").alias(s) for s in (PRE, CHANGE, POST)], "reason")
+    return _unpacked(held, log, spec, change_id)
+
+
+def _unpacked(held: DataFrame, log: DataFrame, spec: TableSpec, change_id: tuple[str, ...]) -> DataFrame:
+    kind = log.select(record(log, spec, change_id).alias("b")).schema["b"].dataType
+    out = T.StructType([T.StructField(s, kind) for s in (PRE, CHANGE, POST)] + [T.StructField("reason", T.StringType())])
+    return unpacked(held.mapInArrow(_unpack(to_arrow_type(kind)), out), spec, change_id)
+
+
+def open_slots(log: DataFrame, spec: TableSpec, change_id: tuple[str, ...], checkpoint: str) -> DataFrame:
+    """What a stream that is not running holds in its state, as correlate_stream gives it; the reason is OPEN."""
+    spark = ship(log.sparkSession)
+    state = spark.read.format("statestore").option("stateVarName", "slots").load(checkpoint)
+    return _unpacked(state.select("value.pre", "value.chg", "value.post", F.lit(OPEN).alias("reason")), log, spec, change_id)

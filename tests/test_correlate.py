@@ -152,3 +152,69 @@ def test_older_format(spark):
     assert e[2].after.w is not None and e[2].after.w.value is None and e[2].after.v is None
     assert e[3].after is None and e[3].before.v.value == "c"
     assert e[4].before.pk == 1 and e[4].before.v is None  # no before image: the change itself
+
+
+def test_state_machine_keeps_types(spark):
+    """Records come through with maps of any keys, zone-less timestamps and nested values as they are."""
+    from datetime import datetime
+    from decimal import Decimal
+
+    spec = TableSpec("ks", "t", ("pk",), (), ("m", "n", "d", "b", "s"))
+    schema = ("pk timestamp_ntz, t int, seq int, cdc_operation int, m map<int,string>, n timestamp_ntz, d decimal(38,10), b binary, "
+              "s struct<a:array<map<bigint,date>>,z:timestamp>")
+    at = datetime(2024, 5, 6, 7, 8, 9, 123456)
+    keys = [at, at.replace(microsecond=123457), None]
+    rows = []
+    for pk in keys:
+        for t in range(4):
+            for seq, op in ((0, 0), (1, 1), (2, 9)):
+                rows.append((pk, t, seq, op, {t: f"{seq}", -1: None}, at.replace(microsecond=t), Decimal(f"{t}.0000000001"), bytes([t, seq]), ([{7: at.date()}], at) if seq else None))
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    o = CaptureOptions(before=F_, after=F_)
+    a, b = (sorted(map(str, how(df, spec, o, ("t",), ("t", "seq")).collect())) for how in (correlate.by_change, correlate.by_order))
+    assert a == b and len(a) == 12
+
+
+def test_no_change_vanishes(spark):
+    """What the state machine never completes comes out with a reason; with the events these are all changes."""
+    rows = [
+        (1, 1, 1, 1, 1, "a", None, False, False),  # its images never come; the next change overwrites it
+        (1, 1, 2, 0, 0, "b", None, False, False), (1, 1, 2, 1, 1, "c", None, False, False), (1, 1, 2, 2, 9, "d", None, False, False),
+        (1, 2, 1, 1, 1, "e", None, False, False),  # left over at the end
+        (1, 3, 1, 0, 0, "f", None, False, False),  # an image without a change
+    ]
+    o = CaptureOptions(before=F_, after=F_)
+    got = {(r.ck, r.t): (r.reason, r.pre.v if r.pre else None, r.chg.v if r.chg else None, r.post.v if r.post else None)
+           for r in correlate.state_machine(log(spark, rows), SPEC, o, ("t",), ("t", "cdc_batch_seq_no")).collect()}
+    assert got == {(1, 1): (correlate.OVERWRITTEN, "b", "a", None), (1, 2): (None, "b", "c", "d"), (2, 1): (correlate.NO_IMAGE, None, "e", None), (3, 1): (correlate.NO_CHANGE, "f", None, None)}
+
+
+def test_machine_across_batches(spark):
+    """The same from Arrow batches of any size."""
+    o = CaptureOptions(before=F_, after=F_)
+    df = log(spark, [(i % 3, i % 2, *r[2:]) for i in range(20) for r in ROWS[2:5]])
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = []
+    try:
+        for n in ("1", "2", "7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+            rows = correlate.state_machine(df, SPEC, o, ("t",), ("t", "cdc_batch_seq_no")).collect()
+            out.append(sorted((r.pk, r.ck, r.reason or "", str(r.chg)) for r in rows))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert out[0] == out[1] == out[2] == out[3]
+
+
+def test_slots_time_out():
+    s = Slots(CaptureOptions(before=F_, incomplete_timeout=10))
+    assert s.feed(Op.ROW_UPDATE, "x", 100) is None and s.feed(Op.PRE_IMAGE, "p", 110) == ("p", "x", None)
+    assert s.feed(Op.ROW_UPDATE, "y", 200) is None and s.feed(Op.PRE_IMAGE, "q", 211) is None
+    assert s.lost == [(None, "y", None, correlate.TIMED_OUT)] and s.pre == "q"
+
+
+def test_by_change_plan(spark, tmp_path):
+    """One exchange and one sort, and no aggregation that would sort once more."""
+    log(spark, ROWS).write.parquet(str(tmp_path / "log"))
+    o = CaptureOptions(before=F_, after=F_)
+    plan = correlate.by_change(spark.read.parquet(str(tmp_path / "log")), SPEC, o, ("t",), ("t", "cdc_batch_seq_no"))._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Sort [") == 1 and plan.count("Exchange ") == 1

@@ -45,6 +45,52 @@ def test_collections_and_udts(spark):
     assert wire.schema_name(T.MapType(T.StringType(), T.IntegerType())) == "Map_string_int"
 
 
+def test_types_of_any_depth(spark):
+    """Golden values of every scalar type alone, and inside lists, maps, tuples and user types."""
+    from decimal import Decimal
+
+    at = datetime(2024, 6, 10, 12, 34, 56, 789000, tzinfo=timezone.utc)
+    golden = {  # source value, Spark type it comes as, wire value
+        "ascii": ("ascii", "string", "ascii"), "text": ("some text", "string", "some text"), "varchar": ("varchar text", "string", "varchar text"),
+        "bigint": (1234567890123, "bigint", 1234567890123), "counter": (5, "bigint", 5), "int": (42, "int", 42), "smallint": (7, "smallint", 7), "tinyint": (5, "tinyint", 5),
+        "float": (2.5, "float", 2.5), "double": (3.14159, "double", 3.14159), "boolean": (True, "boolean", True), "blob": (b"\xca\xfe\xba\xbe", "binary", b"\xca\xfe\xba\xbe"),
+        "date": (at.date(), "date", 19884), "time": (45296789000000, "bigint", 45296789000000), "timestamp": (at, "timestamp", 1718022896789),
+        "decimal": (Decimal("12345.67"), "decimal(7,2)", "12345.67"), "varint": (Decimal(999999999), "decimal(38,0)", "999999999"),
+        "uuid": ("453662fa-db4b-4938-9033-d8523c0a371c", "string", "453662fa-db4b-4938-9033-d8523c0a371c"),
+        "timeuuid": ("81d4a030-4632-11f0-9484-409dd8f36eba", "string", "81d4a030-4632-11f0-9484-409dd8f36eba"), "inet": ("127.0.0.1", "string", "127.0.0.1"),
+        "duration": ("1d12h30m", "string", "1d12h30m"),
+    }
+    assert set(golden) == set(wire.SCALARS)
+    users = {f"u_{t}": {"v": t, "l": f"frozen<list<{t}>>"} for t in golden}
+    for t, (source, kind, want) in golden.items():
+        ddl = f"s {kind}, l array<{kind}>, m map<int,array<{kind}>>, k map<{kind},string>, p struct<field_0:{kind},field_1:int>, u struct<v:{kind},l:array<{kind}>>"
+        full = (source, [source, None], {1: [source], 2: []}, {source: "x"}, (source, None), (source, []))
+        df = spark.createDataFrame([full, (None, [], {}, {}, (None, None), (None, [])), (None,) * 6], ddl)
+        types = {"s": t, "l": f"list<{t}>", "m": f"map<int, frozen<list<{t}>>>", "k": f"frozen<map<{t}, text>>", "p": f"tuple<{t}, int>", "u": f"u_{t}"}
+        rows = [r.asDict(recursive=True) for r in df.select(*[wire.value(F.col(c), wire.parse_type(x, users)).alias(c) for c, x in types.items()]).collect()]
+        assert rows[0] == {"s": want, "l": [want, None], "m": [{"key": 1, "value": [want]}, {"key": 2, "value": []}], "k": [{"key": want, "value": "x"}],
+                           "p": {"field_0": want, "field_1": None}, "u": {"v": want, "l": []}}, t
+        assert rows[1] == {"s": None, "l": [], "m": [], "k": [], "p": {"field_0": None, "field_1": None}, "u": None}, t
+        assert rows[2] == dict.fromkeys(types), t
+
+
+def test_type_texts():
+    assert wire.parse_type("frozen<map<frozen<tuple<int, text>>, list<date>>>") == wire.Kind("map", (wire.Kind("tuple", (wire.Kind("int"), wire.Kind("text"))), wire.Kind("list", (wire.Kind("date"),))))
+    for bad in ("", "list", "list<int, int>", "map<int>", "int<text>", "graph", "list<int", "int>"):
+        with pytest.raises(ValueError):
+            wire.parse_type(bad)
+
+
+def test_lists_kept_as_maps(spark):
+    m = F.create_map(F.lit("00000002-0000-1000-8000-000000000001"), F.lit(10), F.lit("00000001-0000-1000-8000-000000000001"), F.lit(20))
+    kind, base = wire.parse_type("map<timeuuid, int>"), wire.parse_type("list<int>")
+    r = spark.range(1).select(wire.value(m, kind, base).alias("l"), wire.value(m, kind).alias("m")).first()
+    assert r.l == [20, 10] and [tuple(e) for e in r.m] == [("00000002-0000-1000-8000-000000000001", 10), ("00000001-0000-1000-8000-000000000001", 20)]
+    wrapped = F.struct(F.struct(F.lit(1).alias("a")).alias("elements"))
+    users = {"inner": {"a": "int"}, "outer": {"elements": "frozen<inner>"}}
+    assert spark.range(1).select(wire.value(wrapped, wire.parse_type("outer", users)).alias("u")).first().u.a == 1
+
+
 def test_flatten_and_unwrap(spark):
     schema = "op string, before struct<pk:int,v:struct<value:string>,u:struct<value:int>>, after struct<pk:int,v:struct<value:string>,u:struct<value:int>>"
     df = spark.createDataFrame([("u", (1, ("a",), None), (1, (None,), (5,))), ("d", (1, ("b",), None), None)], schema)
@@ -84,6 +130,13 @@ def test_retry():
     with pytest.raises(RuntimeError):
         retry.call(f, o, slept.append)
     assert len(tries) == 4 and slept == [0.01, 0.02, 0.035]
+    try:
+        try:
+            raise TimeoutError
+        except TimeoutError:
+            raise ValueError  # while a transient one is handled, which is no cause
+    except ValueError as e:
+        assert not retry.is_transient(e)
     assert not retry.is_transient(ValueError()) and not retry.is_transient(retry.NoHost([ValueError()])) and retry.is_transient(retry.SourceBusy())
     with pytest.raises(ValueError):
         retry.call(lambda: int("x"), o, slept.append)

@@ -46,3 +46,13 @@ def test_from_config():
         "cdc.include.primary-key.placement": "payload-key", "query.time.window.size": "5", "experimental.preimages.enabled": "false", "ssl.enabled": "true"})
     assert (o.before, o.after, o.query_window, o.preimages) == (Image.FULL, Image.ONLY_UPDATED, 5, False)
     assert o.places == {Place.PAYLOAD_KEY} and o.source_options == {"ssl.enabled": "true"} and o.needs_pre and o.needs_post
+
+
+def test_names_of_settings():
+    text = {"worker.max.retries": "3", "worker.maximum.backoff": "70", "worker.jitter.percentage": "5", "worker.retry.backoff.base": "9", "initial.lookback.ms": "11",
+            "minimal.wait.for.window.time": "13", "worker.shared.session.enabled": "true", "worker.pooling.max.queue.size": "8", "user": "u", "password": "p"}
+    for prefix in ("", "vendor."):
+        o = CaptureOptions.from_config({prefix + k: v for k, v in text.items()}, prefix)
+        assert (o.retry_attempts, o.retry_cap, o.retry_jitter, o.retry_base, o.lookback, o.minimal_wait, o.user) == (3, 70, 5, 9, 11, 13, "u")
+        assert o.source_options == {"worker.shared.session.enabled": "true", "worker.pooling.max.queue.size": "8"} and o.errors() == []
+    assert CaptureOptions.from_config({"worker.retry.attempts": "3"}).errors() == ["worker.retry.attempts: no such setting"]

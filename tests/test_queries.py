@@ -47,6 +47,47 @@ def test_incomplete_changes_come_out_of_the_stream(spark, sf_dir):
     assert got.where("reason is not null").count() > 0
 
 
+@pytest.mark.parametrize("files", [1, 3, 6])
+def test_stream_loses_no_change(spark, sf_dir, files):
+    from pyspark.sql import functions as F
+
+    from deltaloom.streaming.run import correlate_files
+
+    log = events_log(spark, sf_dir).where(~((F.col("cdc_batch_seq_no") == 2) & (F.col("event_id") % 5 == 0)))
+    changes = {r.event_id for r in log.where("cdc_operation in (1, 2, 3)").select("event_id").collect()}
+    got = correlate_files(spark, log, EVENTS, FULL, CHANGE_ID, ORDER, files=files).where("op is not null").collect()
+    assert len(got) == len(changes) and {r.event_id for r in got} == changes
+    assert {r.reason is None for r in got} == {True, False}
+
+
+def test_restart_with_open_slots(spark, sf_dir, tmp_path):
+    """A stream that stops between a change and its images goes on where it was."""
+    from deltaloom.operators.correlate import by_change
+    from deltaloom.streaming.correlate import correlate_stream
+    from deltaloom.streaming.run import ROCKSDB, STORE
+
+    log = events_log(spark, sf_dir)
+    half = log.selectExpr("percentile_approx(event_id, 0.5)").first()[0]
+    first = f"event_id < {half} or (event_id = {half} and cdc_batch_seq_no < 2) or (event_id = {half + 1} and cdc_batch_seq_no = 0)"
+    late = FULL.with_(confidence_window=10 * 86_400_000, incomplete_timeout=10 * 86_400_000)
+    spark.conf.set(STORE, ROCKSDB)
+    counts = []
+    try:
+        for part in (log.where(first), log.where(f"not ({first})")):
+            part.coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+            out = correlate_stream(spark.readStream.schema(log.schema).parquet(str(tmp_path / "log")), EVENTS, late, CHANGE_ID, ORDER)
+            q = out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
+            assert q.awaitTermination(200)
+            counts.append(spark.read.parquet(str(tmp_path / "out")).count())
+    finally:
+        spark.conf.unset(STORE)
+    want = by_change(log, EVENTS, FULL, CHANGE_ID, ORDER)
+    got = spark.read.schema(out.schema).parquet(str(tmp_path / "out"))
+    assert 0 < counts[0] < counts[1] == want.count()
+    assert got.where("reason is not null").count() == 0
+    assert sorted(map(str, got.drop("reason").collect())) == sorted(map(str, want.select(*got.drop("reason").columns).collect()))
+
+
 def test_shuffled_input_gives_the_same(spark, sf_dir):
     from pyspark.sql import functions as F
 

@@ -61,6 +61,49 @@ def test_reader_offsets():
     assert r.partitions({"end": 130}, {"end": 130}) == []
 
 
+def test_reader_waits_between_windows():
+    r = ChangeLogReader(T.StructType([]), {"path": "x", "window_ms": "10", "confidence_ms": "5", "start_ms": "100", "now_ms": "205", "minimal_wait_ms": "50"})
+    clock = [1000]
+    r._clock_ms = lambda: clock[0]
+    ends = []
+    for step in (0, 10, 39, 1, 49, 1, 100):
+        clock[0] += step
+        ends.append(r.latestOffset()["end"])
+    assert ends == [110, 110, 110, 120, 120, 130, 150]
+    assert ChangeLogReader(T.StructType([]), {"path": "x"}).most == 120
+
+
+def test_table_by_key(spark, tmp_path):
+    t = sinks.KeyedTable(spark, str(tmp_path / "t"), ("k",), ("at",), parts=4)
+    assert t.read() is None
+
+    def batch(*rows):
+        return spark.createDataFrame(rows, "k int, at int, v string")
+
+    t.apply(batch(*[(k, 1, f"a{k}") for k in range(20)]), 0)
+    t.apply(batch((3, 2, "b3"), (20, 1, "b20")), 1)
+    files = {f for f in (tmp_path / "t" / "data" / f"{1:020d}").glob("_part=*")}
+    assert 0 < len(files) <= 2  # only the parts of its two keys
+    t.apply(batch((3, 9, "lost")), 1)  # the same batch number again
+    t.apply(batch((3, 0, "older")), 2)
+    want = {k: f"a{k}" for k in range(20)} | {3: "b3", 20: "b20"}
+    assert {r.k: r.v for r in t.read().collect()} == want and t.read().columns == ["k", "at", "v"]
+    t.vacuum()
+    assert {r.k: r.v for r in t.read().collect()} == want
+
+
+def test_json_with_schemas(spark):
+    import json
+
+    e = spark.createDataFrame([((1,), ("u", {"a": 1}, [b"x"], None)), ((2,), None)], "key struct<pk:int>, value struct<op:string,m:map<string,bigint>,l:array<binary>,s:struct<field_0:double>>")
+    got = sinks.as_json(e, schemas=True, prefix="p.").collect()
+    v = json.loads(got[0].value)
+    assert v["payload"] == {"op": "u", "m": {"a": 1}, "l": ["eA=="], "s": None} and got[1].value is None
+    kinds = {f["field"]: f for f in v["schema"]["fields"]}
+    assert v["schema"]["type"] == "struct" and kinds["op"]["type"] == "string" and kinds["m"]["values"]["type"] == "int64" and kinds["l"]["items"]["type"] == "bytes"
+    assert kinds["s"]["name"].startswith("p.Tuple_") and json.loads(got[0].key)["payload"] == {"pk": 1}
+
+
 def test_heartbeats_and_generations(spark):
     o = spark.createDataFrame([(1, 100), (2, 60), (3, None)], "task int, last_beat_ms long")
     assert {r.task for r in filters.heartbeats(o, ["task"], 130, 70).collect()} == {2, 3}
