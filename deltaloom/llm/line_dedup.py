@@ -42,7 +42,7 @@ from .shared import cut, free_shuffles, fresh, join_few, partitions, ship, small
 VALUES_PER_PART, VALUES_A_ROUND = 4_000_000, 500_000
 EDGES_PER_TASK = 2_000_000
 #: Of each line's near ones in other components so many closest are tried, then more of those still apart, then all.
-CLOSEST = (8, 64, None)
+CLOSEST = (2, 16, None)
 CHUNK = 1 << 19
 
 
@@ -125,7 +125,7 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
     tried = cut(_ordered(forest.where("sa != sb OR xa != xb").join(left, ["sa", "xa"]).join(right, ["sb", "xb"]).select("a", "b").unionByName(several)))
     texts = _texts(src, members)
     free_shuffles(spark)
-    checked = _verify(texts, tried, similarity)
+    checked, group = _verify(texts, tried, similarity), None
     for closest in CLOSEST:
         # only where a pair of the forest failed can another pair be needed: there, across different components, each
         # line's closest others, then all
@@ -133,7 +133,7 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
         failed = checked.where("NOT near").select(F.col("a").alias("h")).distinct()
         if failed.isEmpty():
             break
-        group, label = cut(components(tried)), cut(components(links))
+        group, label = group or cut(components(tried)), cut(components(links))
         touched = group.join(failed, F.col("node") == F.col("h")).select(F.col("label").alias("_g")).distinct()
         of_label = F.coalesce(F.col("l"), F.col("node"))
         apart = (
@@ -206,6 +206,9 @@ def find_repeats(src: DataFrame, min_words: int, similarity: float, grams: bool
     return join_few(repeats, first, "g", "_g", repeats.count, row_bytes=64).where(F.struct("id", "rid", "line") != F.col("keep")).select("rid", "line")
 
 
+MANY_GONE = 64
+
+
 def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
     """The texts without the lines of those numbers; null where there are none."""
     out = []
@@ -231,7 +234,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = cut(find_repeats(src, min_words, similarity, grams).groupBy(F.col("rid").alias("_g")).agg(F.collect_set("line").alias("gone")))
     free_shuffles(docs.sparkSession)
     joined = plain.join(small(gone, 80, "shuffle_hash"), F.col("rid") == F.col("_g"), "left")
-    left = F.arrow_udf(_without, "string")(F.when(F.col("gone").isNotNull(), text), F.col("gone"))
+    # the search in a list of numbers is for short lists; long ones go through a set
+    many = F.size("gone") > MANY_GONE
+    some = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n")
+    left = F.when(many, F.arrow_udf(_without, "string")(F.when(many, text), F.when(many, F.col("gone")))).otherwise(some)
     count = F.when(text.isNull() | (text == ""), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
     done = joined.select(*[F.when(F.col("gone").isNull(), text).otherwise(left) if i == at_text else F.col(f"c{i}") for i in range(len(docs.columns))],
                          count.alias("_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("_removed"))

@@ -25,7 +25,7 @@ from . import packing as P
 from .line_grams import characters
 
 GRAM, LONG_WORD, BUCKETS = 6, 16, 14
-BLOCKS, SHARED, DISTANCE, TOTAL = 10, 3, 13, 17
+BLOCKS, SHARED, DISTANCE, TOTAL = 10, 3, 13, 15
 MANY = 256
 PIECE, PAIRS_AT_ONCE = 1 << 17, 1 << 20
 #: Lengths travel as a byte, in steps of 4 %.
@@ -347,16 +347,21 @@ def _places(s: np.ndarray, x: np.ndarray, t: np.ndarray, y: np.ndarray) -> np.nd
 def meet_across(steps: int, closest: int | None = None):
     """Near pairs of different labels that arrive by each route, some of them repeatedly: all, or each one's closest ones.
 
-    `whole` tells with each pair whether both of its lines have all of theirs there.
+    A pair counts for the line whose label has fewer lines here, or for both: few lines beside a large component don't
+    come up for each of its lines. `whole` tells with each pair whether the lines it counts for have all of theirs there.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, label, s, x in _arrived(batches):
             s, x, label, _ = _distinct(s, x, label)
+            _, of, n = np.unique(label, return_inverse=True, return_counts=True)
+            size = np.where(label == MANY_LABELS, 0, n[of])
             for a, b in _chunks(near(s, x, r, steps, label), len(s)):
                 whole = np.ones(len(a), bool)
                 if closest:
-                    one, other = np.concatenate([a, b]), np.concatenate([b, a])
+                    pair = np.concatenate([np.flatnonzero(size[a] <= size[b]), np.flatnonzero(size[b] <= size[a])])
+                    turn = np.arange(len(pair)) >= np.count_nonzero(size[a] <= size[b])
+                    one, other = np.where(turn, b[pair], a[pair]), np.where(turn, a[pair], b[pair])
                     d = np.bitwise_count(s[one] ^ s[other])
                     order = np.lexsort((K.mix(s[other]), d, one))
                     first = np.flatnonzero(np.concatenate([[True], one[order[1:]] != one[order[:-1]]]))
@@ -364,9 +369,9 @@ def meet_across(steps: int, closest: int | None = None):
                     rank = np.arange(len(order)) - np.repeat(first, count)
                     all_there = np.ones(len(s), bool)
                     all_there[one[order[first]]] = count <= closest
-                    keep = np.unique(order[rank < closest] % len(a))
+                    keep = np.unique(pair[order[rank < closest]])
                     a, b = a[keep], b[keep]
-                    whole = all_there[a] & all_there[b]
+                    whole = all_there[a] & all_there[b]  # one that nothing counts for lacks nothing
                 pairs = _batch(s, x, a, b)
                 yield pa.RecordBatch.from_arrays([*pairs.columns, pa.array(whole)], names=[*pairs.schema.names, "whole"])
 

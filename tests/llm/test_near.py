@@ -238,6 +238,33 @@ def test_near_values(monkeypatch, many, labelled):
         assert components(len(s), got) == components(len(s), want)
 
 
+@pytest.mark.parametrize("closest", [1, 3, None])
+def test_closest_across(closest):
+    """Every line of the smaller component has its closest partners there, and what is called whole is."""
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**63, 6, np.uint64)
+    s = np.unique(np.array([b ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 6).astype(np.uint64)) for b in base for _ in range(40)], np.uint64))
+    x = np.full(len(s), 40, np.int32)
+    label = rng.choice([7, 7, 7, 8, 9, S.MANY_LABELS], len(s)).astype(np.int64)
+    want = {p for p in candidates(s, x) if label[p[0]] != label[p[1]] or label[p[0]] == S.MANY_LABELS}
+    place = {(int(v), int(y)): i for i, (v, y) in enumerate(zip(s.view(np.int64), x))}
+    packed = pa.record_batch([pa.array(s.view(np.int64)), pa.array(x), pa.array(label)], names=["s", "x", "label"])
+    got, whole = {}, True
+    for b in S.meet_across(S.length_steps(0.9), closest)(S.scatter(1)(iter([packed]))):
+        for sa, xa, sb, xb, d, w in zip(*(c.to_pylist() for c in b.columns)):
+            got[place[sa, xa], place[sb, xb]] = d
+            whole &= w
+    assert set(got) <= want and whole == (set(got) == want)
+    if closest is None:
+        assert set(got) == want
+    size = {k: int((label == k).sum()) for k in set(label.tolist())} | {S.MANY_LABELS: 0}
+    for i in range(len(s)):
+        mine = [(int(s[a] ^ s[b]).bit_count(), p) for p in want for a, b in [p] if i in p and size[int(label[i])] <= size[int(label[p[0] + p[1] - i])]]
+        for d, p in mine:  # whatever is closer than the closest-th by far is there
+            if closest and sum(e <= d for e, _ in mine) <= closest:
+                assert p in got
+
+
 def test_three_blocks_meet_once():
     from itertools import combinations
 
@@ -274,6 +301,14 @@ def test_clashing_names(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(1, line, *range(8), 1, 0), (2, "", *range(8), 1, 1)]
 
 
+def test_many_lines_of_one_text_go(spark):
+    lines = [sentence(i, 6) for i in range(300)]
+    docs = ["\n".join(lines), "\n".join(["own", *lines[:200], "\u6f22 last", ""]), "\n".join([*lines[:3], "else"])]
+    got = {r.doc_id: r for r in L.dedup_lines(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
+    assert [got[i].text for i in range(3)] == [docs[0], "own\n\u6f22 last\n", "else"]
+    assert [(got[i]._lines, got[i]._removed) for i in range(3)] == [(300, 0), (203, 200), (4, 3)]
+
+
 def test_very_long_lines(spark):
     line = sentence(8, 30_000)
     docs = [line, edited(line, 17), sentence(9, 30_000), line + "\n" + "x" * 300_000]
