@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import ship
+from .shared import fresh, ship
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RESULT = ("host", "path", "rule", "verdict")
@@ -104,8 +104,8 @@ def with_trie(df: DataFrame, url: str, rules: list[Rule], default: str) -> DataF
 
     kept = [F.col(c) for c in df.columns if c not in RESULT]
     hp = df.select(*kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    judged = hp.withColumn("_judged", judge("host", "path"))
-    return judged.select("*", "_judged.rule", "_judged.verdict").drop("_judged")
+    hit = fresh(hp.columns, "_judged")
+    return hp.withColumn(hit, judge("host", "path")).select(*hp.columns, f"{hit}.rule", f"{hit}.verdict")
 
 
 def with_join(df: DataFrame, url: str, rules: DataFrame, default: str) -> DataFrame:

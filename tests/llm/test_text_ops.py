@@ -42,20 +42,65 @@ def brute_leaks(items, docs):
     return out
 
 
-@pytest.mark.parametrize("slice_items", [7, 1000])
-def test_leaks_against_brute_force(spark, slice_items):
+@pytest.mark.parametrize("slice_bytes", [5000, 1 << 20])
+def test_leaks_against_brute_force(spark, slice_bytes):
     items, docs = leaks()
     d = spark.createDataFrame([(i, t, i) for i, t in enumerate(docs)], "doc_id long, text string, item long").repartition(3)
     b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     want = brute_leaks(items, docs)
     assert len(want) >= 7
-    got = D.find_leaks(d, b, slice_items=slice_items).collect()
+    got = D.find_leaks(d, b, slice_bytes=slice_bytes).collect()
     assert {(r.id, r.item) for r in got} == want and len(got) == len(want)
-    kept = D.drop_leaks(d, b, slice_items=slice_items)
+    kept = D.drop_leaks(d, b, slice_bytes=slice_bytes)
     assert kept.columns == d.columns
     assert {r.doc_id for r in kept.collect()} == set(range(len(docs))) - {i for i, _ in want}
 
 
+def test_open_windows_are_those_that_a_full_sum_opens():
+    """The commonest terms are left out at first; no window that all terms' maxima would open may be lost by that."""
+    texts = [sentence(i % 30, 10 + i % 17) + " the of and" for i in range(400)]
+    index = D.Index(texts)
+    rng = np.random.default_rng(1)
+    rows = [np.sort(rng.choice(len(index.terms), rng.integers(1, 60), replace=False)) for _ in range(300)]
+    for x in texts[:100]:
+        w = D._words_of([x])[0]
+        rows.append(np.unique(np.searchsorted(index.terms, w)))
+    term, first = np.concatenate(rows), np.cumsum([0, *map(len, rows)])[:-1]
+    dense = np.zeros((len(index.terms), index.blocks))
+    for t in range(len(index.terms)):
+        at = slice(index.block_start[t], index.block_start[t + 1])
+        dense[t, index.block[at]] = index.block_max[at]
+    for threshold in (0.2, 0.6, 0.95):
+        for cells in (1 << 21, 500):
+            D.CELLS, old = cells, D.CELLS
+            got = sorted(index._open_windows(term, first, threshold))
+            D.CELLS = old
+            want = [(int(a), int(a) + len(r)) for a, r in zip(first, rows) if (dense[r].sum(axis=0) >= threshold * (1 - 1e-4)).any()]
+            assert got == want and (threshold == 0.95 or len(want) > 50)
+
+
+def test_scores_do_not_hang_on_slices(spark):
+    items, docs = leaks()
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").coalesce(1)
+    a, c = (sorted((r.id, r.item, round(r.score, 9)) for r in D.find_leaks(d, b, slice_bytes=n).collect()) for n in (3000, 1 << 20))
+    assert a == c
+
+
+def test_many_items():
+    """An index of 20,000 items stays small, and looks at a long text in bounded memory."""
+    rng = np.random.default_rng(2)
+    vocabulary = [f"w{i}" for i in range(30_000)]
+    p = 1 / np.arange(1, 30_001)
+    words = rng.choice(vocabulary, (20_000, 40), p=p / p.sum())
+    items = [" ".join(w) for w in words]
+    index = D.Index(items)
+    assert index.bytes < 64 << 20
+    text = " ".join(rng.choice(vocabulary, 20_000, p=p / p.sum())) + " " + items[777] + " " + " ".join(rng.choice(vocabulary, 5000, p=p / p.sum()))
+    found = [(r, h.item) for c in D.K.chunks(D.pa.array(["", text])) for r, h in index.find(D.K.words(c, D.K.WORD_CHAR), 64, 0.6, 0.8, 0.5)]
+    assert found == [(1, 777)]
+
+
 def test_leaks_odd_tables(spark):
     items, docs = leaks()
     d, b = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
@@ -73,8 +118,8 @@ def test_wand_finds_what_full_scoring_finds():
         terms = np.sort(rng.choice(len(index.terms), rng.integers(1, len(index.terms)), replace=False))
         score = np.zeros(50)
         for t in terms:
-            items, impact = index.postings[t]
-            score[items] += impact
+            at = slice(index.start[t], index.start[t + 1])
+            score[index.item[at]] += index.impact[at]
         for threshold in (0.1, 0.5, 0.9):
             got = dict(index.wand(terms, threshold))
             assert set(got) == set(np.flatnonzero(score >= threshold * (1 - 1e-6)))
@@ -187,3 +232,9 @@ def test_mixing(spark):
     again = mixing.mix(df.repartition(5), rows_per_range=1000, keep=("doc_id", "source")).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
     assert mixing.mix(df.limit(0)).collect() == []
+
+
+def test_urls_keep_other_columns(spark):
+    df = spark.createDataFrame([(1, "http://a.com/en/" + "x" * 200_000, 7, 8), (1, None, 9, None)], "page_id long, url string, _judged int, verdict int")
+    got = url_filter.filter_urls(df, "url", [Rule("com", "/en/", "block")]).orderBy("_judged").collect()
+    assert [(r.page_id, r._judged, r.rule, r.verdict) for r in got] == [(1, 7, "com/en/", "block"), (1, 9, None, "allow")] and len(got[0].path) == 200_004
