@@ -263,26 +263,32 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     )
 
 
+def _spread(labelled: DataFrame, *more: str) -> DataFrame:
+    """A row for each prefix shingle h of a class, with the class's entry y and the columns `more`."""
+    return labelled.select(*more, "cls", "n", "u", "sig", F.posexplode("pre").alias("_i", "h")).select(
+        "h", *more, F.struct("u", "cls", "n", (F.col("u") + F.col("_i")).alias("pos"), "sig").alias("y"))
+
+
 def link(sets: DataFrame, num: int, den: int) -> DataFrame:
     """Verified pairs of classes whose components are those of all links; see the module's text."""
     need = F.floor((F.col("n").cast("long") * num + den - 1) / den).cast("int")
     prefix = F.col("n") - need + 1 - F.col("u")
-    rows = cut(
-        sets.where(prefix > 0)
-        .select("cls", "n", "u", "sig", F.posexplode(F.slice("sh", F.lit(1), prefix)).alias("_i", "h"))
-        .select("h", F.struct("u", "cls", "n", (F.col("u") + F.col("_i")).alias("pos"), "sig").alias("y"))
-    )
+    classes = sets.where(prefix > 0).select("cls", "n", "u", "sig", F.slice("sh", F.lit(1), prefix).alias("pre"))
+    rows = cut(_spread(classes))
     centre = rows.groupBy("h").agg(F.min("y").alias("x"), F.count("*").alias("_c")).where("_c > 1").drop("_c")
     tried = cut(_pairs(rows.join(centre, "h").where(F.col("x.cls") != F.col("y.cls")), num, den))
     star = cut(verify(tried, sets, num, den))
-    labels = components(star)
-    now = cut(rows.join(labels, F.col("y.cls") == F.col("node"), "left").select("h", "y", F.coalesce("label", F.col("y.cls")).alias("label")))
+    # a class gets its label before its shingles are spread, so that a long one's don't all meet it in one task
+    labelled = classes.join(components(star).hint("merge"), F.col("cls") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cls"))
+    now = cut(_spread(labelled, "label"))
     mixed = (
         now.groupBy("h").agg(F.min_by("label", "y").alias("main"), F.min("label").alias("_a"), F.max("label").alias("_b"))
         .where("_a != _b").select("h", "main")
     )
-    prefixes = sets.where(prefix > 0).select(F.col("cls").alias("_c"), F.slice("sh", F.lit(1), prefix).alias("pre"))
-    open_rows = cut(now.join(mixed, "h").join(prefixes, F.col("y.cls") == F.col("_c")).drop("_c"))
+    met = cut(now.join(mixed, "h"))
+    # the prefixes of the classes that are still open, for each of their rows, of which a class may have many
+    prefixes = classes.join(met.select(F.col("y.cls").alias("_c")).distinct(), F.col("cls") == F.col("_c")).select("_c", "pre", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
+    open_rows = cut(met.join(prefixes, (F.col("y.cls") == F.col("_c")) & (F.pmod(F.col("y.pos"), F.lit(SALTS)) == F.col("_s"))).drop("_c", "_s"))
     aside = open_rows.where("label != main").select("h", F.col("y").alias("x"), F.col("label").alias("xl"), F.col("pre").alias("xpre"))
     # of the prefix shingles that a pair shares, only the first brings it up
     across = open_rows.join(aside, "h").where(
