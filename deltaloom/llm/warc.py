@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .files import created, opened
-from .shared import cut, run_dir, ship
+from .shared import cut, run_dir, ship, small
 
 CHUNK = 1 << 20
 GZIP = 31
@@ -55,7 +55,7 @@ def plan_revisits(pages: DataFrame, revisit_from: int) -> DataFrame:
     p = pages.withColumn("digest", F.sha1("payload"))
     big = p.where(F.octet_length("payload") >= revisit_from)
     groups = cut(big.groupBy("digest").agg(F.max("id").alias("_last"), F.count("*").alias("_n")).where("_n > 1").select(F.col("digest").alias("_d"), "_last"))
-    joined = p.join(groups, F.col("digest") == F.col("_d"), "left")
+    joined = p.join(small(groups, 80), F.col("digest") == F.col("_d"), "left")  # pages are shuffled only against very many repeats
     return joined.select("id", "url", "payload", "digest", F.when(~F.col("id").eqNullSafe(F.col("_last")), F.col("_last")).alias("refers_to"))
 
 
