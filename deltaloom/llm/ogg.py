@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,40 +196,66 @@ def read_back(media: bytes) -> tuple[bytes, str]:
     return samples, feature
 
 
-def store(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs without the text, with n_bytes and the media column."""
-    others = [c for c in docs.columns if c not in (text_col, "n_bytes", "media")]
-    ship(docs.sparkSession)
+def _pieces(column: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int, int]]:
+    """Runs of rows of bounded bytes, or single ones."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    upto, a = np.cumsum(size, dtype=np.int64), 0
+    while a < len(size):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + most, "right")))
+        yield a, b
+        a = b
+
+
+def _mapped(df: DataFrame, column: str, drop: tuple[str, ...], kinds: list[tuple[str, pa.DataType, str]], make) -> DataFrame:
+    """The other columns, then what make(value) gives, a value for each of `kinds` (name, type, type's text); one Arrow pass."""
+    ship(df.sparkSession)
+    others = [c for c in df.columns if c not in (column, *drop)]
+    plain = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)], F.col(column).alias("v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in _pieces(batch.column(batch.num_columns - 1)):
+                part = batch.slice(a, b - a)
+                rows = [make(x.as_py()) for x in part.column(part.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *[pa.array([r[i] for r in rows], k) for i, (_, k, _) in enumerate(kinds)]],
+                                                 names=[*[f"c{i}" for i in range(len(others))], *[f"r{i}" for i in range(len(kinds))]])
+
+    fields = [f"c{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(others)] + [f"r{i} {t}" for i, (_, _, t) in enumerate(kinds)]
+    return plain.mapInArrow(run, ", ".join(fields)).toDF(*others, *[n for n, _, _ in kinds])
+
+
+_STORED = [("n_bytes", pa.int64(), "long"), ("media", pa.binary(), "binary")]
+_FEATURES = [("payload_bytes", pa.int64(), "long"), ("payload_sha256", pa.string(), "string"), ("tail_crc32", pa.int64(), "long"), ("media_bytes", pa.int64(), "long"),
+             ("media_sha256", pa.string(), "string"), ("feature", pa.string(), "string")]
+
 
-    @F.udf("struct<n_bytes:bigint,media:binary>")
-    def made(text):
-        n, payload = payload_of(text)
-        return n, mux(payload)
+def _stored(text: str | None) -> tuple[int, bytes]:
+    n, payload = payload_of(text)
+    return n, mux(payload)
 
-    return docs.withColumn("_m", made(F.col(text_col))).select(*others, "_m.n_bytes", "_m.media")
+
+def _described(media: bytes | None) -> tuple:
+    if media is None:
+        return (None,) * len(_FEATURES)
+    samples, feature = read_back(media)
+    return len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature
+
+
+def _there_and_back(text: str | None) -> tuple:
+    n, media = _stored(text)
+    return n, *_described(media)
+
+
+def store(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs without the text, with n_bytes and the media column, in place of columns of these names."""
+    return _mapped(docs, text_col, tuple(n for n, _, _ in _STORED), _STORED, _stored)
 
 
 def media_features(media: DataFrame, media_col: str = "media") -> DataFrame:
-    """The rows without the media column, with what reading it back gives."""
-    ship(media.sparkSession)
-    others = [c for c in media.columns if c != media_col]
-    plain = media.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)], F.col(media_col).alias("m"))
-    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    """The rows without the media column, with what reading it back gives, in place of columns of these names."""
+    return _mapped(media, media_col, tuple(n for n, _, _ in _FEATURES), _FEATURES, _described)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for x in batch.column(batch.num_columns - 1):
-                m = x.as_py()
-                if m is None:
-                    rows.append((None,) * 6)
-                    continue
-                samples, feature = read_back(m)
-                rows.append((len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-16:]), len(m), hashlib.sha256(m).hexdigest(), feature))
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]],
-                                             names=[*[f"c{i}" for i in range(batch.num_columns - 1)], *names])
-
-    fields = [f"c{i} {media.schema[c].dataType.simpleString()}" for i, c in enumerate(others)]
-    done = plain.mapInArrow(run, ", ".join([*fields, "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"]))
-    return done.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others) if c not in names], *names)
+
+def round_trip(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """As media_features of store, without a media table between them: the bytes of each row are stored and read where it is."""
+    return _mapped(docs, text_col, ("n_bytes", *[n for n, _, _ in _FEATURES]), [_STORED[0], *_FEATURES], _there_and_back)

@@ -73,6 +73,19 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.result.withColumnRenamed("id", "doc_id")
 
 
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM r WHERE r.a = doc_id), doc_id)) AS component_id FROM d LEFT JOIN n USING (doc_id)
+"""
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", F.col("_lines").cast("long").alias("n_lines"), F.col("_removed").cast("long").alias("n_removed"),
@@ -93,8 +106,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    media = ogg.store(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return ogg.media_features(media)
+    return ogg.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,4 +168,4 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
 }
-SQL = {"op3_warc": OP3_SQL, "op4_url_filter": OP4_SQL, "op5_mixing": OP5_SQL, "op8_chat": OP8_SQL}
+SQL = {"op7_ngram_join": OP7_SQL, "op3_warc": OP3_SQL, "op4_url_filter": OP4_SQL, "op5_mixing": OP5_SQL, "op8_chat": OP8_SQL}
