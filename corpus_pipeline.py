@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deltaloom.llm import decontaminate, line_dedup, mixing, ngram_join, toxicity
-from deltaloom.llm.shared import fresh, run_dir, table
+from deltaloom.llm.shared import fresh, run_dir, table, words_of
 
 TOXIC = 0.7
+LEAST_LEFT = 0.1
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +22,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat go, but one of each group; so does a document of which no words are left."""
-    done, removed = line_dedup.dedup_lines(docs), fresh(docs.columns, "_removed")
-    kept = done.where((F.col(removed) == 0) | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
+    """Lines that repeat go, but one of each group; so does a document of which less than LEAST_LEFT of its words is left.
+
+    Such a rest is no document any more, but scraps of a copy, which the next stage could no longer tell by its likeness.
+    """
+    words = fresh(docs.columns, "_words")
+    done, removed = line_dedup.dedup_lines(docs.withColumn(words, words_of(F.col("text")))), fresh([*docs.columns, words], "_removed")
+    some = F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]") & (words_of(F.col("text")) >= LEAST_LEFT * F.col(words))
+    kept = done.where((F.col(removed) == 0) | some)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         kept = kept.withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))

@@ -6,7 +6,7 @@ import pytest
 import corpus_pipeline
 from deltaloom.llm import queries
 
-from .fixtures import near_pairs
+from .fixtures import WORD, components, near_pairs
 from .test_near import brute_lines
 from .test_text_ops import brute_leaks
 
@@ -35,17 +35,16 @@ def test_stages(spark, sf_dir):
     gone, _ = brute_lines([texts[i] for i in ids])
     for k, i in enumerate(ids):
         left = "\n".join(x for n, x in enumerate((texts[i] or "").split("\n")) if n not in gone.get(k, ()))
+        scraps = not any(c.isalnum() for c in left) or len(WORD.findall(left)) < corpus_pipeline.LEAST_LEFT * len(WORD.findall(texts[i] or ""))
         if i in after:
-            assert after[i].text == left and (not gone.get(k) or after[i].n_chars == len(left))
+            assert after[i].text == left and (not gone.get(k) or (after[i].n_chars == len(left) and not scraps))
         else:
-            assert gone[k] and not any(c.isalnum() for c in left)
+            assert gone[k] and scraps
 
     near = steps["ngram_join"](spark, docs, sf_dir)
     _, links = near_pairs([texts[i] for i in ids])
     kept = {r.doc_id for r in near.collect()}
     assert near.columns == columns
-    from .fixtures import components
-
     assert kept == {ids[x] for x in set(components(len(ids), links))}
 
     clean = steps["decontaminate"](spark, docs, sf_dir)
@@ -56,6 +55,20 @@ def test_stages(spark, sf_dir):
     assert calm.columns == columns and calm.count() > 0.8 * len(ids)
 
 
+def test_no_copy_survives_as_scraps(spark, sf_dir):
+    """Line dedup, then the join: of the documents that were near copies at first none is left with less than a tenth of its words."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    ids = sorted(texts)
+    top = components(len(ids), near_pairs([texts[i] for i in ids])[1])
+    copies = {ids[i] for i in range(len(ids)) if top[i] != i}
+    assert len(copies) > 5
+    steps = dict(corpus_pipeline.STAGES)
+    left = {r.doc_id: r.text for r in steps["ngram_join"](spark, steps["line_dedup"](spark, docs, sf_dir), sf_dir).collect()}
+    assert not [i for i in copies & set(left) if len(WORD.findall(left[i])) < 0.1 * len(WORD.findall(texts[i]))]
+    assert len(copies & set(left)) < 0.3 * len(copies)
+
+
 def test_run(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir).collect()
     assert out and len({r.doc_id for r in out}) == len(out)
