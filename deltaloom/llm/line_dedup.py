@@ -42,7 +42,7 @@ from .shared import cut, free_shuffles, fresh, join_few, partitions, ship, small
 VALUES_PER_PART, VALUES_A_ROUND = 4_000_000, 500_000
 EDGES_PER_TASK = 2_000_000
 #: Of each line's near ones in other components so many closest are tried, then more of those still apart, then all.
-CLOSEST = (2, 16, None)
+CLOSEST = (16, None)
 CHUNK = 1 << 19
 
 
@@ -126,6 +126,8 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
     texts = _texts(src, members)
     free_shuffles(spark)
     checked, group = _verify(texts, tried, similarity), None
+    ends_ab = ["sa", "xa", "sb", "xb"]
+    seen = forest.select(*ends_ab)
     for closest in CLOSEST:
         # only where a pair of the forest failed can another pair be needed: there, across different components, each
         # line's closest others, then all
@@ -148,12 +150,14 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
         by_sim = inside.groupBy("s", "x").agg(F.when(F.min("label") == F.max("label"), F.min("label")).otherwise(F.lit(S.MANY_LABELS)).alias("label"))
         some = max(1, -(-inside.count() * len(S.ROUTES) // VALUES_A_ROUND))
         near_pairs = by_sim.select("s", "x", "label").mapInArrow(S.scatter(some), P.SCHEMA).repartitionById(some, F.col("part")).mapInArrow(S.meet_across(steps, closest), f"{S.PAIRS}, whole boolean")
-        near_pairs = cut(near_pairs.groupBy("sa", "xa", "sb", "xb").agg(F.bool_and("whole").alias("whole")))
+        near_pairs = cut(near_pairs.groupBy(*ends_ab).agg(F.bool_and("whole").alias("whole")))
         same = by_sim.where(F.col("label") == S.MANY_LABELS).select(F.col("s").alias("sa"), F.col("x").alias("xa"), F.col("s").alias("sb"), F.col("x").alias("xb"))
         a, b = (inside.select(F.col("s").alias(f"s{c}"), F.col("x").alias(f"x{c}"), F.col("h").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
-        more = near_pairs.drop("whole").unionByName(same).join(a, ["sa", "xa"]).join(b, ["sb", "xb"]).where("la != lb").select("a", "b")
+        new = cut(near_pairs.select(*ends_ab).join(seen, ends_ab, "left_anti"))
+        more = new.unionByName(same).join(a, ["sa", "xa"]).join(b, ["sb", "xb"]).where("la != lb").select("a", "b")
         more = cut(_ordered(more).join(checked, ["a", "b"], "left_anti"))
         checked = cut(checked.unionByName(_verify(texts, more, similarity)))
+        seen = seen.unionByName(new)
         free_shuffles(spark)
         if near_pairs.where("NOT whole").isEmpty():  # those were all
             break

@@ -24,20 +24,19 @@ KEY_BYTES = 5
 #: Lengths travel as a byte, in steps of 5 %; see `steps`.
 STEP = np.log(1.05)
 PIECE = 1 << 16
-NOT_NEWLINE = K.byte_table(lambda b: b != 10)
 _FACTORS = (K.mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _BYTES = (K.mix(np.arange(257, 513, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
 def normal_lines(c: K.Chunk) -> tuple[np.ndarray, ...]:
     """row, line number and words of each line that has words; the normal forms' bytes back to back, with starts and ends."""
-    start, end = K.spans(c.data, c.offsets, NOT_NEWLINE)
+    newlines = np.flatnonzero(c.data == 10)
+    start, end = np.sort(np.concatenate([c.offsets[:-1], newlines + 1])), np.sort(np.concatenate([newlines, c.offsets[1:]]))
     ws, we = K.spans(c.data, c.offsets, K.WORD_CHAR)
     at, to = np.searchsorted(ws, start), np.searchsorted(ws, end)
     on = to > at
     start, at, to = start[on], at[on], to[on]
     row = np.searchsorted(c.offsets, start, "right") - 1
-    newlines = np.flatnonzero(c.data == 10)
     number = np.searchsorted(newlines, start) - np.searchsorted(newlines, c.offsets[row])
     keep, text = K.WORD_CHAR[c.data], K.LOWER_DIGITLESS[c.data]
     later = np.ones(len(ws), bool)

@@ -25,7 +25,7 @@ from . import packing as P
 from .line_grams import characters
 
 GRAM, LONG_WORD, BUCKETS = 6, 16, 14
-BLOCKS, SHARED, DISTANCE, TOTAL = 10, 3, 13, 15
+BLOCKS, SHARED, DISTANCE, TOTAL = 10, 3, 13, 14
 MANY = 256
 PIECE, PAIRS_AT_ONCE = 1 << 17, 1 << 20
 #: Lengths travel as a byte, in steps of 4 %.
