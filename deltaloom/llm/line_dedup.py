@@ -119,15 +119,16 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
     ends = F.explode(F.array(*[F.struct(F.col(f"s{c}").alias("s"), F.col(f"x{c}").alias("x")) for c in "ab"])).alias("e")
     ids = cut(forest.select(ends).select("e.*").distinct())
     members = cut(hashed.join(small(ids), ["s", "x"]).select("h", "s", "x", "rid"))
-    reps = cut(members.groupBy("s", "x").agg(F.min("h").alias("rep")))
-    left, right = (reps.select(F.col("s").alias(f"s{c}"), F.col("x").alias(f"x{c}"), F.col("rep").alias(c)) for c in "ab")
+    reps = cut(members.groupBy("s", "x").agg(F.min("h").alias("rep"), F.count("*").alias("n")))
+    left, right = (reps.select(F.col("s").alias(f"s{c}"), F.col("x").alias(f"x{c}"), F.col("rep").alias(c), F.col("n").alias(f"n{c}")) for c in "ab")
     several = members.join(reps, ["s", "x"]).where("h != rep").select(F.col("rep").alias("a"), F.col("h").alias("b"))
-    tried = cut(_ordered(forest.where("sa != sb OR xa != xb").join(left, ["sa", "xa"]).join(right, ["sb", "xb"]).select("a", "b").unionByName(several)))
+    edges = cut(forest.where("sa != sb OR xa != xb").join(left, ["sa", "xa"]).join(right, ["sb", "xb"]))
+    tried = cut(_ordered(edges.select("a", "b").unionByName(several)))
     texts = _texts(src, members)
     free_shuffles(spark)
     checked, group = _verify(texts, tried, similarity), None
     ends_ab = ["sa", "xa", "sb", "xb"]
-    seen = forest.select(*ends_ab)
+    seen = edges.where("na = 1 AND nb = 1").select(*ends_ab)  # of lines with equal SimHashes only one has been tried
     for closest in CLOSEST:
         # only where a pair of the forest failed can another pair be needed: there, across different components, each
         # line's closest others, then all
