@@ -27,13 +27,6 @@ def op_code(op: Column) -> Column:
     return out.otherwise(F.raise_error(F.concat(F.lit("not a change: operation "), op.cast("string"))))
 
 
-def any_image(df: DataFrame) -> Column:
-    """The record that key and headers come from: after image, else before image, else the change."""
-    fields = [f.name for f in df.schema["chg"].dataType.fields]
-    parts = [F.when(F.col(s).isNotNull(), F.struct(*[F.col(f"{s}.{f}").alias(f) for f in fields])) for s in ("post", "pre", "chg")]
-    return F.coalesce(*parts)
-
-
 class Shaper:
     """Column expressions for one table and one set of options."""
 
