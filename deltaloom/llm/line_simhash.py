@@ -49,6 +49,27 @@ THIRDS = [[k for k in range(BLOCKS) if k not in (i, j) and (k > j or (k < _HALF)
 assert max(map(len, THIRDS)) <= 1 << 24 - 3 * _WIDEST  # a third's number, three blocks and a length fit in 32 bits
 
 
+def _first_routes() -> np.ndarray:
+    """For each set of blocks in which a pair agrees, as bits, the first route by which it meets; -1 if by none."""
+    out = np.full(1 << BLOCKS, -1, np.int8)
+    for bits in range(1 << BLOCKS):
+        for r, (i, j) in enumerate(ROUTES):
+            if bits >> i & 1 and bits >> j & 1 and any(bits >> k & 1 for k in THIRDS[r]):
+                out[bits] = r
+                break
+    return out
+
+
+_FIRST = _first_routes()
+
+
+def first_route(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    z, bits = s ^ t, np.zeros(len(s), np.int64)
+    for k, mask in enumerate(MASKS):
+        bits |= ((z & mask) == 0).astype(np.int64) << k
+    return _FIRST[bits]
+
+
 def _lanes() -> np.ndarray:
     """For each bucket 88 bits of 0 or 1, a byte each, in 11 machine words: sums of up to 255 need no carry."""
     n = 1 << BUCKETS
@@ -345,7 +366,7 @@ def _places(s: np.ndarray, x: np.ndarray, t: np.ndarray, y: np.ndarray) -> np.nd
 
 
 def meet_across(steps: int, closest: int | None = None):
-    """Near pairs of different labels that arrive by each route, some of them repeatedly: all, or each one's closest ones.
+    """Near pairs of different labels, each by the first of its routes: all, or for each route each one's closest ones.
 
     A pair counts for the line whose label has fewer lines here, or for both: few lines beside a large component don't
     come up for each of its lines. `whole` tells with each pair whether the lines it counts for have all of theirs there.
@@ -357,8 +378,10 @@ def meet_across(steps: int, closest: int | None = None):
             _, of, n = np.unique(label, return_inverse=True, return_counts=True)
             size = np.where(label == MANY_LABELS, 0, n[of])
             for a, b in _chunks(near(s, x, r, steps, label), len(s)):
+                here = first_route(s[a], s[b]) == r
+                a, b = a[here], b[here]
                 whole = np.ones(len(a), bool)
-                if closest:
+                if closest and len(a):
                     pair = np.concatenate([np.flatnonzero(size[a] <= size[b]), np.flatnonzero(size[b] <= size[a])])
                     turn = np.arange(len(pair)) >= np.count_nonzero(size[a] <= size[b])
                     one, other = np.where(turn, b[pair], a[pair]), np.where(turn, a[pair], b[pair])
