@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from . import kernels as K
 
@@ -22,6 +23,7 @@ GRAM = 6
 #: Pairs of higher limits are held against the bound first; below, the distance itself costs less.
 BOUND_FROM = 100
 CELLS = 1 << 19
+PIECE = 1 << 20
 _B = 0x9E3779B97F4A7C15
 _FAR = np.int32(-(1 << 30))
 #: Jumps over equal characters, by hashes of so many.
@@ -139,7 +141,19 @@ def _batch(a: np.ndarray, b: np.ndarray, ha: dict, hb: dict, sa: np.ndarray, n:
 
 
 def distances(ta: pa.Array, tb: pa.Array, similarity: float) -> np.ndarray:
-    """Edit distance of each pair whose similarity 1 - distance / longer length is at least `similarity`, else -1."""
+    """Edit distance of each pair whose similarity 1 - distance / longer length is at least `similarity`, else -1.
+
+    Pairs are taken PIECE bytes of text at a time, or one, so memory follows that or the longest pair.
+    """
+    out = [np.empty(0, np.int64)]
+    size = (pc.binary_length(ta).to_numpy(zero_copy_only=False) + pc.binary_length(tb).to_numpy(zero_copy_only=False)).astype(np.int64)
+    for rows in _pieces(np.arange(len(ta)), size, PIECE):
+        a, n = int(rows[0]), len(rows)
+        out.append(_distances(ta.slice(a, n), tb.slice(a, n), similarity))
+    return np.concatenate(out)
+
+
+def _distances(ta: pa.Array, tb: pa.Array, similarity: float) -> np.ndarray:
     (ca, ba), (cb, bb) = code_points(ta), code_points(tb)
     n, m = np.diff(ba), np.diff(bb)
     limit = np.floor(np.maximum(n, m) * (1 - similarity) + 1e-9).astype(np.int64)

@@ -42,7 +42,7 @@ from .shared import cut, free_shuffles, fresh, join_few, partitions, ship, small
 VALUES_PER_PART, VALUES_A_ROUND = 4_000_000, 500_000
 EDGES_PER_TASK = 2_000_000
 #: Of each line's near ones in other components so many closest are tried, then more of those still apart, then all.
-CLOSEST = (16, None)
+CLOSEST = (4, None)
 CHUNK = 1 << 19
 
 
