@@ -4,7 +4,8 @@ Features of a line are the distinct words of its normal form, by their first 8 b
 bytes, as scripts without spaces have them, the runs of GRAM bytes too. 64 bits of the SimHash are cut into BLOCKS; two lines meet if
 they agree in SHARED of them, which those of at most BLOCKS - SHARED differing bits always do, and are candidates if then
 at most DISTANCE of the 64 bits differ. 24 further bits and the length are a second look, which keeps what agrees by chance from
-being compared: at most TOTAL of all 88 bits may differ, and lengths that rule the similarity out never pass.
+being compared: at most TOTAL of all 88 bits may differ, TOTAL_SHORT in short lines, and lengths that rule the similarity
+out never pass.
 
 Of any three blocks two are in the same half of them, so a SimHash is sent to one partition for each pair of blocks of
 a half only, and all third blocks are looked through where it arrives, in order of length, so that lengths too far apart are
@@ -26,6 +27,8 @@ from .line_grams import characters
 
 GRAM, LONG_WORD, BUCKETS = 6, 16, 14
 BLOCKS, SHARED, DISTANCE, TOTAL = 10, 3, 13, 14
+#: Lines of up to so many characters have few words, of which each moves more bits.
+SHORT, TOTAL_SHORT = 200, 17
 MANY = 256
 PIECE, PAIRS_AT_ONCE = 1 << 17, 1 << 20
 #: Lengths travel as a byte, in steps of 4 %.
@@ -141,8 +144,9 @@ def length_steps(similarity: float) -> int:
 
 def close(s: np.ndarray, t: np.ndarray, x: np.ndarray, y: np.ndarray, steps: int) -> np.ndarray:
     """Whether SimHashes s, t with further bits and lengths x, y are near."""
-    d, z = np.bitwise_count(s ^ t), x ^ y
-    return (d <= DISTANCE) & (d + np.bitwise_count(z.view(np.uint32) >> np.uint32(8)) <= TOTAL) & (np.abs((x & 255) - (y & 255)) <= steps)
+    d, z, m, n = np.bitwise_count(s ^ t), x ^ y, x & 255, y & 255
+    most = np.where(np.minimum(m, n) <= int(np.log(SHORT) / STEP), np.uint8(TOTAL_SHORT), np.uint8(TOTAL))
+    return (d <= DISTANCE) & (d + np.bitwise_count(z.view(np.uint32) >> np.uint32(8)) <= most) & (np.abs(m - n) <= steps)
 
 
 def _part(s: np.ndarray, route: int, parts: int) -> np.ndarray:
