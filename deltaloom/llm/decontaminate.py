@@ -318,7 +318,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                             pa.array([h.answer for h in x]), pa.array([h.at for h in x], pa.int32())],
                             names=["id", "item", "score", "overlap", "question", "answer", "first_word"])
 
-        parts.append(src.mapInArrow(run, schema))
+        parts.append(src.mapInArrow(K.released(run), schema))
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
@@ -340,5 +340,5 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_t
                         keep[c.first + r] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(K.released(run), docs.schema)
     return docs

@@ -10,6 +10,8 @@ They are pure functions of the bytes, alike on every machine.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,6 +22,23 @@ PIECE = 1 << 20
 _M64 = (1 << 64) - 1
 
 
+def released(run):
+    """The function of a task's batches; when they end, what the process holds of free memory goes back to the system.
+
+    Workers are used again and again, and a machine's limit counts all that they hold.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):  # where the C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread all input bits over all output bits (an invertible 64-bit finaliser)."""
     x = x.astype(np.uint64, copy=True)

@@ -98,13 +98,13 @@ def _texts(src: DataFrame, keys: DataFrame) -> DataFrame:
     """h, t: the normal forms of the lines with the given keys; keys: h and the rid of a row that has it."""
     wanted = cut(keys.groupBy(F.col("rid").alias("_r")).agg(F.collect_set("h").alias("_h")))
     # repeated rows share a rid: any of them gives the line
-    return cut(src.select("rid", "text").join(small(wanted, 80, "shuffle_hash"), F.col("rid") == F.col("_r")).select("text", "_h").mapInArrow(_wanted_lines, "h long, t string").dropDuplicates(["h"]))
+    return cut(src.select("rid", "text").join(small(wanted, 80, "shuffle_hash"), F.col("rid") == F.col("_r")).select("text", "_h").mapInArrow(K.released(_wanted_lines), "h long, t string").dropDuplicates(["h"]))
 
 
 def _verify(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """a, b, near: whether the normal forms of two keys are similar enough."""
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("h").alias("b"), F.col("t").alias("tb")), "b")
-    return cut(both.select("a", "b", "ta", "tb").mapInArrow(_check(similarity), "a long, b long, near boolean"))
+    return cut(both.select("a", "b", "ta", "tb").mapInArrow(K.released(_check(similarity)), "a long, b long, near boolean"))
 
 
 def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -113,9 +113,9 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
     steps = S.length_steps(similarity)
     hashed = nodes.where("s IS NOT NULL")
     parts = partitions(spark, -(-hashed.count() * len(S.ROUTES) // VALUES_PER_PART))
-    met = cut(hashed.select("s", "x").mapInArrow(S.scatter(parts), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(S.meet(steps), S.PAIRS))
+    met = cut(hashed.select("s", "x").mapInArrow(K.released(S.scatter(parts)), P.SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(K.released(S.meet(steps)), S.PAIRS))
     free_shuffles(spark)
-    forest = cut(met.repartition(max(1, -(-met.count() // EDGES_PER_TASK)), "sa").mapInArrow(S.spanning, S.PAIRS))
+    forest = cut(met.repartition(max(1, -(-met.count() // EDGES_PER_TASK)), "sa").mapInArrow(K.released(S.spanning), S.PAIRS))
     ends = F.explode(F.array(*[F.struct(F.col(f"s{c}").alias("s"), F.col(f"x{c}").alias("x")) for c in "ab"])).alias("e")
     ids = cut(forest.select(ends).select("e.*").distinct())
     members = cut(hashed.join(small(ids), ["s", "x"]).select("h", "s", "x", "rid"))
@@ -197,7 +197,7 @@ def find_repeats(src: DataFrame, min_words: int, similarity: float, grams: bool
     """src: id, rid, text. rid and line of the lines that go: all of their group but the first."""
     ship(src.sparkSession)
     id_type = src.schema["id"].dataType.simpleString()
-    lines = cut(src.select("id", "rid", "text").mapInArrow(_lines(min_words, not grams), f"id {id_type}, rid long, line int, h long, s long, x int"))
+    lines = cut(src.select("id", "rid", "text").mapInArrow(K.released(_lines(min_words, not grams)), f"id {id_type}, rid long, line int, h long, s long, x int"))
     nodes = cut(lines.groupBy("h", "s", "x").agg(F.min("rid").alias("rid"), F.count("*").alias("c")))  # fixed widths: aggregated by hash
     links = _gram_links(src, nodes, min_words, similarity) if grams else _simhash_links(src, nodes, similarity)
     labels = cut(components(links)).select(F.col("node").alias("_n"), "label")

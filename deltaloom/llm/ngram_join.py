@@ -307,7 +307,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    first = cut(src.mapInArrow(_members(k, hot), f"id {id_type}, n long, cls long, value binary, times binary"))
+    first = cut(src.mapInArrow(K.released(_members(k, hot)), f"id {id_type}, n long, cls long, value binary, times binary"))
     members = first.where("value is null").select("id", "n", "cls")
     count, total = members.where("n > 0").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     found = (
@@ -321,9 +321,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     held = spark.sparkContext.broadcast((known[order], times[order]))
     parts = partitions(spark, -(-int(total) // VALUES_PER_PART))
     sets = cut(
-        src.select("text").mapInArrow(_scatter(k, parts, held), P.SCHEMA).repartitionById(parts, F.col("part"))
-        .mapInArrow(_shared(parts), P.SCHEMA).repartitionById(parts, F.col("part"))
-        .mapInArrow(_ordered(num, den), SET_SCHEMA)
+        src.select("text").mapInArrow(K.released(_scatter(k, parts, held)), P.SCHEMA).repartitionById(parts, F.col("part"))
+        .mapInArrow(K.released(_shared(parts)), P.SCHEMA).repartitionById(parts, F.col("part"))
+        .mapInArrow(K.released(_ordered(num, den)), SET_SCHEMA)
     )
     links = link(sets, num, den)
     labels = components(links)

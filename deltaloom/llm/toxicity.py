@@ -239,7 +239,7 @@ def _scanned(src: DataFrame, known: tuple[np.ndarray, ...], weights: list[list[n
                         yield pa.record_batch([pa.array(np.full(len(n), g, np.int32)), pa.array(y[c.first : c.first + len(n)].astype(np.int32)), pa.array(n.astype(np.int64)),
                                                pa.array([[s for _, _, s in found.get(i, [])] for i in range(len(n))], pa.list_(pa.float64()))], names=["g", "t", "n", "s"])
 
-    return src.mapInArrow(run, "g int, t int, n long, s array<double>").toArrow()
+    return src.mapInArrow(K.released(run), "g int, t int, n long, s array<double>").toArrow()
 
 
 def _calibrate(sample, expected: float) -> tuple[tuple[float, float, np.ndarray], float]:
@@ -277,8 +277,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     held = spark.sparkContext.broadcast((keys, 2 * fold + 1 - toxic))
     counts = np.zeros((1 + 2 * FOLDS, FEATURES * TABLE), np.int64)
     rows = (
-        src.mapInArrow(_count(held), "slice int, width int, counts binary")
-        .repartition(min(SLICES, partitions(spark)), "slice").mapInArrow(_add, "slice int, width int, counts binary")
+        src.mapInArrow(K.released(_count(held)), "slice int, width int, counts binary")
+        .repartition(min(SLICES, partitions(spark)), "slice").mapInArrow(K.released(_add), "slice int, width int, counts binary")
     )
     at = np.array_split(np.arange(counts.shape[1]), SLICES)
     for r in rows.toLocalIterator():
@@ -329,4 +329,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     fields = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
-    return plain.mapInArrow(run, f"{fields}, _score double, _passages {PASSAGES}").toDF(*docs.columns, fresh(docs.columns, "_score"), fresh(docs.columns, "_passages"))
+    return plain.mapInArrow(K.released(run), f"{fields}, _score double, _passages {PASSAGES}").toDF(*docs.columns, fresh(docs.columns, "_score"), fresh(docs.columns, "_passages"))
