@@ -40,7 +40,7 @@ from . import packing as P
 from .components import components
 from .shared import cut, partitions, ship
 
-BLOCK_VALUES = 1 << 21
+BLOCK_VALUES = 1 << 19
 VALUES_PER_PART = 4_000_000
 HOT_WEIGHT = 1 << 30
 SALTS = 32
