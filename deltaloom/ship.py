@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import zipfile
 from pathlib import Path
@@ -22,5 +23,7 @@ def ship(spark: SparkSession) -> SparkSession:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(str(target))
+    # workers that Spark starts beside the driver, as for a stream's processor, get no such files
+    sc.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [str(root.parent), sc.environment.get("PYTHONPATH")]))
     _done.add(sc.applicationId)
     return spark

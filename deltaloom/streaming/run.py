@@ -13,6 +13,8 @@ from ..options import CaptureOptions
 from .correlate import correlate_stream, open_slots
 
 STORE = "spark.sql.streaming.stateStore.providerClass"
+#: A file of a log, and how many of them are a step where a log has many.
+FILE_ROWS, FILES_A_STEP = 500_000, 12
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -30,32 +32,36 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{base_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def _date_files(spark: SparkSession, folder: str) -> None:
-    """Give the files of a folder modification times in the order of their names: file streams are read in that order."""
+def _date_files(spark: SparkSession, folder: str) -> int:
+    """Give the files of a folder modification times in the order of their names: file streams are read in that order. How many there are."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     files = sorted((str(f.getPath().getName()), f) for f in fs.listStatus(path) if f.getPath().getName().endswith(".parquet"))
     for i, (_, f) in enumerate(files):
         fs.setTimes(f.getPath(), f.getModificationTime() - 1000 * (len(files) - i), -1)
+    return len(files)
 
 
 def correlate_files(spark: SparkSession, log: DataFrame, spec: TableSpec, o: CaptureOptions, change_id: tuple[str, ...], order: tuple[str, ...],
-                    files: int = 4, timeout_s: int = 300) -> DataFrame:
+                    files: int = 4, timeout_s: int | None = None) -> DataFrame:
     """Write a log as files in time order, stream them in steps, and return key, change id, op and completeness.
 
-    What is still open when the log ends stays in the stream's state, which a later run would go on from; it is listed too, as OPEN.
+    Files have FILE_ROWS rows at most, so that the steps of a large log are more, not larger. The stream ends with the log; timeout_s:
+    give up earlier. What is still open when the log ends stays in the stream's state, which a later run would go on from; it
+    is listed too, as OPEN.
     """
     folder = fresh_dir(spark, "stream")
-    log.repartitionByRange(files, "change_ts").write.parquet(f"{folder}/log")
-    _date_files(spark, f"{folder}/log")
+    log.repartitionByRange(files, "change_ts").sortWithinPartitions("change_ts").write.option("maxRecordsPerFile", FILE_ROWS).parquet(f"{folder}/log")
+    pieces = _date_files(spark, f"{folder}/log")
+    a_step = max(1, files // 2) if pieces <= files else FILES_A_STEP
     old = spark.conf.get(STORE, None)
     spark.conf.set(STORE, ROCKSDB)
     try:
-        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", max(1, files // 2)).parquet(f"{folder}/log")
+        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", a_step).parquet(f"{folder}/log")
         rows = _result(correlate_stream(stream, spec, o, change_id, order), spec, change_id)
         q = (rows.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start(f"{folder}/out"))
         try:
-            if not q.awaitTermination(timeout_s):
+            if q.awaitTermination(timeout_s) is False:
                 raise TimeoutError(f"the stream has not ended after {timeout_s} s")
         finally:
             q.stop()

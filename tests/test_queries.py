@@ -60,6 +60,47 @@ def test_stream_loses_no_change(spark, sf_dir, files):
     assert {r.reason is None for r in got} == {True, False}
 
 
+def test_stream_of_a_large_log_has_more_steps(spark, sf_dir, monkeypatch):
+    """Files and steps are bounded, there is no time limit, and keys go by groups: a call for each key took too long."""
+    import inspect
+
+    import pyarrow as pa
+
+    from deltaloom.streaming import correlate, run
+
+    monkeypatch.setattr(run, "FILE_ROWS", 100)
+    got = run.correlate_files(spark, events_log(spark, sf_dir), EVENTS, FULL, CHANGE_ID, ORDER).collect()
+    assert len(got) == 1000 and all(r.reason is None for r in got)
+    assert inspect.signature(run.correlate_files).parameters["timeout_s"].default is None
+    rows = pa.record_batch([pa.array([i % correlate.BUCKETS for i in range(20_000)], pa.int32()), pa.array(range(20_000))], names=["bucket_", "x"])
+    dealt = list(correlate._scatter(iter([rows.slice(0, 7000), rows.slice(7000)])))
+    assert sum(b.num_rows for b in dealt) == correlate.BUCKETS
+    back = [x for b in dealt for m in correlate._unpack(pa.schema([("x", pa.int64())]))([b.select(["m"])]) for x in m.column(0).to_pylist()]
+    assert sorted(back) == list(range(20_000))
+
+
+def test_late_change_is_not_lost(spark, sf_dir, tmp_path):
+    """What comes later than the watermark is fed like other records; workers beside the driver know the package."""
+    import os
+
+    from deltaloom.streaming.correlate import correlate_stream
+    from deltaloom.streaming.run import ROCKSDB, STORE
+
+    log = events_log(spark, sf_dir)
+    spark.conf.set(STORE, ROCKSDB)
+    try:
+        for part in (log.where("event_id between 900 and 950"), log.where("event_id = 10")):
+            part.coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+            out = correlate_stream(spark.readStream.schema(log.schema).parquet(str(tmp_path / "log")), EVENTS, FULL.with_(confidence_window=1), CHANGE_ID, ORDER)
+            q = out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
+            assert q.awaitTermination(200)
+    finally:
+        spark.conf.unset(STORE)
+    got = spark.read.schema(out.schema).parquet(str(tmp_path / "out"))
+    assert got.where("event_id = 10 and reason is null").count() == 1
+    assert os.path.dirname(os.path.dirname(os.path.abspath(__file__))) in spark.sparkContext.environment["PYTHONPATH"].split(os.pathsep)
+
+
 def test_restart_with_open_slots(spark, sf_dir, tmp_path):
     """A stream that stops between a change and its images goes on where it was."""
     from deltaloom.operators.correlate import by_change
