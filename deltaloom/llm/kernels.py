@@ -22,6 +22,13 @@ PIECE = 1 << 20
 _M64 = (1 << 64) - 1
 
 
+def give_back() -> None:
+    """Free memory of this process goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def released(run):
     """The function of a task's batches; when they end, what the process holds of free memory goes back to the system.
 
@@ -32,9 +39,7 @@ def released(run):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(AttributeError, OSError):  # where the C library has it
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return wrapped
 

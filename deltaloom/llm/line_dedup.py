@@ -12,7 +12,8 @@ always stay.
 3. Candidates are verified by the edit distance of their normal forms (`edits`): similarity 1 - distance/longer at least 0.9.
    Where a pair of the forest fails, its group is met again, and pairs across its components are verified, the closest
    of each line first, so that a large group of loose copies mostly hangs together before all that are left are tried,
-   each once: no link between candidates of different components is lost.
+   each once, where they meet, so that those that fail are no rows: no link between candidates of different components
+   is lost.
 4. Verified pairs join nodes to connected groups; of each group the occurrence with the least (id, row, line) stays.
 
 With `grams`, candidates come from `line_grams` in place of 2: more sensitive to edits all over a line, at many times the cost.
@@ -39,7 +40,7 @@ from . import packing as P
 from .components import components
 from .shared import cut, free_shuffles, fresh, join_few, partitions, ship, small
 
-VALUES_PER_PART, VALUES_A_ROUND = 4_000_000, 500_000
+VALUES_PER_PART, VALUES_A_ROUND, TEXTS_A_ROUND = 4_000_000, 500_000, 20_000
 EDGES_PER_TASK = 2_000_000
 #: Of each line's near ones in other components so many closest are tried, then more of those still apart, then all.
 CLOSEST = (4, None)
@@ -148,6 +149,12 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
             join_few(group, cut(apart), "label", "g", group.count).select(F.col("node").alias("h")).join(members.select("h", "s", "x"), "h")
             .join(label.select(F.col("node").alias("_n"), "label"), F.col("h") == F.col("_n"), "left").select("h", "s", "x", F.coalesce("label", "h").alias("label"))
         )
+        if closest is None:  # all that is left: most of it fails, and is tried where it meets
+            some = max(1, -(-inside.count() * len(S.ROUTES) // TEXTS_A_ROUND))
+            met = inside.join(texts, "h").select("s", "x", "label", "h", "t").mapInArrow(S.scatter_texts(some), "part int, m binary").repartitionById(some, F.col("part"))
+            last = cut(met.mapInArrow(K.released(S.verify_across(steps, lambda t, u: E.distances(t, u, similarity) >= 0)), "a long, b long"))
+            free_shuffles(spark)
+            return links.unionByName(last)
         by_sim = inside.groupBy("s", "x").agg(F.when(F.min("label") == F.max("label"), F.min("label")).otherwise(F.lit(S.MANY_LABELS)).alias("label"))
         some = max(1, -(-inside.count() * len(S.ROUTES) // VALUES_A_ROUND))
         near_pairs = by_sim.select("s", "x", "label").mapInArrow(S.scatter(some), P.SCHEMA).repartitionById(some, F.col("part")).mapInArrow(S.meet_across(steps, closest), f"{S.PAIRS}, whole boolean")

@@ -403,3 +403,63 @@ def meet_across(steps: int, closest: int | None = None):
                 yield pa.RecordBatch.from_arrays([*pairs.columns, pa.array(whole)], names=[*pairs.schema.names, "whole"])
 
     return run
+
+
+TEXTS = pa.schema([("route", pa.int32()), ("s", pa.int64()), ("x", pa.int32()), ("label", pa.int64()), ("h", pa.int64()), ("t", pa.string())])
+LINES_AT_ONCE, CHECKED_AT_ONCE = 1 << 12, 1 << 14
+
+
+def scatter_texts(parts: int):
+    """Rows (s, x, label, h, t) to one message for each partition, with the route of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, LINES_AT_ONCE):
+                b = batch.slice(a, LINES_AT_ONCE)
+                s, n = b.column(0).to_numpy().view(np.uint64), b.num_rows
+                part = np.concatenate([_part(s, r, parts) for r in range(len(ROUTES))]).astype(np.int32)
+                order = np.argsort(part, kind="stable")
+                lines = b.take(pa.array(order % n))
+                every = pa.RecordBatch.from_arrays([pa.array((order // n).astype(np.int32)), *[c.cast(f.type) for c, f in zip(lines.columns, list(TEXTS)[1:])]], schema=TEXTS)
+                at = np.flatnonzero(np.concatenate([[True], part[order][1:] != part[order][:-1]]))
+                packed = [every.slice(i, k).serialize().to_pybytes() for i, k in zip(at.tolist(), np.diff(np.append(at, len(order))).tolist())]
+                yield pa.record_batch([pa.array(part[order][at]), pa.array(packed, pa.binary())], names=["part", "m"])
+
+    return run
+
+
+def verify_across(steps: int, near_enough):
+    """Links a, b that hold between lines of different labels, all near pairs being tried where they meet, each by its first route.
+
+    What a link has joined is not tried again; pairs that fail leave no rows. near_enough: whether texts are, pair by pair.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [pa.ipc.read_record_batch(m.as_buffer(), TEXTS) for b in batches for m in b.column(1)]
+        if not got:
+            return
+        every = pa.Table.from_batches(got).sort_by([("route", "ascending"), ("s", "ascending"), ("x", "ascending"), ("h", "ascending")])
+        del got
+        edge = np.searchsorted(every.column("route").to_numpy(), np.arange(len(ROUTES) + 1))
+        for r in range(len(ROUTES)):
+            rows = every.slice(edge[r], edge[r + 1] - edge[r])
+            if len(rows) < 2:
+                continue
+            s, x, h = rows.column("s").to_numpy().view(np.uint64), rows.column("x").to_numpy(), rows.column("h").to_numpy()
+            text, label = rows.column("t").combine_chunks(), np.unique(rows.column("label").to_numpy(), return_inverse=True)[1]
+            up = np.arange(label.max() + 1)
+            for a, b in _chunks(near(s, x, r, steps, label), len(s)):
+                here = np.flatnonzero(first_route(s[a], s[b]) == r)
+                here = here[np.argsort(np.bitwise_count(s[a[here]] ^ s[b[here]]), kind="stable")]
+                for i in range(0, len(here), CHECKED_AT_ONCE):
+                    p, q = a[here[i : i + CHECKED_AT_ONCE]], b[here[i : i + CHECKED_AT_ONCE]]
+                    apart = up[label[p]] != up[label[q]]
+                    p, q = p[apart], q[apart]
+                    if len(p):
+                        hold = near_enough(text.take(pa.array(p)), text.take(pa.array(q)))
+                        p, q = p[hold], q[hold]
+                        up, used = _forest(up, label[p], label[q])
+                        if len(used):
+                            yield pa.record_batch([pa.array(h[p[used]]), pa.array(h[q[used]])], names=["a", "b"])
+
+    return run

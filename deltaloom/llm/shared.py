@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ship import ship
+from . import kernels as K
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -48,9 +49,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Shuffle files of steps that are materialised go when Python and the driver's JVM have collected what refers to them."""
+    """Shuffle files of steps that are materialised go when Python and the driver's JVM have collected what refers to them.
+
+    What the driver's Python then holds of free memory goes back to the system.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    K.give_back()
 
 
 def fresh(columns: list[str], name: str) -> str:

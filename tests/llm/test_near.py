@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from deltaloom.llm import edits as E
@@ -314,3 +315,29 @@ def test_very_long_lines(spark):
     docs = [line, edited(line, 17), sentence(9, 30_000), line + "\n" + "x" * 300_000]
     got = {r.doc_id: r for r in L.dedup_lines(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
     assert [got[i]._removed for i in range(4)] == [0, 1, 0, 1] and got[3].text == "x" * 300_000
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_links_are_verified_where_they_meet(parts):
+    """All links between labels come out as components, and no rows for the pairs that fail."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 3, np.uint64)
+    s = np.array([b ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 4).astype(np.uint64)) for b in base for _ in range(120)], np.uint64)
+    s[7] = s[8]  # lines of equal SimHashes too
+    n, x = len(s), np.full(len(s), 40, np.int32)
+    label, kind = rng.integers(0, n, n), rng.integers(0, 9, n)
+    rows = pa.record_batch([pa.array(s.view(np.int64)), pa.array(x), pa.array(label), pa.array(np.arange(n)), pa.array([str(k) for k in kind])], names=["s", "x", "label", "h", "t"])
+    messages = pa.Table.from_batches(list(S.scatter_texts(parts)(iter([rows]))))
+    tried = S.close(s[:, None], s[None, :], x[:, None], x[None, :], S.length_steps(0.9))
+    meets = S.first_route(np.repeat(s, n), np.tile(s, n)).reshape(n, n) >= 0
+    failing = [(i, j) for i in range(n) for j in range(i) if tried[i, j] and meets[i, j] and label[i] != label[j] and kind[i] != kind[j]]
+    want = {(i, j) for i in range(n) for j in range(i) if tried[i, j] and meets[i, j] and label[i] != label[j] and kind[i] == kind[j]}
+    got = []
+    for p in range(parts):
+        here = messages.filter(pa.compute.equal(messages["part"], p)).to_batches()
+        for b in S.verify_across(S.length_steps(0.9), lambda t, u: np.array([a == b for a, b in zip(t.to_pylist(), u.to_pylist())]))(iter(here)):
+            got += zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+    assert {(max(p), min(p)) for p in got} <= want
+    same = [(i, j) for k in set(label.tolist()) for at in [np.flatnonzero(label == k).tolist()] for i, j in zip(at[1:], at)]
+    assert components(n, [*got, *same]) == components(n, [*want, *same])
+    assert len(got) < len(S.ROUTES) * n and len(failing) > 5 * len(got)
