@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .shared import cut, ship
 
 TASK_LINKS = 1_000_000
@@ -43,7 +44,7 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def contracted(e: DataFrame, tasks: int) -> DataFrame:
-    return cut(e.repartition(tasks).mapInArrow(_contract, "u long, v long"))
+    return cut(e.repartition(tasks).mapInArrow(K.released(_contract), "u long, v long"))
 
 
 def _state(edges: DataFrame) -> tuple:

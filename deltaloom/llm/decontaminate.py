@@ -38,7 +38,8 @@ from .shared import ship
 
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 4
-CELLS = 1 << 21
+#: Bytes of text and sums of windows that are worked on at once.
+CHUNK, CELLS = 1 << 19, 1 << 18
 #: An index takes some eight bytes for a byte of text: postings, block maxima and runs.
 BYTES_OF_INDEX = 8
 
@@ -308,7 +309,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
             ids, index = held.value
             stride = max(64, index.longest)
             for batch in batches:
-                for c in K.chunks(batch.column(1)):
+                for c in K.chunks(batch.column(1), CHUNK):
                     hits = list(index.find(K.words(c, K.WORD_CHAR), stride, threshold, overlap, half_overlap))
                     if hits:
                         x = [h for _, h in hits]
@@ -334,11 +335,11 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_t
             index = held.value
             stride = max(64, index.longest)
             for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                for c in K.chunks(batch.column(column)):
+                for c in K.chunks(batch.column(column), CHUNK):
+                    keep = np.ones(len(c.offsets) - 1, bool)
                     for r, _ in index.find(K.words(c, K.WORD_CHAR), stride, threshold, overlap, half_overlap):
-                        keep[c.first + r] = False
-                yield batch.filter(pa.array(keep))
+                        keep[r] = False
+                    yield batch.slice(c.first, len(keep)).filter(pa.array(keep))
 
         docs = docs.mapInArrow(K.released(run), docs.schema)
     return docs

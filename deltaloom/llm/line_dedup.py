@@ -151,13 +151,13 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
         )
         if closest is None:  # all that is left: most of it fails, and is tried where it meets
             some = max(1, -(-inside.count() * len(S.ROUTES) // TEXTS_A_ROUND))
-            met = inside.join(texts, "h").select("s", "x", "label", "h", "t").mapInArrow(S.scatter_texts(some), "part int, m binary").repartitionById(some, F.col("part"))
+            met = inside.join(texts, "h").select("s", "x", "label", "h", "t").mapInArrow(K.released(S.scatter_texts(some)), "part int, m binary").repartitionById(some, F.col("part"))
             last = cut(met.mapInArrow(K.released(S.verify_across(steps, lambda t, u: E.distances(t, u, similarity) >= 0)), "a long, b long"))
             free_shuffles(spark)
             return links.unionByName(last)
         by_sim = inside.groupBy("s", "x").agg(F.when(F.min("label") == F.max("label"), F.min("label")).otherwise(F.lit(S.MANY_LABELS)).alias("label"))
         some = max(1, -(-inside.count() * len(S.ROUTES) // VALUES_A_ROUND))
-        near_pairs = by_sim.select("s", "x", "label").mapInArrow(S.scatter(some), P.SCHEMA).repartitionById(some, F.col("part")).mapInArrow(S.meet_across(steps, closest), f"{S.PAIRS}, whole boolean")
+        near_pairs = by_sim.select("s", "x", "label").mapInArrow(K.released(S.scatter(some)), P.SCHEMA).repartitionById(some, F.col("part")).mapInArrow(K.released(S.meet_across(steps, closest)), f"{S.PAIRS}, whole boolean")
         near_pairs = cut(near_pairs.groupBy(*ends_ab).agg(F.bool_and("whole").alias("whole")))
         same = by_sim.where(F.col("label") == S.MANY_LABELS).select(F.col("s").alias("sa"), F.col("x").alias("xa"), F.col("s").alias("sb"), F.col("x").alias("xb"))
         a, b = (inside.select(F.col("s").alias(f"s{c}"), F.col("x").alias(f"x{c}"), F.col("h").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")

@@ -311,7 +311,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = first.where("value is null").select("id", "n", "cls")
     count, total = members.where("n > 0").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     found = (
-        first.where("value is not null").select("value", "times").mapInArrow(_unpack_hot, "value long, times long")
+        first.where("value is not null").select("value", "times").mapInArrow(K.released(_unpack_hot), "value long, times long")
         .groupBy("value").agg(F.sum("times").alias("times")).where(F.col("times") >= max(64, hot * count))
         .orderBy(F.desc("times"), "value").limit(most_hot).toPandas()
     )
