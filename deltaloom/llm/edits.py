@@ -143,14 +143,15 @@ def _batch(a: np.ndarray, b: np.ndarray, ha: dict, hb: dict, sa: np.ndarray, n:
 def distances(ta: pa.Array, tb: pa.Array, similarity: float) -> np.ndarray:
     """Edit distance of each pair whose similarity 1 - distance / longer length is at least `similarity`, else -1.
 
-    Pairs are taken PIECE bytes of text at a time, or one, so memory follows that or the longest pair.
+    Pairs are taken PIECE bytes of text at a time, or one, so memory follows that or the longest pair; those of like lengths
+    together, as they have like limits.
     """
-    out = [np.empty(0, np.int64)]
-    size = (pc.binary_length(ta).to_numpy(zero_copy_only=False) + pc.binary_length(tb).to_numpy(zero_copy_only=False)).astype(np.int64)
-    for rows in _pieces(np.arange(len(ta)), size, PIECE):
-        a, n = int(rows[0]), len(rows)
-        out.append(_distances(ta.slice(a, n), tb.slice(a, n), similarity))
-    return np.concatenate(out)
+    out = np.empty(len(ta), np.int64)
+    n, m = (pc.binary_length(t).to_numpy(zero_copy_only=False).astype(np.int64) for t in (ta, tb))
+    for rows in _pieces(np.argsort(np.maximum(n, m), kind="stable"), n + m, PIECE):
+        at = pa.array(rows)
+        out[rows] = _distances(ta.take(at), tb.take(at), similarity)
+    return out
 
 
 def _distances(ta: pa.Array, tb: pa.Array, similarity: float) -> np.ndarray:

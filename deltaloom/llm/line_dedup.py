@@ -151,7 +151,9 @@ def _simhash_links(src: DataFrame, nodes: DataFrame, similarity: float) -> DataF
         )
         if closest is None:  # all that is left: most of it fails, and is tried where it meets
             some = max(1, -(-inside.count() * len(S.ROUTES) // TEXTS_A_ROUND))
-            met = inside.join(texts, "h").select("s", "x", "label", "h", "t").mapInArrow(K.released(S.scatter_texts(some)), "part int, m binary").repartitionById(some, F.col("part"))
+            failed = checked.where("NOT near").groupBy(F.col("a").alias("_a")).agg(F.collect_set("b").alias("failed"))
+            known = inside.join(texts, "h").join(failed, F.col("h") == F.col("_a"), "left")
+            met = known.select("s", "x", "label", "h", "t", "failed").mapInArrow(K.released(S.scatter_texts(some)), "part int, m binary").repartitionById(some, F.col("part"))
             last = cut(met.mapInArrow(K.released(S.verify_across(steps, lambda t, u: E.distances(t, u, similarity) >= 0)), "a long, b long"))
             free_shuffles(spark)
             return links.unionByName(last)

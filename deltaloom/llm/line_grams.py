@@ -43,13 +43,13 @@ def normal_lines(c: K.Chunk) -> tuple[np.ndarray, ...]:
     later[at] = False
     gap = ws[later] - 1
     keep[gap], text[gap] = True, 32
-    place = np.concatenate([[0], np.cumsum(keep)])
-    return row, number, to - at, text[keep], place[ws[at]], place[we[to - 1]]
+    place = np.concatenate([[0], np.cumsum(we - ws + later)])  # of the normal forms' bytes, up to each word
+    return row, number, to - at, text[keep], place[at], place[to]
 
 
 def characters(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(text & 0xC0 != 0x80)])
-    return total[end] - total[start]
+    later = np.flatnonzero(text & 0xC0 == 0x80)  # bytes of a character behind its first
+    return end - start - (np.searchsorted(later, end) - np.searchsorted(later, start))
 
 
 def length_step(chars: np.ndarray) -> np.ndarray:

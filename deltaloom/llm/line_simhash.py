@@ -20,9 +20,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from . import kernels as K
 from . import packing as P
+from .edits import _pieces
 from .line_grams import characters
 
 GRAM, LONG_WORD, BUCKETS = 6, 16, 14
@@ -405,12 +407,12 @@ def meet_across(steps: int, closest: int | None = None):
     return run
 
 
-TEXTS = pa.schema([("route", pa.int32()), ("s", pa.int64()), ("x", pa.int32()), ("label", pa.int64()), ("h", pa.int64()), ("t", pa.string())])
-LINES_AT_ONCE, CHECKED_AT_ONCE = 1 << 12, 1 << 14
+TEXTS = pa.schema([("route", pa.int32()), ("s", pa.int64()), ("x", pa.int32()), ("label", pa.int64()), ("h", pa.int64()), ("t", pa.string()), ("failed", pa.list_(pa.int64()))])
+LINES_AT_ONCE, CHECKED_AT_ONCE, BYTES_AT_ONCE = 1 << 12, 1 << 14, 1 << 23
 
 
 def scatter_texts(parts: int):
-    """Rows (s, x, label, h, t) to one message for each partition, with the route of each."""
+    """Rows (s, x, label, h, t), and failed if they have it, to one message for each partition, with the route of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -419,8 +421,10 @@ def scatter_texts(parts: int):
                 s, n = b.column(0).to_numpy().view(np.uint64), b.num_rows
                 part = np.concatenate([_part(s, r, parts) for r in range(len(ROUTES))]).astype(np.int32)
                 order = np.argsort(part, kind="stable")
-                lines = b.take(pa.array(order % n))
-                every = pa.RecordBatch.from_arrays([pa.array((order // n).astype(np.int32)), *[c.cast(f.type) for c, f in zip(lines.columns, list(TEXTS)[1:])]], schema=TEXTS)
+                lines = b.take(pa.array(order % n)).columns
+                if len(lines) < len(TEXTS) - 1:
+                    lines.append(pa.nulls(len(order), TEXTS.field("failed").type))
+                every = pa.RecordBatch.from_arrays([pa.array((order // n).astype(np.int32)), *[c.cast(f.type) for c, f in zip(lines, list(TEXTS)[1:])]], schema=TEXTS)
                 at = np.flatnonzero(np.concatenate([[True], part[order][1:] != part[order][:-1]]))
                 packed = [every.slice(i, k).serialize().to_pybytes() for i, k in zip(at.tolist(), np.diff(np.append(at, len(order))).tolist())]
                 yield pa.record_batch([pa.array(part[order][at]), pa.array(packed, pa.binary())], names=["part", "m"])
@@ -428,10 +432,43 @@ def scatter_texts(parts: int):
     return run
 
 
+def _over_routes(s: np.ndarray, x: np.ndarray, edge: np.ndarray, steps: int, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Near pairs of places of all routes, each by its first route, in large pieces. edge: where each route's places begin."""
+    held, size = [], 0
+    for r, (i, j) in enumerate(zip(edge, edge[1:])):
+        for a, b in _chunks(near(s[i:j], x[i:j], r, steps, label[i:j]), j - i) if j - i > 1 else ():
+            here = first_route(s[i:j][a], s[i:j][b]) == r
+            held.append((a[here] + i, b[here] + i))
+            size += len(held[-1][0])
+            if size >= PAIRS_AT_ONCE:
+                yield tuple(np.concatenate(c) for c in zip(*held))
+                held, size = [], 0
+    if size:
+        yield tuple(np.concatenate(c) for c in zip(*held))
+
+
+def _pairs_of(h: np.ndarray, others: pa.ChunkedArray):
+    """Whether pairs of keys are among those of some lines h and their lists of others, either way round."""
+    n = pc.fill_null(pc.list_value_length(others), 0).to_numpy()
+    one, other = np.repeat(h, n), pc.list_flatten(others).to_numpy()
+    known = np.unique(np.concatenate([one, other]))
+
+    def places(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.searchsorted(known, np.minimum(a, b)) * (len(known) + 1) + np.searchsorted(known, np.maximum(a, b))
+
+    pairs = np.unique(places(one, other))
+
+    def among(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.isin(a, known) & np.isin(b, known) & np.isin(places(a, b), pairs)
+
+    return among
+
+
 def verify_across(steps: int, near_enough):
     """Links a, b that hold between lines of different labels, all near pairs being tried where they meet, each by its first route.
 
-    What a link has joined is not tried again; pairs that fail leave no rows. near_enough: whether texts are, pair by pair.
+    The pairs of all routes are tried together, so that they are many at once; those that failed before, which a line has with
+    it, are not. What a link has joined is not tried again; pairs that fail leave no rows. near_enough: whether texts are, pair by pair.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,25 +478,23 @@ def verify_across(steps: int, near_enough):
         every = pa.Table.from_batches(got).sort_by([("route", "ascending"), ("s", "ascending"), ("x", "ascending"), ("h", "ascending")])
         del got
         edge = np.searchsorted(every.column("route").to_numpy(), np.arange(len(ROUTES) + 1))
-        for r in range(len(ROUTES)):
-            rows = every.slice(edge[r], edge[r + 1] - edge[r])
-            if len(rows) < 2:
-                continue
-            s, x, h = rows.column("s").to_numpy().view(np.uint64), rows.column("x").to_numpy(), rows.column("h").to_numpy()
-            text, label = rows.column("t").combine_chunks(), np.unique(rows.column("label").to_numpy(), return_inverse=True)[1]
-            up = np.arange(label.max() + 1)
-            for a, b in _chunks(near(s, x, r, steps, label), len(s)):
-                here = np.flatnonzero(first_route(s[a], s[b]) == r)
-                here = here[np.argsort(np.bitwise_count(s[a[here]] ^ s[b[here]]), kind="stable")]
-                for i in range(0, len(here), CHECKED_AT_ONCE):
-                    p, q = a[here[i : i + CHECKED_AT_ONCE]], b[here[i : i + CHECKED_AT_ONCE]]
-                    apart = up[label[p]] != up[label[q]]
-                    p, q = p[apart], q[apart]
-                    if len(p):
-                        hold = near_enough(text.take(pa.array(p)), text.take(pa.array(q)))
-                        p, q = p[hold], q[hold]
-                        up, used = _forest(up, label[p], label[q])
-                        if len(used):
-                            yield pa.record_batch([pa.array(h[p[used]]), pa.array(h[q[used]])], names=["a", "b"])
+        s, x, h = every.column("s").to_numpy().view(np.uint64), every.column("x").to_numpy(), every.column("h").to_numpy()
+        text, label = every.column("t"), np.unique(every.column("label").to_numpy(), return_inverse=True)[1]
+        size, up = pc.binary_length(text).to_numpy().astype(np.int64), np.arange(label.max() + 1)
+        failed = _pairs_of(h, every.column("failed"))
+        for a, b in _over_routes(s, x, edge, steps, label):
+            new = ~failed(h[a], h[b])
+            a, b = a[new], b[new]
+            order = np.argsort(np.bitwise_count(s[a] ^ s[b]), kind="stable")
+            for i in range(0, len(order), CHECKED_AT_ONCE):
+                here = order[i : i + CHECKED_AT_ONCE]
+                here = here[up[label[a[here]]] != up[label[b[here]]]]
+                for rows in _pieces(here, size[a] + size[b], BYTES_AT_ONCE):
+                    p, q = a[rows], b[rows]
+                    hold = near_enough(text.take(pa.array(p)).combine_chunks(), text.take(pa.array(q)).combine_chunks())
+                    p, q = p[hold], q[hold]
+                    up, used = _forest(up, label[p], label[q])
+                    if len(used):
+                        yield pa.record_batch([pa.array(h[p[used]]), pa.array(h[q[used]])], names=["a", "b"])
 
     return run

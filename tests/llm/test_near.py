@@ -341,3 +341,23 @@ def test_links_are_verified_where_they_meet(parts):
     same = [(i, j) for k in set(label.tolist()) for at in [np.flatnonzero(label == k).tolist()] for i, j in zip(at[1:], at)]
     assert components(n, [*got, *same]) == components(n, [*want, *same])
     assert len(got) < len(S.ROUTES) * n and len(failing) > 5 * len(got)
+
+
+def test_pairs_that_failed_are_not_tried_again():
+    """What failed in a round before is left out of the last one, and the pairs of all routes are tried together."""
+    rng = np.random.default_rng(7)
+    n = 200
+    s = np.array([np.uint64(0x9E3779B97F4A7C15) ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 4).astype(np.uint64)) for _ in range(n)], np.uint64)
+    h = rng.integers(-(2**62), 2**62, n)
+    failed = [[int(h[j]) for j in range(n) if i != j and (i + j) % 3] if i % 2 else None for i in range(n)]
+    known = {(min(h[i], x), max(h[i], x)) for i in range(n) for x in failed[i] or ()}
+    rows = pa.record_batch([pa.array(s.view(np.int64)), pa.array(np.full(n, 40, np.int32)), pa.array(np.arange(n)), pa.array(h), pa.array([str(x) for x in h]), pa.array(failed, pa.list_(pa.int64()))],
+                           names=["s", "x", "label", "h", "t", "failed"])
+    calls = []
+    messages = list(S.scatter_texts(1)(iter([rows])))
+    assert list(S.verify_across(S.length_steps(0.9), lambda t, u: calls.append((t, u)) or np.zeros(len(t), bool))(iter(messages))) == []
+    tried = [(min(a, b), max(a, b)) for t, u in calls for a, b in zip(map(int, t.to_pylist()), map(int, u.to_pylist()))]
+    meets = S.first_route(np.repeat(s, n), np.tile(s, n)).reshape(n, n) >= 0
+    close = S.close(s[:, None], s[None, :], *[np.full((n, n), 40, np.int32)] * 2, S.length_steps(0.9))
+    want = {(min(h[i], h[j]), max(h[i], h[j])) for i in range(n) for j in range(i) if meets[i, j] and close[i, j]} - known
+    assert len(tried) == len(want) and set(tried) == want and len(calls) == 1 + len(want) // S.CHECKED_AT_ONCE
